@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldspark.llm import exact_dedup, sharding, urlfilter
+from fieldspark.llm import bpe, exact_dedup, langid, sharding, urlfilter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_bpe": bpe.op1_bpe,
         "op2_sharding": sharding.op2_sharding,
+        "op3_language_id": langid.op3_language_id,
         "op4_url_filter": urlfilter.op4_url_filter,
         "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     }
