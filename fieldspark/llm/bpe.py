@@ -13,6 +13,7 @@ import hashlib
 import heapq
 from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
+from itertools import chain
 
 import duckdb
 import numpy as np
@@ -24,8 +25,8 @@ from fieldspark.llm.common import table
 
 #: Rows of one recursive query, known words of a worker and characters of one sub-batch: they bound a worker's memory.
 ROWS_PER_QUERY = 250_000
-KNOWN_WORDS = 200_000
-CHARS_PER_BATCH = 2_000_000
+KNOWN_WORDS = 600_000
+CHARS_PER_BATCH = 4_000_000
 #: The recursion takes as many rounds as a word has merges; longer words are contracted from a heap instead.
 LONGEST_WORD = 256
 
@@ -81,11 +82,12 @@ class Codec:
         self._forget()
 
     def _forget(self) -> None:
+        """Known words have numbers; word k's ids are ``flat[start[k] : start[k] + size[k]]``."""
         self.known: dict[str, int] = {}
-        self.ids: list[np.ndarray] = []
+        self.flat = self.start = self.size = np.empty(0, np.int32)
 
-    def _contract(self, words: list[bytes]) -> list[np.ndarray]:
-        """Ids of each word by the recursive query."""
+    def _contract(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each word, and the ids of all words in turn, by the recursive query."""
         sizes = np.array([len(w) for w in words], dtype=np.int64)
         flat = np.frombuffer(b"".join(words), dtype=np.uint8)
         starts = np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -94,11 +96,9 @@ class Codec:
         got = self.db.sql(ENCODE_SQL).to_arrow_table().combine_chunks()
         self.db.unregister("bytes_in")
         lists = got["ids"].combine_chunks()
-        ends, values = lists.offsets.to_numpy(), lists.values.to_numpy()
-        out: list[np.ndarray] = [np.empty(0, np.int32)] * len(words)
-        for word, a, b in zip(got["word"].to_pylist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True):
-            out[word] = values[a:b].astype(np.int32)
-        return out
+        order = np.argsort(got["word"].to_numpy())
+        ends = lists.offsets.to_numpy()
+        return np.diff(ends)[order], lists.values.to_numpy()[_ranges(ends[:-1][order], np.diff(ends)[order])]
 
     def _contract_long(self, word: bytes) -> np.ndarray:
         """The same contraction from a heap of (rank, position), in time n log n."""
@@ -127,41 +127,55 @@ class Codec:
 
     def _learn(self, words: Iterable[str]) -> None:
         """Adds words to the known ones."""
-        names, short, size = [], [], 0
+        names: list[str] = []
+        sizes: list[np.ndarray] = []
+        flats: list[np.ndarray] = []
+        some: list[tuple[str, bytes]] = []
+        rows = 0
 
         def flush() -> None:
-            nonlocal names, short, size
-            if short:
-                self._add(names, self._contract(short))
-            names, short, size = [], [], 0
+            nonlocal rows
+            if some:
+                size, flat = self._contract([w for _, w in some])
+                names.extend(n for n, _ in some)
+                sizes.append(size)
+                flats.append(flat)
+            some.clear()
+            rows = 0
 
         for name in words:
             word = name.encode("utf-8", "surrogatepass")
-            if (whole := self.ranks.get(word)) is not None:
-                self._add([name], [np.array([whole], np.int32)])
-            elif len(word) > LONGEST_WORD:
-                self._add([name], [self._contract_long(word)])
-            else:
+            whole = self.ranks.get(word)
+            if whole is not None or len(word) > LONGEST_WORD:
+                ids = self._contract_long(word) if whole is None else np.array([whole], np.int32)
                 names.append(name)
-                short.append(word)
-                size += len(word)
-                if size >= ROWS_PER_QUERY:
-                    flush()
+                sizes.append(np.array([len(ids)]))
+                flats.append(ids)
+                continue
+            if rows + len(word) > ROWS_PER_QUERY:
+                flush()
+            some.append((name, word))
+            rows += len(word)
         flush()
-
-    def _add(self, names: list[str], ids: list[np.ndarray]) -> None:
-        for name, x in zip(names, ids, strict=True):
-            self.known[name] = len(self.ids)
-            self.ids.append(x)
+        if names:
+            size = np.concatenate(sizes).astype(np.int64)
+            start = len(self.flat) + np.cumsum(size) - size
+            self.known.update(zip(names, range(len(self.size), len(self.size) + len(names)), strict=True))
+            self.start, self.size = np.concatenate([self.start, start]), np.concatenate([self.size, size])
+            self.flat = np.concatenate([self.flat, *flats]).astype(np.int32)
 
     def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
         """Ids of each text, without special tokens."""
         split = [self.words.findall(t) for t in texts]
         if len(self.known) > KNOWN_WORDS:
             self._forget()
-        self._learn(sorted({w for words in split for w in words if w not in self.known}))
-        none = np.empty(0, np.int32)
-        return [np.concatenate([self.ids[self.known[w]] for w in words]) if words else none for words in split]
+        known = self.known
+        self._learn(sorted({w for words in split for w in words if w not in known}))
+        numbers = np.array(list(map(known.__getitem__, chain.from_iterable(split))), np.int64)
+        sizes = self.size[numbers].astype(np.int64)
+        flat = self.flat[_ranges(self.start[numbers], sizes)]
+        ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum([0, *map(len, split)])]
+        return [flat[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
     def decode(self, ids: Sequence[np.ndarray]) -> list[bytes]:
         """Bytes of each sequence of ids; an id outside the vocabulary is an error."""
@@ -176,6 +190,12 @@ class Codec:
         return [got.get(i, b"") for i in range(len(sizes))]
 
 
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges ``start .. start + size - 1``, one range after another."""
+    before = np.cumsum(sizes) - sizes
+    return np.arange(int(sizes.sum())) + np.repeat(starts.astype(np.int64) - before, sizes)
+
+
 @lru_cache(maxsize=2)
 def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
