@@ -25,6 +25,8 @@ ORDER = 3
 DOCS_PER_LANGUAGE = 1500
 BYTES_PER_SAMPLE = 20_000
 UNKNOWN = "und"
+#: Rows (a code and a count each) up to which the languages' sizes are broadcast.
+FEW_LANGUAGES = 10_000
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -36,6 +38,8 @@ def _bytes(text: str) -> bytes:
 def sample(labelled: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE) -> DataFrame:
     """About ``docs_per_language`` documents of each language, or all: each is taken where a hash falls below a rate."""
     sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("__n"))
+    if sizes.count() <= FEW_LANGUAGES:  # else each document meets its language's count in a shuffle
+        sizes = F.broadcast(sizes)
     chance = (F.pmod(F.xxhash64(F.lit("langid"), "doc_id", "text"), F.lit(1 << 30)) + 0.5) / float(1 << 30)
     return labelled.join(sizes, "lang").filter(chance * F.col("__n") < docs_per_language).drop("__n")
 
