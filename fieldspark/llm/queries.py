@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldspark.llm import bpe, exact_dedup, langid, sharding, toxicity, urlfilter
+from fieldspark.llm import bpe, exact_dedup, langid, pii, sharding, toxicity, urlfilter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_language_id": langid.op3_language_id,
         "op4_url_filter": urlfilter.op4_url_filter,
         "op5_toxicity": toxicity.op5_toxicity,
+        "op6_pii": pii.op6_pii,
         "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     }
 
