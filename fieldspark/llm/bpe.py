@@ -218,6 +218,11 @@ def _text_size(x: pa.Scalar) -> int:
     return x.as_buffer().size if x.is_valid else 0
 
 
+def _lists(ids: Sequence[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*ids, np.empty(0, np.int32)]).astype(np.int32)))
+
+
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """``doc_id, ids`` (array<int>) for every document; a null text counts as empty, and empty texts have no ids.
 
@@ -229,9 +234,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         c = codec(path, pattern)
         for part in _parts(batches, 1, _text_size):
             ids = c.encode([x or "" for x in part.column(1).to_pylist()])
-            ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*ids, np.empty(0, np.int32)]).astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["doc_id", "ids"])
+            yield pa.RecordBatch.from_arrays([part.column(0), _lists(ids)], names=["doc_id", "ids"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>")
@@ -250,8 +253,9 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, decoded binary")
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256``: each text is encoded, its ids decoded, and both hashed in place."""
+def round_trip(docs: DataFrame, path: str, pattern: str, with_ids: bool = False) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256``: each text is encoded, its ids decoded, and both hashed in place;
+    ``with_ids`` adds the ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
@@ -259,18 +263,20 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         sha = lambda x: hashlib.sha256(x).hexdigest()
         for part in _parts(batches, 1, _text_size):
             ids = c.encode([x or "" for x in part.column(1).to_pylist()])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column(0),
-                    pa.array([len(x) for x in ids], pa.int64()),
-                    pa.array([sha(",".join(map(names.__getitem__, x.tolist())).encode()) for x in ids], pa.string()),
-                    pa.array([sha(x) for x in c.decode(ids)], pa.string()),
-                ],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+            columns = [
+                part.column(0),
+                pa.array([len(x) for x in ids], pa.int64()),
+                pa.array([sha(",".join(map(names.__getitem__, x.tolist())).encode()) for x in ids], pa.string()),
+                pa.array([sha(x) for x in c.decode(ids)], pa.string()),
+            ]
+            if with_ids:
+                columns.append(_lists(ids))
+            yield pa.RecordBatch.from_arrays(columns, names=list(out))
+
+    out = {"doc_id": docs.schema["doc_id"].dataType.simpleString(), "n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"}
+    if with_ids:
+        out["ids"] = "array<int>"
+    return docs.select("doc_id", "text").mapInArrow(run, ", ".join(f"{k} {v}" for k, v in out.items()))
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

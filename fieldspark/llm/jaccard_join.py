@@ -261,11 +261,12 @@ def keep_one(docs: DataFrame, s: Similarity | None = None) -> DataFrame:
     """The documents with one of each component, the one of least id, with the columns of ``docs``; rows that repeat
     this id leave one. Documents without words all stay."""
     judged = join_documents(docs, s or Similarity())
-    gone = judged.filter("n_shingles > 0 and not (doc_id <=> component_id)").select("doc_id").distinct()
+    gone = judged.filter("n_shingles > 0 and not (doc_id <=> component_id)").select(_id(F.col("doc_id")).alias("__id")).distinct()
     empty = F.length(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", "")) == 0
-    left = docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti").withColumn("__empty", empty)
-    first = Window.partitionBy("doc_id", "__empty").orderBy("text")
-    return left.withColumn("__n", F.row_number().over(first)).filter("__empty or __n = 1").drop("__n", "__empty")
+    left = docs.withColumn("__id", _id(F.col("doc_id"))).join(gone, "__id", "left_anti").withColumn("__empty", empty)
+    # Partitioned by __id already: the window needs no shuffle of its own.
+    first = Window.partitionBy("__id", "__empty").orderBy("text")
+    return left.withColumn("__n", F.row_number().over(first)).filter("__empty or __n = 1").select(*docs.columns)
 
 
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
