@@ -14,6 +14,9 @@ and classes are joined:
 3. Windows. Two regions that meet in a root region compare their pivots first. By the triangle inequality members x, y
    can be linked only if d(x, p) + d(y, q) + r >= d(p, q); only such boundary members are compared, exactly.
 
+Before sets are read, pairs pass a bound from fixed pivots: BUCKETS parts of the universe of shingles. The counts of
+sets in a part differ by no more than the sets do there, so the sum of the lesser counts bounds the intersection.
+
 Components of the links found are exact; pairs within a Voronoi region are not enumerated. Sets are compared by 64-bit
 hashes of their shingles, classes by 64-bit hashes of their sets.
 """
@@ -36,7 +39,10 @@ from fieldspark.llm.words import batches_of, hash_words, shingle_sets, signed
 CELLS = 3
 #: Shingles that are ordered last: seen in this share of a slice's documents; the most that are remembered. They only
 #: steer the order, and any order gives the same links.
-FREQUENT, MOST_FREQUENT = 0.004, 1_000_000
+FREQUENT, MOST_FREQUENT = 0.0004, 1_000_000
+#: Parts of the universe of shingles whose counts bound an intersection.
+BUCKETS = 128
+SLICE = 16_000_000
 #: Identifiers up to which a list of documents to be read again is broadcast (8 bytes each); beyond, a shuffle join.
 FEW_IDS = 1_000_000
 
@@ -60,34 +66,35 @@ def _id(c: Column) -> Column:
 
 
 def profile(docs: DataFrame, s: Similarity) -> DataFrame:
-    """``kind, doc_id, n, c, m0..m2``: kind 0 for each document (set size, class, min-hashes), kind 1 for shingles (c)
-    that a slice of documents holds often (n of them)."""
+    """``kind, doc_id, n, c, m0..m2, v``: kind 0 for each document (set size, class, min-hashes, counts by bucket), kind 1
+    for shingles (c) that many classes in a slice of documents hold (n of them)."""
     salts = [np.uint64(0xA24BAED4963EE407 * (2 * j + 1) % (1 << 64) | 1) for j in range(CELLS)]
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        n, c, m = [], [], [[] for _ in salts]
-        pool = []
+        n, c, v, m = [], [], [], [[] for _ in salts]
+        pool: dict[int, np.ndarray] = {}
         for x in shingle_sets(*hash_words(part.column(1)), s.words):
             n.append(len(x))
             c.append(_class_of(x))
+            v.append(np.bincount((x >> np.uint64(57)).astype(np.int64), minlength=BUCKETS).astype(np.uint32).tobytes())
             for j, salt in enumerate(salts):
                 y = x * salt
                 m[j].append(int((y ^ (y >> np.uint64(31))).min()) if len(x) else 0)
-            pool.append(x)
-        shared, count = np.unique(np.concatenate([*pool, np.empty(0, np.uint64)]), return_counts=True)
-        often = count >= max(4, FREQUENT * len(n))
+            pool[c[-1]] = x
+        shared, count = np.unique(np.concatenate([*pool.values(), np.empty(0, np.uint64)]), return_counts=True)
+        often = count >= max(3, FREQUENT * len(pool))
         shared, count = shared[often], count[often]
-        none = lambda k: pa.nulls(k, pa.int64())
         u = lambda x: signed(np.array(x, np.uint64))
         k, h = len(n), len(shared)
-        names = ["kind", "doc_id", "n", "c", *(f"m{j}" for j in range(CELLS))]
-        yield pa.RecordBatch.from_arrays([pa.array([0] * k, pa.int32()), part.column(0), pa.array(n, pa.int64()), u(c), *map(u, m)], names=names)
+        names = ["kind", "doc_id", "n", "c", *(f"m{j}" for j in range(CELLS)), "v"]
+        yield pa.RecordBatch.from_arrays([pa.array([0] * k, pa.int32()), part.column(0), pa.array(n, pa.int64()), u(c), *map(u, m), pa.array(v, pa.binary())], names=names)
         if h:
-            yield pa.RecordBatch.from_arrays([pa.array([1] * h, pa.int32()), pa.nulls(h, part.column(0).type), pa.array(count.astype(np.int64)), signed(shared), *[none(h)] * CELLS], names=names)
+            nothing = [*[pa.nulls(h, pa.int64())] * CELLS, pa.nulls(h, pa.binary())]
+            yield pa.RecordBatch.from_arrays([pa.array([1] * h, pa.int32()), pa.nulls(h, part.column(0).type), pa.array(count.astype(np.int64)), signed(shared), *nothing], names=names)
 
     columns = "".join(f", m{j} long" for j in range(CELLS))
-    return docs.select("doc_id", "text").mapInArrow(batches_of(run, 1), f"kind int, doc_id {kind}, n long, c long{columns}")
+    return docs.select("doc_id", "text").mapInArrow(batches_of(run, 1, SLICE), f"kind int, doc_id {kind}, n long, c long{columns}, v binary")
 
 
 def _frequent(profiled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -169,6 +176,19 @@ def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a long, b long, n_a long, n_b long, both long")
 
 
+def _possible(pairs: DataFrame, vectors: DataFrame, s: Similarity) -> DataFrame:
+    """The pairs ``a, b`` whose counts by bucket (``c, v``) leave a link possible."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(-1, BUCKETS).astype(np.int64) for i in (2, 3))
+            fits = np.minimum(x, y).sum(axis=1) * (s.den + s.num) >= (x.sum(axis=1) + y.sum(axis=1)) * s.num
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(fits))
+
+    left, right = vectors.select(F.col("c").alias("a"), F.col("v").alias("x")), vectors.select(F.col("c").alias("b"), F.col("v").alias("y"))
+    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
 def _linked(s: Similarity) -> Column:
     return F.col("both") * (s.den + s.num) >= (F.col("n_a") + F.col("n_b")) * s.num
 
@@ -201,7 +221,7 @@ def join_documents(docs: DataFrame, s: Similarity) -> DataFrame:
     docs = docs.select("doc_id", "text")
     profiled = stored(profile(docs, s), "jaccard-profile")
     of = profiled.filter("kind = 0")
-    classes = of.filter("n > 0").groupBy("c").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), *(F.first(f"m{j}").alias(f"m{j}") for j in range(CELLS)))
+    classes = of.filter("n > 0").groupBy("c").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), *(F.first(f"m{j}").alias(f"m{j}") for j in range(CELLS)), F.first("v").alias("v"))
     classes = stored(classes, "jaccard-classes")
     entries = stored(_prefixes(docs, s, _frequent(profiled)), "jaccard-regions")
 
@@ -211,22 +231,24 @@ def join_documents(docs: DataFrame, s: Similarity) -> DataFrame:
         cell = classes.groupBy(f"m{j}").agg(F.min("c").alias("a"), F.max("c").alias("most"), F.min_by("n", "c").alias("n_a")).filter("a < most")
         mine = classes.join(cell, f"m{j}").filter(f"c <> a and {s.den} * least(n, n_a) >= {s.num} * greatest(n, n_a)").select("a", F.col("c").alias("b"))
         proposals = mine if proposals is None else proposals.union(mine)
-    proposals = cut(proposals.distinct())
+    vectors = classes.select("c", "v")
+    proposals = cut(_possible(proposals.distinct(), vectors, s))
 
-    # Root regions that hold more than one class.
-    crowded = entries.groupBy("s").agg(F.min("c").alias("least"), F.max("c").alias("most")).filter("least < most").select("s")
-    meeting = stored(entries.join(crowded, "s", "left_semi").distinct(), "jaccard-meeting")
-
-    wanted = proposals.select(F.col("a").alias("c")).union(proposals.select("b")).union(meeting.select("c")).distinct()
-    sets = stored(_sets(docs, wanted.join(classes, "c").select("c", "doc_id"), s), "jaccard-sets")
+    def sets_of(pairs: DataFrame, label: str) -> DataFrame:
+        wanted = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()
+        return stored(_sets(docs, wanted.join(classes, "c").select("c", "doc_id"), s), f"jaccard-{label}")
 
     # Voronoi regions: of the pivots within reach the nearest; a class that serves others as pivot keeps its own region.
-    spokes = cut(_compared(proposals, sets).filter(_linked(s)).withColumn("d", 1 - F.col("both") / (F.col("n_a") + F.col("n_b") - F.col("both"))))
+    spokes = cut(_compared(proposals, sets_of(proposals, "pivots")).filter(_linked(s)).withColumn("d", 1 - F.col("both") / (F.col("n_a") + F.col("n_b") - F.col("both"))))
     serving = spokes.select(F.col("a").alias("b")).distinct()
     members = spokes.join(serving, "b", "left_anti").groupBy(F.col("b").alias("c")).agg(F.min(F.struct("d", "a")).alias("at")).select("c", F.col("at.a").alias("pivot"), F.col("at.d").alias("d"))
     members = cut(members)
     groups = components(spokes.select("a", "b"))
 
+    # Root regions that hold more than one class.
+    crowded = entries.groupBy("s").agg(F.min("c").alias("least"), F.max("c").alias("most")).filter("least < most").select("s")
+    meeting = entries.join(crowded, "s", "left_semi").distinct()
+
     # Regions of different groups that meet in a root region: the pairs of members that sizes and positions allow.
     placed = meeting.join(groups, "c", "left").withColumn("g", F.coalesce("label", "c")).drop("label")
     placed = placed.join(members, "c", "left").select("s", "c", "n", "pos", "g", F.coalesce("pivot", "c").alias("p"), F.coalesce("d", F.lit(0.0)).alias("d"))
@@ -242,7 +264,10 @@ def join_documents(docs: DataFrame, s: Similarity) -> DataFrame:
     pairs = cut(pairs.select("c1", "c2", "p1", "p2", "d1", "d2").distinct())
 
     # Pivots first, then the boundary members that the triangle inequality leaves.
+    possible = _possible(pairs.select(F.col("c1").alias("a"), F.col("c2").alias("b")), vectors, s)
+    pairs = cut(pairs.join(possible.select(F.col("a").alias("c1"), F.col("b").alias("c2")), ["c1", "c2"]))
     pivots = pairs.select(F.least("p1", "p2").alias("a"), F.greatest("p1", "p2").alias("b")).filter("a <> b").distinct()
+    sets = sets_of(pivots.union(pairs.select("c1", "c2")), "boundary")
     apart = cut(_compared(pivots, sets).withColumn("far", 1 - F.col("both") / (F.col("n_a") + F.col("n_b") - F.col("both"))))
     reach = 1 - s.num / s.den + 1e-9
     near = pairs.withColumn("a", F.least("p1", "p2")).withColumn("b", F.greatest("p1", "p2")).join(apart.select("a", "b", "far"), ["a", "b"])

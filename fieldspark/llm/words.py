@@ -76,11 +76,11 @@ def signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
-def batches_of(run: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], column: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def batches_of(run: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], column: int, size: int = BYTES_PER_PART) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A function for mapInArrow that applies ``run`` to slices of bounded size."""
 
     def over(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts(batches, column):
+        for part in parts(batches, column, size):
             yield from run(part)
 
     return over
