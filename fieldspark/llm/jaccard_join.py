@@ -7,8 +7,8 @@ and classes are joined:
    separates them; so the space is first split by pivots that are single shingles. In a global order of shingles the
    nearest of them is a set's first shingle; the window that a distance of r leaves open are its first
    n - ceil((1 - r) n) + 1 shingles, and a class is replicated to those regions. Linked classes share one (prefix
-   filter). The order puts shingles that many documents hold last, so that passages shared by many make no region.
-2. Voronoi regions. Each class is compared with pivots, the classes of least hash in its min-hash cells, and belongs to
+   filter). The order is by document frequency, rare shingles first, so that shared passages make few regions.
+2. Voronoi regions. Each class is compared with pivots, one class drawn in each of its min-hash cells, and belongs to
    the nearest one within r; a class without one is its own pivot. Members of a region are linked through their pivot,
    so a group of thousands of near copies costs one comparison for each member.
 3. Windows. Two regions that meet in a root region compare their pivots first. By the triangle inequality members x, y
@@ -36,10 +36,10 @@ from fieldspark.llm.common import cut, stored, table
 from fieldspark.llm.words import batches_of, hash_words, shingle_sets, signed
 
 #: Independent min-hashes that propose pivots.
-CELLS = 3
-#: Shingles that are ordered last: seen in this share of a slice's documents; the most that are remembered. They only
-#: steer the order, and any order gives the same links.
-FREQUENT, MOST_FREQUENT = 0.0004, 1_000_000
+CELLS = 6
+#: Shingles of this many classes or more are frequent; the most of them that are remembered, most frequent first. They
+#: are told by 32 bits of their hash. They only steer the order, and any order gives the same links.
+FREQUENT, MOST_FREQUENT = 5, 4_000_000
 #: Parts of the universe of shingles whose counts bound an intersection.
 BUCKETS = 128
 SLICE = 16_000_000
@@ -66,14 +66,12 @@ def _id(c: Column) -> Column:
 
 
 def profile(docs: DataFrame, s: Similarity) -> DataFrame:
-    """``kind, doc_id, n, c, m0..m2, v``: kind 0 for each document (set size, class, min-hashes, counts by bucket), kind 1
-    for shingles (c) that many classes in a slice of documents hold (n of them)."""
+    """``doc_id, n, c, m0.., v`` for each document: set size, class, min-hashes and counts by bucket."""
     salts = [np.uint64(0xA24BAED4963EE407 * (2 * j + 1) % (1 << 64) | 1) for j in range(CELLS)]
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         n, c, v, m = [], [], [], [[] for _ in salts]
-        pool: dict[int, np.ndarray] = {}
         for x in shingle_sets(*hash_words(part.column(1)), s.words):
             n.append(len(x))
             c.append(_class_of(x))
@@ -81,29 +79,49 @@ def profile(docs: DataFrame, s: Similarity) -> DataFrame:
             for j, salt in enumerate(salts):
                 y = x * salt
                 m[j].append(int((y ^ (y >> np.uint64(31))).min()) if len(x) else 0)
-            pool[c[-1]] = x
-        shared, count = np.unique(np.concatenate([*pool.values(), np.empty(0, np.uint64)]), return_counts=True)
-        often = count >= max(3, FREQUENT * len(pool))
-        shared, count = shared[often], count[often]
         u = lambda x: signed(np.array(x, np.uint64))
-        k, h = len(n), len(shared)
-        names = ["kind", "doc_id", "n", "c", *(f"m{j}" for j in range(CELLS)), "v"]
-        yield pa.RecordBatch.from_arrays([pa.array([0] * k, pa.int32()), part.column(0), pa.array(n, pa.int64()), u(c), *map(u, m), pa.array(v, pa.binary())], names=names)
-        if h:
-            nothing = [*[pa.nulls(h, pa.int64())] * CELLS, pa.nulls(h, pa.binary())]
-            yield pa.RecordBatch.from_arrays([pa.array([1] * h, pa.int32()), pa.nulls(h, part.column(0).type), pa.array(count.astype(np.int64)), signed(shared), *nothing], names=names)
+        names = ["doc_id", "n", "c", *(f"m{j}" for j in range(CELLS)), "v"]
+        yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), u(c), *map(u, m), pa.array(v, pa.binary())], names=names)
 
     columns = "".join(f", m{j} long" for j in range(CELLS))
-    return docs.select("doc_id", "text").mapInArrow(batches_of(run, 1, SLICE), f"kind int, doc_id {kind}, n long, c long{columns}, v binary")
+    return docs.select("doc_id", "text").mapInArrow(batches_of(run, 1), f"doc_id {kind}, n long, c long{columns}, v binary")
 
 
-def _frequent(profiled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles to be ordered last (sorted), and the rank of each among them: rarer ones come earlier."""
-    often = profiled.filter("kind = 1").groupBy("c").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "c").limit(MOST_FREQUENT).toPandas()
-    order = np.lexsort((often["c"].to_numpy(), often["n"].to_numpy()))
-    shingle = often["c"].to_numpy(np.int64).view(np.uint64)[order]
-    by_value = np.argsort(shingle)
-    return shingle[by_value], by_value.astype(np.int64)
+def _frequent(docs: DataFrame, s: Similarity) -> tuple[np.ndarray, np.ndarray]:
+    """Frequent shingles (upper halves of their hashes, sorted) and the rank of each among them: rarer ones come earlier.
+
+    A slice of documents counts its classes' shingles and sends sorted halves and counts by range, packed; a range adds
+    them up. There are a few ranges for each partition of the input, so that a range does not grow with it.
+    """
+    ranges = 4 * max(8, docs.rdd.getNumPartitions())
+
+    def run(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        pool = {_class_of(x): x for x in shingle_sets(*hash_words(part.column(0)), s.words)}
+        half = np.concatenate([*pool.values(), np.empty(0, np.uint64)]) >> np.uint64(32)
+        half, n = np.unique(half.astype(np.uint32), return_counts=True)
+        n = np.minimum(n, 255).astype(np.uint8)
+        at = np.searchsorted(half, (np.arange(ranges + 1, dtype=np.float64) * 2**32 / ranges)[:-1].astype(np.uint32)).tolist() + [len(half)]
+        rows = [(i, half[a:b].tobytes(), n[a:b].tobytes()) for i, (a, b) in enumerate(zip(at[:-1], at[1:], strict=True)) if b > a]
+        if rows:
+            i, h, k = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(h, pa.binary()), pa.array(k, pa.binary())], names=["range", "h", "n"])
+
+    def add(group: pa.Table) -> pa.Table:
+        h = np.frombuffer(b"".join(group["h"].to_pylist()), np.uint32)
+        n = np.frombuffer(b"".join(group["n"].to_pylist()), np.uint8)
+        half, which = np.unique(h, return_inverse=True)
+        total = np.bincount(which, n)
+        often = total >= FREQUENT
+        return pa.table({"h": pa.array(half[often].astype(np.int64)), "n": pa.array(total[often].astype(np.int64))})
+
+    packed = docs.select("text").mapInArrow(batches_of(run, 0, SLICE), "range int, h binary, n binary")
+    often = packed.groupBy("range").applyInArrow(add, "h long, n long")
+    often = often.orderBy(F.desc("n"), "h").limit(MOST_FREQUENT).toPandas()
+    half, n = often["h"].to_numpy(np.uint32), often["n"].to_numpy(np.int64)
+    by_value = np.argsort(half)
+    rank = np.empty(len(half), np.int64)
+    rank[np.lexsort((half, n))] = np.arange(len(half))
+    return half[by_value], rank[by_value]
 
 
 def _prefixes(docs: DataFrame, s: Similarity, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
@@ -119,10 +137,11 @@ def _prefixes(docs: DataFrame, s: Similarity, frequent: tuple[np.ndarray, np.nda
                 continue
             done.add(k)
             if len(last):
-                at = np.minimum(np.searchsorted(last, x), len(last) - 1)
-                often = last[at] == x
+                half = (x >> np.uint64(32)).astype(np.uint32)
+                at = np.minimum(np.searchsorted(last, half), len(last) - 1)
+                often = last[at] == half
                 if often.any():
-                    x = np.concatenate([x[~often], x[often][np.argsort(rank[at[often]])]])
+                    x = np.concatenate([x[~often], x[often][np.argsort(rank[at[often]], kind="stable")]])
             prefix = x[: len(x) - -(-s.num * len(x) // s.den) + 1]
             shingle.append(prefix)
             c.append(k)
@@ -220,47 +239,47 @@ def join_documents(docs: DataFrame, s: Similarity) -> DataFrame:
     """
     docs = docs.select("doc_id", "text")
     profiled = stored(profile(docs, s), "jaccard-profile")
-    of = profiled.filter("kind = 0")
-    classes = of.filter("n > 0").groupBy("c").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), *(F.first(f"m{j}").alias(f"m{j}") for j in range(CELLS)), F.first("v").alias("v"))
+    of = profiled.select("doc_id", "n", "c")
+    classes = profiled.filter("n > 0").groupBy("c").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), *(F.first(f"m{j}").alias(f"m{j}") for j in range(CELLS)), F.first("v").alias("v"))
     classes = stored(classes, "jaccard-classes")
-    entries = stored(_prefixes(docs, s, _frequent(profiled)), "jaccard-regions")
+    entries = stored(_prefixes(docs, s, _frequent(docs, s)), "jaccard-regions")
 
-    # Pivots: the least class of each min-hash cell.
+    # Pivots: of each min-hash cell the class of least hash under a salt of the cell's own.
     proposals = None
     for j in range(CELLS):
-        cell = classes.groupBy(f"m{j}").agg(F.min("c").alias("a"), F.max("c").alias("most"), F.min_by("n", "c").alias("n_a")).filter("a < most")
-        mine = classes.join(cell, f"m{j}").filter(f"c <> a and {s.den} * least(n, n_a) >= {s.num} * greatest(n, n_a)").select("a", F.col("c").alias("b"))
+        pivot = F.min(F.struct(F.xxhash64(F.lit(j), "c"), "c", "n"))
+        cell = classes.groupBy(f"m{j}").agg(pivot.alias("p"), F.min("c").alias("least"), F.max("c").alias("most")).filter("least < most")
+        cell = cell.select(f"m{j}", F.col("p.c").alias("a"), F.col("p.n").alias("n_a"))
+        mine = classes.join(cell, f"m{j}").filter(f"c <> a and {s.den} * least(n, n_a) >= {s.num} * greatest(n, n_a)").select(F.least("a", "c").alias("a"), F.greatest("a", "c").alias("b"), F.col("a").alias("p"))
         proposals = mine if proposals is None else proposals.union(mine)
     vectors = classes.select("c", "v")
-    proposals = cut(_possible(proposals.distinct(), vectors, s))
+    offered = cut(proposals.distinct())
+    proposals = cut(_possible(offered.select("a", "b").distinct(), vectors, s))
 
     def sets_of(pairs: DataFrame, label: str) -> DataFrame:
         wanted = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()
         return stored(_sets(docs, wanted.join(classes, "c").select("c", "doc_id"), s), f"jaccard-{label}")
 
-    # Voronoi regions: of the pivots within reach the nearest; a class that serves others as pivot keeps its own region.
+    # Voronoi regions: of the pivots within reach the nearest; a class without one stands for itself.
     spokes = cut(_compared(proposals, sets_of(proposals, "pivots")).filter(_linked(s)).withColumn("d", 1 - F.col("both") / (F.col("n_a") + F.col("n_b") - F.col("both"))))
-    serving = spokes.select(F.col("a").alias("b")).distinct()
-    members = spokes.join(serving, "b", "left_anti").groupBy(F.col("b").alias("c")).agg(F.min(F.struct("d", "a")).alias("at")).select("c", F.col("at.a").alias("pivot"), F.col("at.d").alias("d"))
+    drawn = spokes.join(offered, ["a", "b"]).select("p", F.when(F.col("p") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("c"), "d")
+    members = drawn.groupBy("c").agg(F.min(F.struct("d", "p")).alias("at")).select("c", F.col("at.p").alias("pivot"), F.col("at.d").alias("d"))
     members = cut(members)
     groups = components(spokes.select("a", "b"))
 
     # Root regions that hold more than one class.
     crowded = entries.groupBy("s").agg(F.min("c").alias("least"), F.max("c").alias("most")).filter("least < most").select("s")
-    meeting = entries.join(crowded, "s", "left_semi").distinct()
+    meeting = stored(entries.join(crowded, "s", "left_semi").distinct(), "jaccard-meeting")
 
     # Regions of different groups that meet in a root region: the pairs of members that sizes and positions allow.
     placed = meeting.join(groups, "c", "left").withColumn("g", F.coalesce("label", "c")).drop("label")
     placed = placed.join(members, "c", "left").select("s", "c", "n", "pos", "g", F.coalesce("pivot", "c").alias("p"), F.coalesce("d", F.lit(0.0)).alias("d"))
     mixed = placed.groupBy("s").agg(F.min("g").alias("low"), F.max("g").alias("high")).filter("low < high").select("s")
     placed = stored(placed.join(mixed, "s", "left_semi"), "jaccard-mixed")
-    here = placed.select("s", "g").distinct()
-    meets = here.join(here.withColumnRenamed("g", "g2"), "s").filter("g < g2")
-    one = placed.select("s", "g", *(F.col(x).alias(f"{x}1") for x in ("c", "n", "pos", "p", "d")))
-    two = placed.select("s", F.col("g").alias("g2"), *(F.col(x).alias(f"{x}2") for x in ("c", "n", "pos", "p", "d")))
+    one, two = (placed.select("s", *(F.col(x).alias(f"{x}{i}") for x in ("c", "n", "pos", "g", "p", "d"))) for i in (1, 2))
     need = f"ceil((n1 + n2) * {s.num} / ({s.num} + {s.den}) - 1e-9)"
-    fits = f"{s.den} * least(n1, n2) >= {s.num} * greatest(n1, n2) and 1 + least(n1 - pos1, n2 - pos2) - 1 >= {need}"
-    pairs = meets.join(one, ["s", "g"]).join(two, ["s", "g2"]).filter(fits)
+    fits = F.expr(f"g1 < g2 and {s.den} * least(n1, n2) >= {s.num} * greatest(n1, n2) and 1 + least(n1 - pos1, n2 - pos2) - 1 >= {need}")
+    pairs = one.withColumnRenamed("s", "s1").join(two, (F.col("s1") == F.col("s")) & fits)
     pairs = cut(pairs.select("c1", "c2", "p1", "p2", "d1", "d2").distinct())
 
     # Pivots first, then the boundary members that the triangle inequality leaves.
