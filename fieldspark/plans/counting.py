@@ -141,12 +141,12 @@ def dense(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @bind(
     "j_08_universe_exclusions",
-    with_sightings(f""", x AS (SELECT *, {CELL} AS cell FROM s), u AS (SELECT cell FROM x GROUP BY cell HAVING count(*) >= 170)
+    with_sightings(f""", x AS (SELECT *, {CELL} AS cell FROM s), u AS (SELECT cell FROM x GROUP BY cell HAVING count(*) >= 205)
 SELECT observation_id, cell, 'OUTSIDE_UNIVERSE' AS reason FROM x WHERE cell NOT IN (SELECT cell FROM u)"""),
 )
 def exclusions(spark: SparkSession, sf_dir: str) -> DataFrame:
     obs = celled(spark, sf_dir)
-    cells = obs.groupBy("cell").count().filter("count >= 170")
+    cells = obs.groupBy("cell").count().filter("count >= 205")
     return C.split_universe(obs, cells)[1].select("observation_id", "cell", "reason")
 
 
