@@ -39,7 +39,7 @@ from fieldspark.llm.words import batches_of, hash_words, shingle_sets, signed
 CELLS = 6
 #: Shingles of this many classes or more are frequent; the most of them that are remembered, most frequent first. They
 #: are told by 32 bits of their hash. They only steer the order, and any order gives the same links.
-FREQUENT, MOST_FREQUENT = 5, 4_000_000
+FREQUENT, MOST_FREQUENT = 5, 1_000_000
 #: Parts of the universe of shingles whose counts bound an intersection.
 BUCKETS = 128
 SLICE = 16_000_000
@@ -115,8 +115,15 @@ def _frequent(docs: DataFrame, s: Similarity) -> tuple[np.ndarray, np.ndarray]:
         return pa.table({"h": pa.array(half[often].astype(np.int64)), "n": pa.array(total[often].astype(np.int64))})
 
     packed = docs.select("text").mapInArrow(batches_of(run, 0, SLICE), "range int, h binary, n binary")
-    often = packed.groupBy("range").applyInArrow(add, "h long, n long")
-    often = often.orderBy(F.desc("n"), "h").limit(MOST_FREQUENT).toPandas()
+    often = stored(packed.groupBy("range").applyInArrow(add, "h long, n long"), "jaccard-frequent")
+    # The least count at which no more than MOST_FREQUENT are left, from their histogram.
+    room, least = MOST_FREQUENT, FREQUENT
+    for n, k in sorted(map(tuple, often.groupBy(F.least("n", F.lit(100_000)).alias("n")).count().collect()), reverse=True):
+        room -= k
+        if room < 0:
+            least = n + 1
+            break
+    often = often.filter(F.col("n") >= least).toPandas()
     half, n = often["h"].to_numpy(np.uint32), often["n"].to_numpy(np.int64)
     by_value = np.argsort(half)
     rank = np.empty(len(half), np.int64)
