@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldspark.llm import bpe, decontaminate, exact_dedup, jaccard_join, langid, pii, sharding, toxicity, urlfilter
+from fieldspark.llm import bpe, decontaminate, exact_dedup, jaccard_join, katz, langid, pii, sharding, toxicity, urlfilter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_url_filter": urlfilter.op4_url_filter,
         "op5_toxicity": toxicity.op5_toxicity,
         "op6_pii": pii.op6_pii,
+        "op7_katz": katz.op7_katz,
         "op8_exact_dedup": exact_dedup.op8_exact_dedup,
         "op9_decontaminate": decontaminate.op9_decontaminate,
         "op10_ngram_jaccard": jaccard_join.op10_ngram_jaccard,
