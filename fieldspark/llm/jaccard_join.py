@@ -123,8 +123,8 @@ def _frequent(docs: DataFrame, s: Similarity) -> tuple[np.ndarray, np.ndarray]:
         if room < 0:
             least = n + 1
             break
-    often = often.filter(F.col("n") >= least).toPandas()
-    half, n = often["h"].to_numpy(np.uint32), often["n"].to_numpy(np.int64)
+    often = often.filter(F.col("n") >= least).toArrow()
+    half, n = often["h"].to_numpy().astype(np.uint32), often["n"].to_numpy()
     by_value = np.argsort(half)
     rank = np.empty(len(half), np.int64)
     rank[np.lexsort((half, n))] = np.arange(len(half))

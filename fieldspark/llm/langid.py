@@ -74,7 +74,7 @@ class Trees:
     @classmethod
     def fit(cls, labelled: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE) -> Trees:
         """Gathers the counts of the bounded sample: at most languages x documents x bytes grams, in practice some 10^5."""
-        got = count_grams(sample(labelled.filter("lang is not null and text is not null"), docs_per_language)).toPandas()
+        got = count_grams(sample(labelled.filter("lang is not null and text is not null"), docs_per_language)).toArrow().to_pandas()
         return cls({k: (x["gram"].to_numpy(np.uint32), x["n"].to_numpy(np.float64)) for k, x in got.groupby("lang")})
 
     def expand(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
