@@ -43,6 +43,8 @@ FREQUENT, MOST_FREQUENT = 5, 1_000_000
 #: Parts of the universe of shingles whose counts bound an intersection.
 BUCKETS = 128
 SLICE = 16_000_000
+#: Shingles that the prefixes of a pair must share where they are long enough.
+SHARED = 4
 #: Identifiers up to which a list of documents to be read again is broadcast (8 bytes each); beyond, a shuffle join.
 FEW_IDS = 1_000_000
 
@@ -65,26 +67,31 @@ def _id(c: Column) -> Column:
     return F.coalesce(c.cast("long"), F.lit(-(1 << 63)))
 
 
-def profile(docs: DataFrame, s: Similarity) -> DataFrame:
-    """``doc_id, n, c, m0.., v`` for each document: set size, class, min-hashes and counts by bucket."""
+def profile(docs: DataFrame, s: Similarity, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """``doc_id, t, n, c, u, m0.., v`` for each row of ``doc_id, text, t``: set size, class, number of shingles that are not frequent,
+    min-hashes and counts by bucket."""
     salts = [np.uint64(0xA24BAED4963EE407 * (2 * j + 1) % (1 << 64) | 1) for j in range(CELLS)]
     kind = docs.schema["doc_id"].dataType.simpleString()
 
+    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+
     def run(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        n, c, v, m = [], [], [], [[] for _ in salts]
+        last, _ = shared.value
+        n, c, rare, v, m = [], [], [], [], [[] for _ in salts]
         for x in shingle_sets(*hash_words(part.column(1)), s.words):
             n.append(len(x))
             c.append(_class_of(x))
+            rare.append(len(x) - int(_is_frequent(x, last)[0].sum()))
             v.append(np.bincount((x >> np.uint64(57)).astype(np.int64), minlength=BUCKETS).astype(np.uint32).tobytes())
             for j, salt in enumerate(salts):
                 y = x * salt
                 m[j].append(int((y ^ (y >> np.uint64(31))).min()) if len(x) else 0)
         u = lambda x: signed(np.array(x, np.uint64))
-        names = ["doc_id", "n", "c", *(f"m{j}" for j in range(CELLS)), "v"]
-        yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), u(c), *map(u, m), pa.array(v, pa.binary())], names=names)
+        names = ["doc_id", "t", "n", "c", "u", *(f"m{j}" for j in range(CELLS)), "v"]
+        yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(n, pa.int64()), u(c), pa.array(rare, pa.int64()), *map(u, m), pa.array(v, pa.binary())], names=names)
 
     columns = "".join(f", m{j} long" for j in range(CELLS))
-    return docs.select("doc_id", "text").mapInArrow(batches_of(run, 1), f"doc_id {kind}, n long, c long{columns}, v binary")
+    return docs.select("doc_id", "text", "t").mapInArrow(batches_of(run, 1), f"doc_id {kind}, t long, n long, c long, u long{columns}, v binary")
 
 
 def _frequent(docs: DataFrame, s: Similarity) -> tuple[np.ndarray, np.ndarray]:
@@ -131,6 +138,15 @@ def _frequent(docs: DataFrame, s: Similarity) -> tuple[np.ndarray, np.ndarray]:
     return half[by_value], rank[by_value]
 
 
+def _is_frequent(x: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each shingle is frequent, and where among the frequent ones it would be."""
+    if not len(last):
+        return np.zeros(len(x), bool), np.zeros(len(x), np.int64)
+    half = (x >> np.uint64(32)).astype(np.uint32)
+    at = np.minimum(np.searchsorted(last, half), len(last) - 1)
+    return last[at] == half, at
+
+
 def _prefixes(docs: DataFrame, s: Similarity, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """Root regions of each class: ``s`` (a shingle of its prefix), ``c, n, pos``; copies in a slice count once."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
@@ -143,12 +159,9 @@ def _prefixes(docs: DataFrame, s: Similarity, frequent: tuple[np.ndarray, np.nda
             if not len(x) or (k := _class_of(x)) in done:
                 continue
             done.add(k)
-            if len(last):
-                half = (x >> np.uint64(32)).astype(np.uint32)
-                at = np.minimum(np.searchsorted(last, half), len(last) - 1)
-                often = last[at] == half
-                if often.any():
-                    x = np.concatenate([x[~often], x[often][np.argsort(rank[at[often]], kind="stable")]])
+            often, at = _is_frequent(x, last)
+            if often.any():
+                x = np.concatenate([x[~often], x[often][np.argsort(rank[at[often]], kind="stable")]])
             prefix = x[: len(x) - -(-s.num * len(x) // s.den) + 1]
             shingle.append(prefix)
             c.append(k)
@@ -244,17 +257,23 @@ def join_documents(docs: DataFrame, s: Similarity) -> DataFrame:
     are those with a null id that nothing links (null). Equal texts and repeated rows are linked. Null ids never become
     a component's id if another exists. An empty table gives no rows; other columns are ignored.
     """
-    docs = docs.select("doc_id", "text")
-    profiled = stored(profile(docs, s), "jaccard-profile")
-    of = profiled.select("doc_id", "n", "c")
-    classes = profiled.filter("n > 0").groupBy("c").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), *(F.first(f"m{j}").alias(f"m{j}") for j in range(CELLS)), F.first("v").alias("v"))
+    return _joined(docs, s).select("doc_id", "n_shingles", "component_id")
+
+
+def _joined(docs: DataFrame, s: Similarity) -> DataFrame:
+    """What ``join_documents`` returns, with ``t``, the hash of the row's text."""
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("t"))
+    frequent = _frequent(docs, s)
+    profiled = stored(profile(docs, s, frequent), "jaccard-profile")
+    of = profiled.select("doc_id", "t", "n", "c")
+    classes = profiled.filter("n > 0").groupBy("c").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("u").alias("u"), *(F.first(f"m{j}").alias(f"m{j}") for j in range(CELLS)), F.first("v").alias("v"))
     classes = stored(classes, "jaccard-classes")
-    entries = stored(_prefixes(docs, s, _frequent(docs, s)), "jaccard-regions")
+    entries = stored(_prefixes(docs, s, frequent), "jaccard-regions")
 
-    # Pivots: of each min-hash cell the class of least hash under a salt of the cell's own.
+    # Pivots: of each min-hash cell the most central class, that of fewest rare shingles, or a class drawn by hash.
     proposals = None
     for j in range(CELLS):
-        pivot = F.min(F.struct(F.xxhash64(F.lit(j), "c"), "c", "n"))
+        pivot = F.min(F.struct(*(["u"] if j % 2 == 0 else []), F.xxhash64(F.lit(j), "c").alias("h"), "c", "n"))
         cell = classes.groupBy(f"m{j}").agg(pivot.alias("p"), F.min("c").alias("least"), F.max("c").alias("most")).filter("least < most")
         cell = cell.select(f"m{j}", F.col("p.c").alias("a"), F.col("p.n").alias("n_a"))
         mine = classes.join(cell, f"m{j}").filter(f"c <> a and {s.den} * least(n, n_a) >= {s.num} * greatest(n, n_a)").select(F.least("a", "c").alias("a"), F.greatest("a", "c").alias("b"), F.col("a").alias("p"))
@@ -284,10 +303,14 @@ def join_documents(docs: DataFrame, s: Similarity) -> DataFrame:
     mixed = placed.groupBy("s").agg(F.min("g").alias("low"), F.max("g").alias("high")).filter("low < high").select("s")
     placed = stored(placed.join(mixed, "s", "left_semi"), "jaccard-mixed")
     one, two = (placed.select("s", *(F.col(x).alias(f"{x}{i}") for x in ("c", "n", "pos", "g", "p", "d"))) for i in (1, 2))
+    # A linked pair shares SHARED shingles within as many more places than the one that it must share at least, or as
+    # many as its prefixes have; ``room`` is what the prefix filter leaves of a set for an intersection of ``need``.
     need = f"ceil((n1 + n2) * {s.num} / ({s.num} + {s.den}) - 1e-9)"
-    fits = F.expr(f"g1 < g2 and {s.den} * least(n1, n2) >= {s.num} * greatest(n1, n2) and 1 + least(n1 - pos1, n2 - pos2) - 1 >= {need}")
-    pairs = one.withColumnRenamed("s", "s1").join(two, (F.col("s1") == F.col("s")) & fits)
-    pairs = cut(pairs.select("c1", "c2", "p1", "p2", "d1", "d2").distinct())
+    fits = f"g1 < g2 and {s.den} * least(n1, n2) >= {s.num} * greatest(n1, n2) and pos1 < n1 - {need} + {SHARED} and pos2 < n2 - {need} + {SHARED}"
+    room = " , ".join(f"n{i} - ceil({s.num} * n{i} / {s.den} - 1e-9) + 1 - (n{i} - {need})" for i in (1, 2))
+    pairs = one.withColumnRenamed("s", "s1").join(two, (F.col("s1") == F.col("s")) & F.expr(fits))
+    pairs = pairs.groupBy("c1", "c2", "n1", "n2", "p1", "p2", "d1", "d2").agg(F.count(F.lit(1)).alias("common"))
+    pairs = cut(pairs.filter(f"common >= least({SHARED}, {room})").select("c1", "c2", "p1", "p2", "d1", "d2"))
 
     # Pivots first, then the boundary members that the triangle inequality leaves.
     possible = _possible(pairs.select(F.col("c1").alias("a"), F.col("c2").alias("b")), vectors, s)
@@ -304,19 +327,18 @@ def join_documents(docs: DataFrame, s: Similarity) -> DataFrame:
     named = classes.select("c", "doc_id").join(found, "c", "left").withColumn("label", F.coalesce("label", "c"))
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     named = named.join(least, "label").select("c", "component_id")
-    out = of.select("doc_id", "n", F.when(F.col("n") > 0, F.col("c")).alias("c")).join(named, "c", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    out = of.select("doc_id", "t", "n", F.when(F.col("n") > 0, F.col("c")).alias("c")).join(named, "c", "left")
+    return out.select("doc_id", "t", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame, s: Similarity | None = None) -> DataFrame:
     """The documents with one of each component, the one of least id, with the columns of ``docs``; rows that repeat
-    this id leave one. Documents without words all stay."""
-    judged = join_documents(docs, s or Similarity())
-    gone = judged.filter("n_shingles > 0 and not (doc_id <=> component_id)").select(_id(F.col("doc_id")).alias("__id")).distinct()
+    this id and text leave one. Documents without words all stay."""
+    gone = _joined(docs, s or Similarity()).filter("n_shingles > 0 and not (doc_id <=> component_id)").select(_id(F.col("doc_id")).alias("__id"), F.col("t").alias("__t")).distinct()
     empty = F.length(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", "")) == 0
-    left = docs.withColumn("__id", _id(F.col("doc_id"))).join(gone, "__id", "left_anti").withColumn("__empty", empty)
-    # Partitioned by __id already: the window needs no shuffle of its own.
-    first = Window.partitionBy("__id", "__empty").orderBy("text")
+    left = docs.withColumns({"__id": _id(F.col("doc_id")), "__t": F.xxhash64("text")}).join(gone, ["__id", "__t"], "left_anti").withColumn("__empty", empty)
+    # Of rows that repeat an id and text one stays. They are partitioned by both already: the window needs no shuffle.
+    first = Window.partitionBy("__id", "__t").orderBy(F.lit(0))
     return left.withColumn("__n", F.row_number().over(first)).filter("__empty or __n = 1").select(*docs.columns)
 
 

@@ -42,7 +42,7 @@ _pack = lambda x: zstandard.ZstdCompressor(level=1).compress(_planes(np.ascontig
 
 def _planes(x: np.ndarray) -> bytes:
     """Bytes of equal weight side by side, which compress better."""
-    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
 
 
 def _unpack(data: bytes, kind: type) -> np.ndarray:
