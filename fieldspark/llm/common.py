@@ -43,6 +43,13 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, label: str, column: str, buckets: int) -> DataFrame:
+    """Writes a table bucketed by a column into the warehouse: joins and groups by it then need no shuffle of it."""
+    name = f"{label}_{uuid.uuid4().hex}"
+    df.write.format("parquet").bucketBy(buckets, column).sortBy(column).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-cases A-Z only."""
     return F.translate(c, UPPER, LOWER)
