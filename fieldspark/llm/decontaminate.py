@@ -16,16 +16,17 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldspark.llm.common import table
-from fieldspark.llm.words import batches_of, gram_hashes, hash_words, mix
+from fieldspark.llm.words import batches_of, gram_hashes, hash_words, mix, parts
 
 #: Words of the benchmark that one pass over the documents holds in memory; a larger one takes more passes.
 WORDS_PER_PASS = 1_000_000
@@ -273,19 +274,24 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings | None
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings | None = None) -> DataFrame:
     """The documents that leak no item, with their columns: judged row by row, without a shuffle."""
-    settings = settings or Settings()
-    at = docs.columns.index("text")
-    for items in _passes(benchmark, settings):
-        shared = docs.sparkSession.sparkContext.broadcast(items)
+    for items in _passes(benchmark, settings or Settings()):
+        docs = docs.filter(~_leaks(docs.sparkSession.sparkContext.broadcast(items))(F.col("text")))
+    return docs
 
-        def run(part: pa.RecordBatch, shared=shared) -> Iterator[pa.RecordBatch]:
-            kept = np.ones(part.num_rows, bool)
-            for doc, *_ in shared.value.search(*hash_words(part.column(at))):
-                kept[doc] = False
-            yield part.filter(pa.array(kept))
 
-        docs = docs.mapInArrow(batches_of(run, at), docs.schema)
-    return docs
+def _leaks(shared: Broadcast) -> Callable[[Column], Column]:
+    """Whether a text leaks an item. Only texts go to Python and only flags come back; the rows wait in the JVM."""
+
+    @F.arrow_udf("boolean")
+    def leaks(texts: pa.Array) -> pa.Array:
+        flags, start = np.zeros(len(texts), bool), 0
+        for part in parts([pa.RecordBatch.from_arrays([texts], names=["text"])], 0):
+            for doc, *_ in shared.value.search(*hash_words(part.column(0))):
+                flags[start + doc] = True
+            start += part.num_rows
+        return pa.array(flags)
+
+    return leaks
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
