@@ -45,6 +45,8 @@ BUCKETS = 128
 SLICE = 16_000_000
 #: Shingles that the prefixes of a pair must share where they are long enough.
 SHARED = 4
+#: Classes from which a root region is crowded.
+CROWD = 64
 #: Identifiers up to which a list of documents to be read again is broadcast (8 bytes each); beyond, a shuffle join.
 FEW_IDS = 1_000_000
 
@@ -82,16 +84,16 @@ def profile(docs: DataFrame, s: Similarity, frequent: tuple[np.ndarray, np.ndarr
             n.append(len(x))
             c.append(_class_of(x))
             rare.append(len(x) - int(_is_frequent(x, last)[0].sum()))
-            v.append(np.bincount((x >> np.uint64(57)).astype(np.int64), minlength=BUCKETS).astype(np.uint32).tobytes())
+            v.append(np.bincount((x >> np.uint64(57)).astype(np.int64), minlength=BUCKETS).astype(np.int32))
             for j, salt in enumerate(salts):
                 y = x * salt
                 m[j].append(int((y ^ (y >> np.uint64(31))).min()) if len(x) else 0)
         u = lambda x: signed(np.array(x, np.uint64))
         names = ["doc_id", "t", "n", "c", "u", *(f"m{j}" for j in range(CELLS)), "v"]
-        yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(n, pa.int64()), u(c), pa.array(rare, pa.int64()), *map(u, m), pa.array(v, pa.binary())], names=names)
+        yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(n, pa.int64()), u(c), pa.array(rare, pa.int64()), *map(u, m), pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate([*v, np.empty(0, np.int32)])), BUCKETS).cast(pa.list_(pa.int32()))], names=names)
 
     columns = "".join(f", m{j} long" for j in range(CELLS))
-    return docs.select("doc_id", "text", "t").mapInArrow(batches_of(run, 1), f"doc_id {kind}, t long, n long, c long, u long{columns}, v binary")
+    return docs.select("doc_id", "text", "t").mapInArrow(batches_of(run, 1), f"doc_id {kind}, t long, n long, c long, u long{columns}, v array<int>")
 
 
 def _frequent(docs: DataFrame, s: Similarity) -> tuple[np.ndarray, np.ndarray]:
@@ -220,7 +222,7 @@ def _possible(pairs: DataFrame, vectors: DataFrame, s: Similarity) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(-1, BUCKETS).astype(np.int64) for i in (2, 3))
+            x, y = (batch.column(i).flatten().to_numpy().reshape(-1, BUCKETS).astype(np.int64) for i in (2, 3))
             fits = np.minimum(x, y).sum(axis=1) * (s.den + s.num) >= (x.sum(axis=1) + y.sum(axis=1)) * s.num
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(fits))
 
@@ -300,15 +302,23 @@ def _joined(docs: DataFrame, s: Similarity) -> DataFrame:
     # Regions of different groups that meet in a root region: the pairs of members that sizes and positions allow.
     placed = meeting.join(groups, "c", "left").withColumn("g", F.coalesce("label", "c")).drop("label")
     placed = placed.join(members, "c", "left").select("s", "c", "n", "pos", "g", F.coalesce("pivot", "c").alias("p"), F.coalesce("d", F.lit(0.0)).alias("d"))
-    mixed = placed.groupBy("s").agg(F.min("g").alias("low"), F.max("g").alias("high")).filter("low < high").select("s")
-    placed = stored(placed.join(mixed, "s", "left_semi"), "jaccard-mixed")
-    one, two = (placed.select("s", *(F.col(x).alias(f"{x}{i}") for x in ("c", "n", "pos", "g", "p", "d"))) for i in (1, 2))
+    mixed = placed.groupBy("s").agg(F.min("g").alias("low"), F.max("g").alias("high"), F.count(F.lit(1)).alias("k")).filter("low < high").select("s", "k")
+    placed = stored(placed.join(mixed, "s"), "jaccard-mixed")
     # A linked pair shares SHARED shingles within as many more places than the one that it must share at least, or as
     # many as its prefixes have; ``room`` is what the prefix filter leaves of a set for an intersection of ``need``.
     need = f"ceil((n1 + n2) * {s.num} / ({s.num} + {s.den}) - 1e-9)"
     fits = f"g1 < g2 and {s.den} * least(n1, n2) >= {s.num} * greatest(n1, n2) and pos1 < n1 - {need} + {SHARED} and pos2 < n2 - {need} + {SHARED}"
     room = " , ".join(f"n{i} - ceil({s.num} * n{i} / {s.den} - 1e-9) + 1 - (n{i} - {need})" for i in (1, 2))
-    pairs = one.withColumnRenamed("s", "s1").join(two, (F.col("s1") == F.col("s")) & F.expr(fits))
+    met = f"aggregate(zip_with(v1, v2, (x, y) -> least(x, y)), 0, (t, x) -> t + x) >= {need}"
+
+    def meet(rows: DataFrame, condition: str, *more: str) -> DataFrame:
+        one, two = (rows.select("s", *(F.col(x).alias(f"{x}{i}") for x in ("c", "n", "pos", "g", "p", "d", *more))) for i in (1, 2))
+        both = one.withColumnRenamed("s", "s1").join(two, (F.col("s1") == F.col("s")) & F.expr(condition))
+        return both.select("c1", "c2", "n1", "n2", "p1", "p2", "d1", "d2")
+
+    # In a crowded root region the counts by bucket are compared as pairs are made, elsewhere afterwards.
+    crowd = placed.filter(F.col("k") > CROWD).join(vectors, "c")
+    pairs = meet(placed.filter(F.col("k") <= CROWD), fits).union(meet(crowd, f"{fits} and {met}", "v"))
     pairs = pairs.groupBy("c1", "c2", "n1", "n2", "p1", "p2", "d1", "d2").agg(F.count(F.lit(1)).alias("common"))
     pairs = cut(pairs.filter(f"common >= least({SHARED}, {room})").select("c1", "c2", "p1", "p2", "d1", "d2"))
 

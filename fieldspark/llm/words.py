@@ -28,6 +28,9 @@ def parts(batches: Iterable[pa.RecordBatch], column: int, size: int = BYTES_PER_
             stop = max(start + 1, int(np.searchsorted(ends, before + size, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+        # Workers are used again by other stages: what Arrow's pool keeps for later goes back.
+        del batch, lengths, ends
+        pa.default_memory_pool().release_unused()
 
 
 def hash_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
