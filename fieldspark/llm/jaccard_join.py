@@ -42,7 +42,7 @@ CELLS = 6
 FREQUENT, MOST_FREQUENT = 5, 1_000_000
 #: Parts of the universe of shingles whose counts bound an intersection.
 BUCKETS = 128
-SLICE = 16_000_000
+SLICE = 8_000_000
 #: Shingles that the prefixes of a pair must share where they are long enough.
 SHARED = 4
 #: Classes from which a root region is crowded.
