@@ -44,9 +44,13 @@ def within(edges: DataFrame, origins: DataFrame, bound: float) -> DataFrame:
         best = cut(best.unionByName(front).groupBy("origin", "node").agg(F.min("distance").alias("distance")))
 
 
-def resolve_chains(links: DataFrame, rounds: int = 64) -> DataFrame:
-    """End of the chain of each ``alias -> target`` link, by doubling; a cycle is an error."""
+def resolve_chains(links: DataFrame) -> DataFrame:
+    """End of the chain of each ``alias -> target`` link, by doubling; a cycle is an error.
+
+    A chain has no more steps than there are links, so one that still moves after as many doublings is a cycle.
+    """
     now = cut(links.select("alias", "target").distinct())
+    rounds = now.count().bit_length() + 1
     if not now.groupBy("alias").count().filter("count > 1").isEmpty():
         raise ValueError("an alias has two targets")
     for _ in range(rounds):

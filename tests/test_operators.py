@@ -186,3 +186,93 @@ def test_first_failing_gate_is_named(spark):
 def test_auc_counts_ties_by_half(spark):
     rows = spark.createDataFrame([(1, 0.9), (0, 0.9), (1, 0.2), (0, 0.1)], "y int, p double").withColumn("w", F.lit(1.0))
     assert metrics.auc(rows).first()["auc"] == pytest.approx(0.625)
+
+
+def test_sources_sinks_and_releases(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from fieldspark.sources import readers, sinks
+
+    (tmp_path / "a.csv").write_text("ID,Date,Latitude,Longitude,Pod\n1,2024-05-01,48.5,-123.1,J pod\n,2024-05-02,48.6,-123.2,\n")
+    rows = readers.adapt("csv", readers.read_text_csv(spark, f"{tmp_path}/a.csv"), "TWM", ["id", "date", "latitude", "longitude", "pod"])
+    got = sorted(r["record_id"] for r in rows.collect())
+    assert got[0] == "TWM:1" and got[1].startswith("TWM:sha256:") and rows.columns == readers.SOURCE_RECORD.names
+    with pytest.raises(ValueError, match="declared"):
+        readers.require_complete(rows, 3, "record_id")
+    assert readers.retry_after("7") == 7 and readers.retry_after("-1") == 0 and readers.retry_after("x") is None
+
+    pages = [{"total_results": 3, "results": [{"id": 1}, {"id": 2}]}, {"total_results": 1, "results": [{"id": 5}]}]
+    api = readers.PagedApi(lambda params: pages[0 if params["id_above"] == 0 else 1], page_size=2)
+    assert api.land(spark, {}, f"{tmp_path}/landed").count() == 3
+
+    contract = quality.Contract(T.StructType([T.StructField("k", T.LongType(), False), T.StructField("v", T.StringType())]), ("k",))
+    table = spark.createDataFrame([(1, "a"), (2, None)], "k long, v string")
+    assert sinks.write_validated(table, f"{tmp_path}/t", contract).count() == 2
+    with pytest.raises(ValueError, match="repeated key"):
+        sinks.write_validated(table.union(table), f"{tmp_path}/t", contract)
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 2
+    assert [sinks.append_new(table, f"{tmp_path}/log", ["k"]) for _ in range(2)] == [2, 0]
+    assert sinks.content_hash(table) == sinks.content_hash(table.orderBy(F.desc("k")))
+    manifest = sinks.promote(tmp_path / "r", {"t": sinks.content_hash(table)}, {"coverage": True}, {})
+    assert sinks.validate_release(manifest) == []
+    manifest.write_text(manifest.read_text().replace('"coverage": true', '"coverage": false'))
+    assert len(sinks.validate_release(manifest)) == 2
+    with pytest.raises(ValueError, match="gates"):
+        sinks.promote(tmp_path / "r", {}, {"mass": False}, {})
+    assert [sinks.retention(*x) for x in ((None, 1), (10, 9), (100, 105), (100, 200))] == ["KEEP_NO_BASELINE", "KEEP_SHRUNK", "PRUNE", "KEEP_GREW_TOO_MUCH"]
+
+
+def test_configuration_documents(tmp_path):
+    from fieldspark.plans import config
+
+    (tmp_path / "a.json").write_text('{"x": {"p": 1, "q": 2}, "token": "${env:T}"}')
+    (tmp_path / "b.json").write_text('{"extends": "a.json", "x": {"q": 3}, "name": "n-${x.q}"}')
+    got = config.resolve(config.load(tmp_path / "b.json"), {"T": "s"})
+    assert got == {"x": {"p": 1, "q": 3}, "token": "s", "name": "n-3"} and config.redact(got)["token"] == "***"
+    (tmp_path / "a.json").write_text('{"extends": "b.json"}')
+    with pytest.raises(ValueError, match="extend"):
+        config.load(tmp_path / "b.json")
+    with pytest.raises(ValueError, match="unknown"):
+        config.strict({"z": 1}, {"a": 1})
+
+
+def test_streams(spark, tmp_path):
+    from fieldspark.streaming import stateful
+
+    src = f"{tmp_path}/in"
+    rows = [(i, datetime(2024, 1, 1 + i % 5, 12), i % 3, "view", 1.0) for i in range(60)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double").write.parquet(src)
+    schema = spark.read.parquet(src).schema
+    q = stateful.run_to_parquet(stateful.windowed_counts(stateful.read_events(spark, src, schema), ["event_type"]), f"{tmp_path}/out", f"{tmp_path}/c1")
+    q.awaitTermination(120)
+    done = spark.read.parquet(f"{tmp_path}/out").collect()
+    assert all(r["events"] == 12 for r in done) and 1 <= len(done) <= 5
+
+    history = [("a", "s", "1", date(2024, 1, 1), 0, "x"), ("a", "s", "2", date(2024, 1, 2), 1, "x"), ("a", "s", "3", date(2024, 1, 3), 2, "y")]
+    spark.createDataFrame(history, "record_id string, source string, retrieval_id string, retrieved_at date, arrival int, payload string").write.parquet(f"{tmp_path}/h")
+    for c in ("c2", "c3"):  # the second run replays all files against the history
+        stream = stateful.read_events(spark, f"{tmp_path}/h", spark.read.parquet(f"{tmp_path}/h").schema)
+        stateful.upsert_history(stream, f"{tmp_path}/history", f"{tmp_path}/{c}").awaitTermination(120)
+    assert sorted(r["retrieval_id"] for r in spark.read.parquet(f"{tmp_path}/history").collect()) == ["1", "3"]
+
+
+def test_query_facade(spark):
+    from fieldspark.plans.query import Request, count_products, query_observations
+    from fieldspark.sources.readers import SOURCE_RECORD, source_records
+
+    rows = [
+        ("1", "TWM", "J pod", "2024-05-01T10:00:00", "2024-05-01", "48.500", "-123.100"),
+        ("2", "CWR", "SRKW", "2024-05-01T10:05:00", "2024-05-01", "48.501", "-123.100"),
+        ("3", "CWR", "transients", "2024-05-01T10:05:00", "2024-05-01", "48.501", "-123.100"),
+        ("4", "CWR", None, None, "not a date", "48.5", "-123.1"),
+    ]
+    raw = spark.createDataFrame(rows, "id string, s string, label_raw string, observed_at_raw string, observed_date_raw string, latitude_raw string, longitude_raw string").withColumn("payload", F.col("id"))
+    records = source_records(raw.filter("s = 'TWM'"), "TWM", "id").unionByName(source_records(raw.filter("s = 'CWR'"), "CWR", "id"))
+    assert records.columns == SOURCE_RECORD.names
+    request = Request(date(2024, 4, 29), date(2024, 5, 12))
+    obs = query_observations(spark, records, request)
+    assert sorted((r["detail"], tuple(r["sources"])) for r in obs.collect()) == [("SRKW", ("CWR", "TWM")), ("TRANSIENT", ("CWR",))]
+    products = count_products(obs, request)
+    assert products["weekly"].count() == 2 and {r["reporting_state"] for r in products["totals"].collect()} == {"REPORTED", "UNAVAILABLE"}
+    with pytest.raises(ValueError, match="window"):
+        Request(date(2024, 5, 2), date(2024, 5, 1))
