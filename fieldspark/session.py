@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 
@@ -21,3 +25,17 @@ def build_session(app: str = "fieldspark", master: str | None = None, **conf: st
     for key, value in {**defaults, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Makes the package importable in Python workers, once for each application: Spark serves a zip of its sources."""
+    context = spark.sparkContext
+    if getattr(context, "_fieldspark_shipped", False):
+        return
+    root = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp()) / "fieldspark_sources.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted([*(root / "fieldspark").rglob("*.py"), *root.glob("corpus_pipeline.py")]):
+            out.write(path, path.relative_to(root))
+    context.addPyFile(str(archive))
+    context._fieldspark_shipped = True
