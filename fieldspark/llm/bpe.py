@@ -70,16 +70,29 @@ class Codec:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.words = regex.compile(unicode_pattern(pattern))
         self.byte_ids = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.int32)
+        splits = [(self.ranks[t[:i]] * 65536 + self.ranks[t[i:]], r) for t, r in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
+        self.tables = {
+            "merges": pa.table({"pair": pa.array([s for s, _ in splits], pa.int64()), "merged": pa.array([r for _, r in splits], pa.int32())}),
+            "vocabulary": pa.table({"id": pa.array(list(self.ranks.values()), pa.int32()), "hex": [t.hex() for t in self.ranks]}),
+        }
+        self._forget()
+        self._open()
+
+    def _open(self) -> None:
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
         self.db.execute("SET preserve_insertion_order = false")
-        splits = [(self.ranks[t[:i]] * 65536 + self.ranks[t[i:]], r) for t, r in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
-        merges = pa.table({"pair": pa.array([s for s, _ in splits], pa.int64()), "merged": pa.array([r for _, r in splits], pa.int32())})
-        vocabulary = pa.table({"id": pa.array(list(self.ranks.values()), pa.int32()), "hex": [t.hex() for t in self.ranks]})
-        for name, rows in (("merges", merges), ("vocabulary", vocabulary)):
+        for name, rows in self.tables.items():
             self.db.register("rows_in", rows)
             self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM rows_in")
             self.db.unregister("rows_in")
-        self._forget()
+
+    def rest(self) -> None:
+        """Between partitions: the worker may serve other stages, so DuckDB's buffers and most known words go."""
+        self.db.close()
+        self._open()
+        if len(self.known) > KNOWN_WORDS // 2:
+            self._forget()
+        pa.default_memory_pool().release_unused()
 
     def _forget(self) -> None:
         """Known words have numbers; word k's ids are ``flat[start[k] : start[k] + size[k]]``."""
@@ -170,7 +183,7 @@ class Codec:
         if len(self.known) > KNOWN_WORDS:
             self._forget()
         known = self.known
-        self._learn(sorted({w for words in split for w in words if w not in known}))
+        self._learn({w for words in split for w in words if w not in known})
         numbers = np.array(list(map(known.__getitem__, chain.from_iterable(split))), np.int64)
         sizes = self.size[numbers].astype(np.int64)
         flat = self.flat[_ranges(self.start[numbers], sizes)]
@@ -235,6 +248,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         for part in _parts(batches, 1, _text_size):
             ids = c.encode([x or "" for x in part.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays([part.column(0), _lists(ids)], names=["doc_id", "ids"])
+        c.rest()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>")
@@ -248,6 +262,7 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
         for part in _parts(batches, 1, lambda x: 4 * len(x) if x.is_valid else 0):
             decoded = c.decode([np.array(x or [], np.int32) for x in part.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(decoded, pa.binary())], names=["doc_id", "decoded"])
+        c.rest()
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, decoded binary")
@@ -272,6 +287,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, with_ids: bool = False)
             if with_ids:
                 columns.append(_lists(ids))
             yield pa.RecordBatch.from_arrays(columns, names=list(out))
+        c.rest()
 
     out = {"doc_id": docs.schema["doc_id"].dataType.simpleString(), "n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"}
     if with_ids:
