@@ -276,3 +276,25 @@ def test_query_facade(spark):
     assert products["weekly"].count() == 2 and {r["reporting_state"] for r in products["totals"].collect()} == {"REPORTED", "UNAVAILABLE"}
     with pytest.raises(ValueError, match="window"):
         Request(date(2024, 5, 2), date(2024, 5, 1))
+
+
+def test_report_and_command_line(spark, small, tmp_path, capsys):
+    import json
+
+    from fieldspark import cli
+    from fieldspark.plans import report
+    from fieldspark.plans.base import sightings
+
+    obs = sightings(spark, small)
+    got = report.build(obs)
+    assert got["extent"]["observations"] == obs.count() == sum(x["observations"] for x in got["sources"]) == sum(x["observations"] for x in got["days"])
+    with pytest.raises(ValueError, match="repeated"):
+        report.build(obs.union(obs))
+    with pytest.raises(ValueError, match="missing"):
+        report.build(obs.drop("lat"))
+    assert cli.main(["list"]) == 0 and "a_04_weekly_counts" in capsys.readouterr().out
+    assert cli.main(["run", "a_20_source_summary", small, f"{tmp_path}/out", "--format", "json"]) == 0
+    assert spark.read.json(f"{tmp_path}/out").count() == 6
+    obs.write.parquet(f"{tmp_path}/obs")
+    assert cli.main(["report", f"{tmp_path}/obs", f"{tmp_path}/r.json"]) == 0
+    assert json.loads((tmp_path / "r.json").read_text())["extent"]["observations"] == obs.count()
