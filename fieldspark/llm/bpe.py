@@ -9,6 +9,7 @@ Decoding joins (document, position, id) rows with the vocabulary and aggregates
 from __future__ import annotations
 
 import base64
+import ctypes
 import hashlib
 import heapq
 from collections.abc import Iterable, Iterator, Sequence
@@ -25,7 +26,7 @@ from fieldspark.llm.common import table
 
 #: Rows of one recursive query, known words of a worker and characters of one sub-batch: they bound a worker's memory.
 ROWS_PER_QUERY = 250_000
-KNOWN_WORDS = 600_000
+KNOWN_WORDS = 500_000
 CHARS_PER_BATCH = 4_000_000
 #: The recursion takes as many rounds as a word has merges; longer words are contracted from a heap instead.
 LONGEST_WORD = 256
@@ -76,10 +77,7 @@ class Codec:
             "vocabulary": pa.table({"id": pa.array(list(self.ranks.values()), pa.int32()), "hex": [t.hex() for t in self.ranks]}),
         }
         self._forget()
-        self._open()
-
-    def _open(self) -> None:
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": "", "allocator_flush_threshold": "1MB"})
         self.db.execute("SET preserve_insertion_order = false")
         for name, rows in self.tables.items():
             self.db.register("rows_in", rows)
@@ -87,12 +85,12 @@ class Codec:
             self.db.unregister("rows_in")
 
     def rest(self) -> None:
-        """Between partitions: the worker may serve other stages, so DuckDB's buffers and most known words go."""
-        self.db.close()
-        self._open()
+        """Between partitions: the worker may serve other stages, so most known words go, and free memory goes back."""
         if len(self.known) > KNOWN_WORDS // 2:
             self._forget()
         pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)
 
     def _forget(self) -> None:
         """Known words have numbers; word k's ids are ``flat[start[k] : start[k] + size[k]]``."""
