@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -69,9 +71,15 @@ def labelled_notes(lines: Column, aliases: dict[str, str]) -> Column:
         F.filter(lines, lambda x: x.contains(":")),
         lambda x: F.struct(names[F.lower(F.trim(F.substring_index(x, ":", 1)))].alias("key"), F.trim(F.substr(x, F.instr(x, ":") + 1)).alias("value")),
     )
-    known = F.filter(pairs, lambda p: p["key"].isNotNull())
-    last = F.filter(known, lambda p, i: ~F.exists(F.slice(F.transform(known, lambda q: q["key"]), i + 2, F.size(known) + 1), lambda k: k == p["key"]))
-    return F.map_from_entries(last)
+    found = []
+    for field in dict.fromkeys(aliases.values()):
+        last = F.try_element_at(F.filter(pairs, _keyed(field)), F.lit(-1))
+        found += [F.lit(field), last["value"]]
+    return F.map_filter(F.create_map(*found), lambda _, v: v.isNotNull())
+
+
+def _keyed(field: str) -> Callable[[Column], Column]:
+    return lambda p: p["key"] == field
 
 
 def date_text(c: Column) -> Column:
