@@ -61,7 +61,7 @@ def html_lines(c: Column) -> Column:
     plain = F.regexp_replace(broken, r"<[^>]*>", "")
     for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
         plain = F.replace(plain, F.lit(entity), F.lit(char))
-    return F.filter(F.transform(F.split(plain, "\n"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(plain, "\n"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def labelled_notes(lines: Column, aliases: dict[str, str]) -> Column:
