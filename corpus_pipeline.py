@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from fieldspark.llm import bpe, decontaminate, exact_dedup, jaccard_join, toxicity
-from fieldspark.llm.common import stored, table
+from fieldspark.llm.common import bound_batches, stored, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,6 +34,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, with digests of the ids and of the bytes that they decode to."""
+    bound_batches(spark)
     return bpe.round_trip(docs, *bpe.default_vocabulary(), with_ids=True)
 
 

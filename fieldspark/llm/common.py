@@ -15,12 +15,26 @@ LOWER = UPPER.lower()
 SPACES = " \t\n\x0b\x0c\r"
 
 
+#: Bytes of a batch that goes to a Python worker; ten thousand long documents would be a hundred times as many.
+BATCH_BYTES = 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bounds the batches that travel between the JVM and Python workers by bytes, unless they are smaller already."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch()
+    if not 0 < now <= BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``, or a local one where it is unset (tests)."""
+    bound_batches(spark)
     context = spark.sparkContext
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
