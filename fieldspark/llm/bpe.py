@@ -27,7 +27,7 @@ from fieldspark.llm.common import table
 #: Rows of one recursive query, known words of a worker and characters of one sub-batch: they bound a worker's memory.
 ROWS_PER_QUERY = 250_000
 KNOWN_WORDS = 500_000
-CHARS_PER_BATCH = 4_000_000
+CHARS_PER_BATCH = 1_000_000
 #: The recursion takes as many rounds as a word has merges; longer words are contracted from a heap instead.
 LONGEST_WORD = 256
 
@@ -76,6 +76,7 @@ class Codec:
             "merges": pa.table({"pair": pa.array([s for s, _ in splits], pa.int64()), "merged": pa.array([r for _, r in splits], pa.int32())}),
             "vocabulary": pa.table({"id": pa.array(list(self.ranks.values()), pa.int32()), "hex": [t.hex() for t in self.ranks]}),
         }
+        self.limit = KNOWN_WORDS
         self._forget()
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": "", "allocator_flush_threshold": "1MB"})
         self.db.execute("SET preserve_insertion_order = false")
@@ -86,7 +87,7 @@ class Codec:
 
     def rest(self) -> None:
         """Between partitions: the worker may serve other stages, so most known words go, and free memory goes back."""
-        if len(self.known) > KNOWN_WORDS // 2:
+        if len(self.known) > self.limit // 2:
             self._forget()
         pa.default_memory_pool().release_unused()
         if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
@@ -178,7 +179,7 @@ class Codec:
     def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
         """Ids of each text, without special tokens."""
         split = [self.words.findall(t) for t in texts]
-        if len(self.known) > KNOWN_WORDS:
+        if len(self.known) > self.limit:
             self._forget()
         known = self.known
         self._learn({w for words in split for w in words if w not in known})
@@ -266,12 +267,13 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, decoded binary")
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str, with_ids: bool = False) -> DataFrame:
+def round_trip(docs: DataFrame, path: str, pattern: str, with_ids: bool = False, known_words: int = KNOWN_WORDS) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256``: each text is encoded, its ids decoded, and both hashed in place;
-    ``with_ids`` adds the ids."""
+    ``with_ids`` adds the ids, and ``known_words`` bounds the words that a worker remembers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
+        c.limit = known_words
         names = [str(i) for i in range(len(c.ranks))]
         sha = lambda x: hashlib.sha256(x).hexdigest()
         for part in _parts(batches, 1, _text_size):
