@@ -35,7 +35,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, with digests of the ids and of the bytes that they decode to."""
     bound_batches(spark)
-    return bpe.round_trip(docs, *bpe.default_vocabulary(), with_ids=True, known_words=100_000)
+    return bpe.round_trip(docs, *bpe.default_vocabulary(), with_ids=True, known_words=100_000, chars=1_000_000)
 
 
 STAGES = [

@@ -26,8 +26,8 @@ from fieldspark.llm.common import table
 
 #: Rows of one recursive query, known words of a worker and characters of one sub-batch: they bound a worker's memory.
 ROWS_PER_QUERY = 250_000
-KNOWN_WORDS = 500_000
-CHARS_PER_BATCH = 1_000_000
+KNOWN_WORDS = 600_000
+CHARS_PER_BATCH = 4_000_000
 #: The recursion takes as many rounds as a word has merges; longer words are contracted from a heap instead.
 LONGEST_WORD = 256
 
@@ -78,7 +78,7 @@ class Codec:
         }
         self.limit = KNOWN_WORDS
         self._forget()
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": "", "allocator_flush_threshold": "1MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
         self.db.execute("SET preserve_insertion_order = false")
         for name, rows in self.tables.items():
             self.db.register("rows_in", rows)
@@ -87,7 +87,7 @@ class Codec:
 
     def rest(self) -> None:
         """Between partitions: the worker may serve other stages, so most known words go, and free memory goes back."""
-        if len(self.known) > self.limit // 2:
+        if len(self.known) > self.limit:
             self._forget()
         pa.default_memory_pool().release_unused()
         if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
@@ -213,13 +213,13 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
-def _parts(batches: Iterable[pa.RecordBatch], column: int, size) -> Iterator[pa.RecordBatch]:
+def _parts(batches: Iterable[pa.RecordBatch], column: int, size, most: int = CHARS_PER_BATCH) -> Iterator[pa.RecordBatch]:
     """The batches in slices of bounded total size (a single larger row is a slice of its own)."""
     for batch in batches:
         sizes = [size(x) for x in batch.column(column)]
         start = total = 0
         for i, n in enumerate(sizes):
-            if i > start and total + n > CHARS_PER_BATCH:
+            if i > start and total + n > most:
                 yield batch.slice(start, i - start)
                 start, total = i, 0
             total += n
@@ -267,16 +267,16 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, decoded binary")
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str, with_ids: bool = False, known_words: int = KNOWN_WORDS) -> DataFrame:
+def round_trip(docs: DataFrame, path: str, pattern: str, with_ids: bool = False, known_words: int = KNOWN_WORDS, chars: int = CHARS_PER_BATCH) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256``: each text is encoded, its ids decoded, and both hashed in place;
-    ``with_ids`` adds the ids, and ``known_words`` bounds the words that a worker remembers."""
+    ``with_ids`` adds the ids, ``known_words`` and ``chars`` bound what a worker remembers and handles at once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
         c.limit = known_words
         names = [str(i) for i in range(len(c.ranks))]
         sha = lambda x: hashlib.sha256(x).hexdigest()
-        for part in _parts(batches, 1, _text_size):
+        for part in _parts(batches, 1, _text_size, chars):
             ids = c.encode([x or "" for x in part.column(1).to_pylist()])
             columns = [
                 part.column(0),
