@@ -32,8 +32,8 @@ from fieldspark.llm.words import hash_words, mix, parts
 
 #: Bytes of text in a part, tokens for which there is one range, and the counts that are discounted.
 PART, TOKENS_PER_RANGE, DISCOUNTED = 16_000_000, 1_500_000, 5
-#: Pairs seen less often back off (their mass goes to the back-off weight).
-CUTOFF = 2
+#: Pairs seen less often back off (their mass goes to the back-off weight): all counted pairs are kept.
+CUTOFF = 1
 HOT = 1000
 END, START = np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9E6C63D0676A9A99)
 

@@ -256,6 +256,26 @@ def test_katz_equals_brute_force_and_sums_to_one(spark, corpus):
         assert any(tuple(r)[1:5] == x[:4] and r["base_score"] == pytest.approx(x[4]) and r["score"] == pytest.approx(x[5]) for x in want[r["doc_id"]])
 
 
+def test_katz_keeps_pairs_seen_once(spark):
+    rows = [(i, f"a b{i} c a") for i in range(6)] + [(10, "a b0"), (11, "a c")]
+    got = katz.score_documents(frame(spark, rows).withColumn("held_out", F.col("doc_id") >= 10)).collect()
+    score = {r["doc_id"]: r["score"] for r in got}
+    # One: a 12, c 6, end 6, b0-b5 1; pairs: start-a 6, a-end 6, a-b(i) and b(i)-c once each. "a b0" ends with an unseen pair.
+    one = katz.Level.of([6, 0, 0, 0, 0, 2])
+    two = katz.Level.of([12, 0, 0, 0, 0, 3])
+    kept = 30 - 6 * (1 - one.d[1])
+    unknown = 1 - kept / 30
+    p1 = lambda c: (one.d[c] if c <= 5 else 1.0) * c * (1 - unknown) / kept
+    left = 6 * (1 - two.d[1]) / 12  # what the six pairs seen once leave after "a"
+    pair = two.d[1] / 12  # p(b0 | a), which a model without them backs off
+    alpha_b = (1 - two.d[1]) / (1 - p1(6))
+    start = 1 - 0.5 / 7  # "a" alone follows the start, and gives up half a count's
+    assert score[10] == pytest.approx(np.log10(start) + np.log10(pair) + np.log10(alpha_b * p1(6)))
+    alpha_a = left / (1 - 6 * p1(1) - p1(6))
+    alpha_c = (0.5 / 7) / (1 - p1(12))
+    assert score[11] == pytest.approx(np.log10(start) + np.log10(alpha_a * p1(6)) + np.log10(alpha_c * p1(6)))
+
+
 def test_katz_without_training_documents(spark):
     got = katz.score_documents(frame(spark, [(1, "a b"), (2, None)]).withColumn("held_out", F.lit(True))).collect()
     assert all(r["n_known"] == 0 and r["score"] == 0 and r["train_tokens"] == 0 for r in got)
