@@ -1,8 +1,9 @@
 """Format-preserving pseudonyms for personal data (operator 6, DataFrame functions only).
 
-Candidates are found by one pattern and validated: card numbers by Luhn's sum, IBANs by their remainder, addresses by
-their octets, dates by the calendar, US phone and social security numbers by their reserved ranges. What is valid is
-permuted by a keyed Feistel network over its own domain, so that equal values get equal pseudonyms in every document,
+Candidates are found by one pattern, with the numbers that touch them; a part that is no valid value as a whole is looked
+through again at each place where one may start, for shorter candidates of every kind. They are validated: card numbers
+by Luhn's sum, IBANs by their remainder, addresses by their octets, dates by the calendar, US phone and social security
+numbers by their reserved ranges. What is valid is permuted by a keyed Feistel network over its own domain, so that equal values get equal pseudonyms in every document,
 different values different ones, and each pseudonym is valid in the same format with the same separators.
 
 A network alternates ``left = (left + f(right)) mod a`` and ``right = (right + f(left)) mod b``, a permutation of the
@@ -22,19 +23,48 @@ from fieldspark.llm.common import table
 ROUNDS = 10
 KINDS = ("email", "iban", "date", "ip", "ssn", "card", "phone")
 #: Candidates; Java's syntax. Digits next to a candidate would make it a part of another number.
-PATTERN = "|".join(
-    [
-        r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
-        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-        r"(?<![0-9])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])",
-        r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
-        r"(?<![0-9/.])[0-9]{1,2}([/.])[0-9]{1,2}\1[0-9]{4}(?![0-9])",
-        r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-        r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
-        r"(?<![0-9A-Za-z])\+?[0-9]{0,3}[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])",
-        r"(?<![0-9A-Za-z])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}(?![0-9])",
-    ]
+EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}"
+#: Lengths of the countries' IBANs; other countries' are tried at any length.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK|FI|FO|GL|NL|SD|FK", 19: "MK|SI", 20: "AT|BA|EE|KZ|LT|LU|XK|MN", 21: "CH|HR|LI|LV",
+    22: "BG|BH|CR|DE|GB|GE|IE|ME|RS|VA", 23: "AE|GI|IL|IQ|TL|OM|SO", 24: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG", 25: "PT|ST|LY",
+    26: "IS|TR", 27: "FR|GR|IT|MC|MR|SM|BI|DJ", 28: "AL|AZ|CY|DO|GT|HU|LB|PL|BY|SV|NI", 29: "BR|EG|PS|QA|UA", 30: "JO|KW|MU|YE", 31: "MT|SC", 32: "LC", 33: "RU",
+}
+_IBAN_OF = "|".join(f"(?:{c})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (f" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") + "(?![A-Za-z0-9])" for n, c in IBAN_LENGTHS.items())
+_IBAN_START = "[A-Z]{2}[0-9]{2}"
+ISO = r"(?<![0-9])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])"
+IP = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"
+DAY = r"(?<![0-9/.])[0-9]{1,2}(?<mark>[/.])[0-9]{1,2}\k<mark>[0-9]{4}(?![0-9])"
+SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
+CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
+PHONE = r"(?<![0-9A-Za-z])\+?[0-9]{0,3}[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
+#: A group of an international number is not the start of a value that is written in full.
+_WHOLE = r"[ .-]?(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}[/.][0-9]{1,2}[/.][0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4}|[0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9])"
+
+
+def _abroad(groups: str) -> str:
+    return rf"(?<![0-9A-Za-z])\+[0-9]{{1,3}}(?:(?!{_WHOLE})[ .-]?[0-9]{{2,4}}){{{groups}}}(?![0-9])"
+
+
+#: Digits that belong to an email are left to it.
+_NO_EMAIL = r"(?![A-Za-z0-9._%+-]{0,64}@)"
+#: Numbers go on to the last that touches by separators: which of them are values is found by a look inside.
+TAIL = rf"(?:[ ()./+-][0-9 ()./+-]*(?<=[0-9])(?![0-9]|[._%+-]{{0,64}}[A-Za-z@]))?"
+PATTERN = (
+    rf"{EMAIL}|(?:(?<![A-Za-z0-9])(?:{_IBAN_OF}|{_IBAN_START}(?:(?! {_IBAN_START} ?[A-Z0-9]{{4}}) ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?(?![A-Za-z0-9])){_NO_EMAIL}"
+    rf"|(?:{'|'.join([ISO, IP, DAY, SSN, CARD, PHONE, _abroad('2,5')])}){_NO_EMAIL}){TAIL}"
 )
+#: What is tried in turn at each place of a rejected part, after the character before it.
+_CARDS = [
+    "[0-9]{13,19}(?![0-9])",
+    *(rf"[0-9]{{4}}(?<mark>[ -])[0-9]{{4}}\k<mark>[0-9]{{4}}\k<mark>{last}(?![0-9])" for last in (r"[0-9]{4}\k<mark>[0-9]{1,3}", "[0-9]{1,4}")),
+    r"[0-9]{4}(?<mark>[ -])[0-9]{6}\k<mark>[0-9]{4,5}(?![0-9])",
+    "[0-9]{6}[ -][0-9]{7,13}(?![0-9])",
+]
+_IBANS = [f"(?:{_IBAN_OF})", *(f"{_IBAN_START}(?: ?[A-Z0-9]{{4}}){{{n}}}{last}(?![A-Za-z0-9])" for n in range(7, 1, -1) for last in (" ?[A-Z0-9]{1,3}", ""))]
+INSIDE = [ISO, IP, DAY, SSN, *_CARDS, PHONE, *(_abroad(str(n)) for n in range(5, 1, -1)), CARD]
+#: Characters of a place's window: the longest candidate is shorter.
+WINDOW = 64
 #: Marks around candidates; a mark that is in the text already is written with an E and restored.
 MARK = "\x01"
 ESCAPED, AROUND = f"{MARK}E", f"{MARK}M"
@@ -247,6 +277,59 @@ def _long_digits(digits: Column, key: str, kind: str) -> Column:
     return F.when(F.length(digits) == 0, digits).when(F.length(digits) <= 18, first).otherwise(F.concat(first, permute_digits(rest, key, f"{kind}2")))
 
 
+def _value(kind: Column, value: Column) -> Column:
+    return F.struct(kind.alias("kind"), value.alias("value"))
+
+
+def _inside(x: Column, before: Column, after: Column) -> Column:
+    """The values in a part that is not one value itself, and what lies between them, in order.
+
+    A window is laid at every place where a value may start; the first candidate there that is valid counts, and the
+    places that it covers do not.
+    """
+    whole = F.concat(F.when(before == "", F.lit(" ")).otherwise(F.right(before, F.lit(1))), x, F.left(after, F.lit(1)))
+    starts = "(?:(?<=[^0-9])[0-9]|(?<=[^0-9A-Za-z])[A-Z(+])"
+    windows = F.regexp_extract_all(whole, F.lit(rf"(?s)(?=(.{starts}.{{0,{WINDOW}}}))"), F.lit(1))
+    # Characters up to the next start; the first piece ends where the first window's value starts.
+    pieces = F.regexp_extract_all(whole, F.lit("(?:[0-9]++[A-Za-z]*+[(+]?+|[A-Za-z]++[(+]?+|[(+])[^0-9A-Za-z(+]*+|[^0-9A-Za-z(+]++"), F.lit(0))
+
+    def best(w: Column) -> Column:
+        at = lambda pattern: F.regexp_extract(w, f"(?s)^.({pattern})", 1)
+        iban = w.rlike(f"(?s)^.{_IBAN_START}")
+        tried = F.when(iban, F.array(*map(at, _IBANS))).when(w.rlike("(?s)^.[0-9(+]"), F.array(*map(at, INSIDE))).otherwise(F.array().cast("array<string>"))
+        return F.get(F.filter(F.transform(tried, lambda c: _value(F.when(c == "", "").otherwise(kind_of(c)), c)), lambda v: v["kind"] != ""), F.lit(0))
+
+    # A place of a value counts characters of ``x`` from 1.
+    places = F.zip_with(F.transform(windows, best), F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), lambda v, piece: F.struct(v.alias("v"), F.length(piece).alias("n")))
+    chosen = "array<struct<at:int,kind:string,value:string>>"
+    start = F.struct(F.length(F.get(pieces, F.lit(0))).alias("at"), F.lit(1).alias("free"), F.array().cast(chosen).alias("chosen"))
+
+    def walk(s: Column, p: Column) -> Column:
+        take = p["v"].isNotNull() & (s["at"] >= s["free"])
+        found = F.struct(s["at"].alias("at"), p["v"]["kind"].alias("kind"), p["v"]["value"].alias("value"))
+        return F.struct(
+            (s["at"] + p["n"]).alias("at"),
+            F.when(take, s["at"] + F.length(p["v"]["value"])).otherwise(s["free"]).alias("free"),
+            F.when(take, F.concat(s["chosen"], F.array(found))).otherwise(s["chosen"]).alias("chosen"),
+        )
+
+    def spread(got: Column) -> Column:
+        end = lambda i: F.when(i < 0, F.lit(1)).otherwise(F.get(got, i)["at"] + F.length(F.get(got, i)["value"]))
+        clear = lambda i, to: _value(F.lit(""), F.substr(x, end(i), to - end(i)))
+        pairs = F.flatten(F.transform(got, lambda v, i: F.array(clear(i - 1, v["at"]), _value(v["kind"], v["value"]))))
+        return F.concat(pairs, F.array(clear(F.size(got) - 1, F.length(x) + 1)))
+
+    return F.flatten(F.transform(F.array(F.aggregate(places, start, walk, lambda s: s["chosen"])), spread))
+
+
+def _values(x: Column, before: Column, after: Column) -> Column:
+    """A part as one value where it is one alone, or the values inside it."""
+    one = F.regexp_extract(x, f"^(?:{PATTERN.removesuffix(TAIL)})", 0) == x
+    mixed = x.rlike("^[0-9 -]*$") & x.contains(" ") & x.contains("-") & (F.length(_digits(x)) >= 13)
+    kind = F.transform(F.array(F.when(one & ~mixed, kind_of(x)).otherwise(F.lit(""))), lambda k: F.when(k != "", F.array(_value(k, x))).otherwise(_inside(x, before, after)))
+    return F.get(kind, F.lit(0))
+
+
 def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     """Adds to the columns of ``docs``: ``found`` (array of kind, value, pseudonym in the order of the text), with
     ``text`` replaced.
@@ -256,14 +339,16 @@ def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     """
     if not key:
         raise ValueError("pseudonyms need a key")
-    marked = F.regexp_replace(F.replace(F.col("text"), F.lit(MARK), F.lit(ESCAPED)), f"({PATTERN})".replace(r"\1", r"\2"), f"{AROUND}$1{AROUND}")
+    marked = F.regexp_replace(F.replace(F.col("text"), F.lit(MARK), F.lit(ESCAPED)), f"({PATTERN})", f"{AROUND}$1{AROUND}")
     out = docs.withColumn("__parts", F.when(F.col("text").rlike(PATTERN), F.split(marked, AROUND)))
-    out = out.withColumn("__kinds", F.transform("__parts", lambda x, i: F.when(i % 2 == 1, kind_of(x)).otherwise(F.lit(""))))
-    pairs = F.zip_with("__parts", "__kinds", lambda x, k: F.struct(k.alias("kind"), x.alias("value"), F.when(k == "", x).otherwise(pseudonym(x, k, key)).alias("pseudonym")))
+    near = lambda i: F.coalesce(F.get("__parts", i), F.lit(""))
+    part = lambda x, i: F.when(i % 2 == 1, _values(x, near(i - 1), near(i + 1))).otherwise(F.array(_value(F.lit(""), x)))
+    out = out.withColumn("__values", F.flatten(F.transform("__parts", part)))
+    pairs = F.transform("__values", lambda v: F.struct(v["kind"], v["value"], F.when(v["kind"] == "", v["value"]).otherwise(pseudonym(v["value"], v["kind"], key)).alias("pseudonym")))
     out = out.withColumn("__pairs", pairs)
     text = F.replace(F.array_join(F.transform("__pairs", lambda p: p["pseudonym"]), ""), F.lit(ESCAPED), F.lit(MARK))
     found = F.coalesce(F.filter("__pairs", lambda p: p["kind"] != ""), F.array().cast("array<struct<kind:string,value:string,pseudonym:string>>"))
-    return out.withColumn("found", found).withColumn("text", F.when(F.col("__pairs").isNull(), F.col("text")).otherwise(text)).drop("__parts", "__kinds", "__pairs")
+    return out.withColumn("found", found).withColumn("text", F.when(F.col("__pairs").isNull(), F.col("text")).otherwise(text)).drop("__parts", "__values", "__pairs")
 
 
 def _of(kind: str) -> Callable[[Column], Column]:

@@ -205,6 +205,34 @@ def test_pseudonyms_are_valid_linked_and_keyed(spark):
     assert other != new
 
 
+def test_values_inside_rejected_candidates_are_found(spark):
+    card, more = "4805 4762 0017 0562", "4805476200170562"
+    cases = [
+        ("on 415-555-2671 2024-05-17 and", ["415-555-2671", "2024-05-17"]),
+        ("415-555-2671 415-555-2672", ["415-555-2671", "415-555-2672"]),
+        (f"sold {card} 12 items", [card]),
+        ("at BE68 5390 0754 7034 IBAN", ["BE68 5390 0754 7034"]),
+        ("BE68 5390 0754 7034 GB82 WEST 1234 5698 7654 32", ["BE68 5390 0754 7034", "GB82 WEST 1234 5698 7654 32"]),
+        (f"12 {card} {card}, 1234 {more} 415-555-2671-2024-02-29", [card, card, more, "415-555-2671", "2024-02-29"]),
+        ("5 415-555-2671", ["415-555-2671"]),
+        (f"No{card} 12 items, 415-555-2671 {'1' * 50000} (415)555-2672", [card, "415-555-2671", "(415)555-2672"]),
+        ("+44 20 7946 0958 2024-05-17", ["+44 20 7946 0958", "2024-05-17"]),
+        ("(415) 555-2671 (415) 555-2672.", ["(415) 555-2671", "(415) 555-2672"]),
+        (f"{card} 12@mail.example.com 415-555-2671 7@x.example.org", [card, "12@mail.example.com", "415-555-2671", "7@x.example.org"]),
+        (" ".join(f"415-555-{i}" for i in range(2000, 2300)), [f"415-555-{i}" for i in range(2000, 2300)]),
+        ("4805-4762 0017 0562", ["4805-4762 0017 0562"]),
+        ("12 34 56 415-555-26 nothing 2023-02-29 12 x", []),
+    ]
+    got = {r["doc_id"]: r for r in pii.pseudonymise(frame(spark, [(i, t) for i, (t, _) in enumerate(cases)]), "k").collect()}
+    for i, (text, want) in enumerate(cases):
+        assert [f["value"] for f in got[i]["found"]] == want, text
+        for f in got[i]["found"]:
+            text = text.replace(f["value"], f["pseudonym"], 1)
+        assert len(got[i]["text"]) == len(text) and not any(v in got[i]["text"] for v in want), text
+        if len(want) < 5:
+            assert got[i]["text"] == text
+
+
 def test_feistel_is_a_permutation(spark):
     n = 7 * 11
     got = [r["x"] for r in spark.range(n).select(pii.feistel(F.col("id"), 7, 11, "k", "t").alias("x")).collect()]
