@@ -3,7 +3,8 @@
 A document leaks an item if some run of its words is within the item's edit distance, counted in words: at least
 ``similarity`` of the item's words stay. CGK's random walk reads a word sequence with a pointer that each step either
 holds or advances as a random function of step and word tells; close sequences are read in step again soon after an
-edit, so their embeddings agree in most places. Item-sized windows of the text and the items are hashed by words sampled
+edit, so their embeddings agree in most places. They agree less the more edits there are, so long items are cut into
+pieces of at most PIECE words: of a leak within the distance one piece at least is within its own. Piece-sized windows of the text and the pieces are hashed by words sampled
 from their embeddings, ``repeats`` times with other walks and places, which meets the target recall; what collides is
 verified by an exact edit distance against the text around the window.
 
@@ -32,6 +33,8 @@ from fieldspark.llm.words import batches_of, gram_hashes, hash_words, mix, parts
 WORDS_PER_PASS = 1_000_000
 #: Places of an embedding that one hash samples, and the chance taken for an embedding of a leak to agree at a place.
 PLACES, AGREEMENT = 2, 0.5
+#: Words of an item that is hashed in one piece.
+PIECE = 50
 
 
 @dataclass(frozen=True)
@@ -56,6 +59,16 @@ class Settings:
         return max(1, length - q + 1 - k * q)
 
 
+def cut(length: int) -> np.ndarray:
+    """Where the pieces of an item begin and the last ends: equal pieces of at most PIECE words.
+
+    Edits of all pieces sum up to the item's. If each piece had more than its own share of the length allows, the item
+    would have more than its share.
+    """
+    n = -(-length // PIECE)
+    return np.arange(n + 1) * length // n
+
+
 def size_class(length: int) -> int:
     """Window length for items of this length: steps of about a tenth."""
     return length if length < 10 else int(10 * 1.1 ** round(math.log(length / 10, 1.1)))
@@ -114,7 +127,12 @@ class Items:
         self.grams: dict[int, np.ndarray] = {}
         by_q = defaultdict(list)
         self.classes: dict[int, list[int]] = defaultdict(list)
-        for i, w in enumerate(words):
+        cuts = [cut(len(w)) for w in words]
+        self.pieces = [w[a:b] for w, c in zip(words, cuts, strict=True) for a, b in zip(c[:-1], c[1:], strict=True)]
+        # The item of each piece, and where it begins in it.
+        self.parent = np.repeat(np.arange(len(words)), [len(c) - 1 for c in cuts])
+        self.offset = np.concatenate([c[:-1] for c in cuts])
+        for i, w in enumerate(self.pieces):
             by_q[settings.gram(len(w))].append(gram_hashes(w, settings.gram(len(w))))
             self.classes[size_class(len(w))].append(i)
         self.grams = {q: np.unique(np.concatenate(x)) for q, x in by_q.items()}
@@ -128,13 +146,13 @@ class Items:
 
     def _plan(self, size: int, members: list[int]) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         """For each repeat: salt, sampled steps, sorted keys and the members that they are of."""
-        flat = np.concatenate([self.words[i] for i in members])
-        ends = np.cumsum([len(self.words[i]) for i in members])
-        starts = ends - np.array([len(self.words[i]) for i in members])
+        flat = np.concatenate([self.pieces[i] for i in members])
+        ends = np.cumsum([len(self.pieces[i]) for i in members])
+        starts = ends - np.array([len(self.pieces[i]) for i in members])
         out = []
         for r in range(self.settings.repeats):
             rng = np.random.default_rng([self.settings.seed, size, r])
-            shortest = min(len(self.words[i]) for i in members)
+            shortest = min(len(self.pieces[i]) for i in members)
             steps = np.sort(rng.choice(max(PLACES, int(1.5 * shortest)), PLACES, replace=False))
             salt = int(rng.integers(1 << 40))
             keys = _key(embed(flat, starts, ends, steps, salt))
@@ -170,13 +188,13 @@ class Items:
                 a, b = np.searchsorted(keys, key, "left"), np.searchsorted(keys, key, "right")
                 for w in np.flatnonzero(b > a).tolist():
                     for i in of[a[w] : b[w]].tolist():
-                        found[int(owner[w]), i].append(int(starts[w]))
+                        found[int(owner[w]), int(self.parent[i])].append(int(starts[w] - self.offset[i]))
         for (doc, i), at in sorted(found.items()):
             item, k = self.words[i], s.edits(len(self.words[i]))
             low, high = int(offsets[doc]), int(offsets[doc + 1])
             best = None
             for first, last in _runs(sorted(set(at)), len(item)):
-                first, last = max(low, first - 2 * k - 1), min(high, last + len(item) + 2 * k + 1)
+                first, last = max(low, first - 2 * k - 1), min(high, max(last + len(item) + 2 * k + 1, low))
                 edits, start, n = best_match(item, words[first:last])
                 if edits <= k and (best is None or edits < best[0]):
                     best = (edits, first + start - low, n)
@@ -184,9 +202,9 @@ class Items:
                 yield (doc, i, *best)
 
     def _starts(self, members: list[int], hits: dict[int, np.ndarray], offsets: np.ndarray) -> np.ndarray:
-        """Every second start of a window that may hold an item of one of the members' lengths."""
+        """Every start of a window that may hold a piece of one of the members' lengths."""
         s, out = self.settings, []
-        for length in sorted({len(self.words[i]) for i in members}):
+        for length in sorted({len(self.pieces[i]) for i in members}):
             q, k, least = s.gram(length), s.edits(length), s.least_grams(length)
             h = hits[q]
             if len(h) < least:
@@ -204,9 +222,7 @@ class Items:
             out.append(np.concatenate([np.repeat(low, at - low + 1) + _counter(at - low + 1)]))
         if not out:
             return np.empty(0, np.int64)
-        starts = np.unique(np.concatenate(out))
-        lone = np.append(True, np.diff(starts) > 1)
-        return starts[lone | (starts % 2 == 0)]
+        return np.unique(np.concatenate(out))
 
 
 def _counter(sizes: np.ndarray) -> np.ndarray:

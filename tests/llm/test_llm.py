@@ -366,6 +366,24 @@ def test_leaks_are_found_and_nothing_else(spark):
     assert decontaminate.find_leaks(frame(spark, rows), bench.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("length", [50, 300, 600])
+def test_recall_holds_at_all_edits_and_lengths(length):
+    rng = random.Random(length)
+    found = leaks = 0
+    for _ in range(40):
+        item = [f"a{rng.randrange(3000)}" for _ in range(length)]
+        copy = list(item)
+        for _ in range(length // 5):
+            at, kind = rng.randrange(len(copy)), rng.randrange(3)
+            copy[at : at + (kind > 0)] = [] if kind == 1 else [f"z{rng.randrange(10**6)}"]
+        text = [f"a{rng.randrange(3000)}" for _ in range(rng.randrange(1, 60))] + copy + ["x"] * 40
+        a, b = (hash_words(pa.array([" ".join(t)]))[0] for t in (item, text))
+        if decontaminate.best_match(a, b)[0] <= length // 5:
+            leaks += 1
+            found += bool(list(decontaminate.Items([1], [a], decontaminate.Settings()).search(b, np.array([0, len(b)]))))
+    assert leaks == 40 and found >= 0.99 * leaks
+
+
 # Operator 10
 
 
