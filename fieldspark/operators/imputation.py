@@ -7,6 +7,7 @@ bundled model is a logistic regression of the neighbour support.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -17,8 +18,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldspark.functions.stats import entropy, logit
-from fieldspark.operators import metrics
+from fieldspark.functions.stats import entropy, logit, wilson_upper
 from fieldspark.operators.spatial_join import band_join
 
 COLUMNS = ("id", "lat", "lon", "day")
@@ -86,37 +86,66 @@ def calibrated(p: Column, slope: float, intercept: float) -> Column:
     return 1 / (1 + F.exp(-(slope * logit(p) + intercept)))
 
 
-def acceptance_rules(scored: DataFrame, classes: Sequence[str], *, target: float = 0.1, minimum: int = 30, thresholds: Sequence[float] = tuple(i / 100 for i in range(50, 100, 5))) -> DataFrame:
-    """``class, regime, threshold, status``: the threshold that accepts most while the Wilson bound of its errors meets
-    the target. Pairs with fewer rows than ``minimum`` take their class's rule; one whose own rows fail the target is
-    RISK_FAILED and takes none. ``scored`` has y (1 for the first class), p and regime."""
+def cross_fitted(features: DataFrame, columns: Sequence[str], group: str, folds: int = 5) -> DataFrame:
+    """Predictions of each row by a model of the other folds; rows of one ``group`` are in one fold."""
+    fold = F.pmod(F.xxhash64(group), F.lit(folds))
+    parts = [predict(fit(features.filter(fold != k), columns), features.filter(fold == k)) for k in range(folds)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def acceptance_rules(
+    scored: DataFrame, classes: Sequence[str], *, target: float = 0.1, minimum: int = 30, accepts: int = 12, thresholds: Sequence[float] = (0.5, 0.6, 0.7, 0.8, 0.85, 0.9, 0.925, 0.95, 0.975, 0.99), quantiles: int = 31
+) -> DataFrame:
+    """``class, regime, threshold, status``: the threshold that accepts most, ``accepts`` rows at least, while the Wilson
+    bound of its errors meets the target; tried are ``thresholds`` and quantiles of the scope's own confidence.
+
+    Pairs with fewer rows than ``minimum`` take their class's rule; one whose own rows fail the target is RISK_FAILED and
+    takes none. The row of a null regime is the class's rule, for regimes that are not in ``scored``, which has y (1 for
+    the first class), p and regime.
+    """
     first, second = classes
-    chosen = scored.withColumn("class", F.when(F.col("p") >= 0.5, first).otherwise(second)).withColumn("w", F.lit(1.0))
-    spark = scored.sparkSession
-    regimes = [r[0] for r in scored.select("regime").distinct().orderBy("regime").limit(1000).collect()]
-    out = []
-
-    def rule(rows: DataFrame) -> tuple[float | None, str]:
-        if rows.count() < minimum:
-            return None, "TOO_FEW"
-        best = metrics.accept_threshold(metrics.risk_coverage(rows, list(thresholds)), target).first()
-        return (best["threshold"], "OK") if best else (None, "RISK_FAILED")
-
-    for c in classes:
-        general = rule(chosen.filter(F.col("class") == c))
-        for r in regimes:
-            threshold, status = rule(chosen.filter((F.col("class") == c) & (F.col("regime") == r)))
-            if status == "TOO_FEW":
-                threshold, status = general[0], f"CLASS_{general[1]}"
-            out.append((c, r, threshold, status))
-    return spark.createDataFrame(out, "class string, regime string, threshold double, status string")
+    chosen = F.when(F.col("p") >= 0.5, first).otherwise(second)
+    wrong = F.when((F.col("p") >= 0.5).cast("int") != F.col("y"), 1).otherwise(0)
+    rows = scored.select(chosen.alias("class"), "regime", F.greatest("p", 1 - F.col("p")).alias("c"), wrong.alias("e"))
+    scopes = F.array(F.struct(F.lit(True).alias("own"), F.col("regime")), F.struct(F.lit(False).alias("own"), F.lit(None).cast("string").alias("regime")))
+    rows = rows.select("class", F.inline(scopes), "c", "e")
+    key = ["class", "own", "regime"]
+    same = lambda x, y: (F.col(f"{x}.class") == F.col(f"{y}.class")) & (F.col(f"{x}.own") == F.col(f"{y}.own")) & F.col(f"{x}.regime").eqNullSafe(F.col(f"{y}.regime"))
+    cut = F.percentile("c", F.array(*[F.lit(i / (quantiles - 1)) for i in range(quantiles)]))
+    tried = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.array_union(F.array(*map(F.lit, thresholds)), cut)).alias("tried"))
+    # Each row counts at the highest threshold that it passes; the sums over levels give the others.
+    level = F.size(F.filter("t.tried", lambda t: t <= F.col("r.c")))
+    counted = rows.alias("r").join(tried.alias("t"), same("r", "t")).groupBy(*[F.col(f"r.{k}") for k in key], level.alias("level")).agg(F.count(F.lit(1)).alias("k"), F.sum("e").alias("e"))
+    passed = counted.filter("level > 0").select(*key, F.explode(F.sequence(F.lit(1), F.col("level"))).alias("at"), "k", "e")
+    sums = passed.groupBy(*key, "at").agg(F.sum("k").alias("accepted"), F.sum("e").alias("errors"))
+    curve = sums.alias("s").join(tried.alias("t"), same("s", "t")).select(*[F.col(f"s.{k}") for k in key], F.get("tried", F.col("at") - 1).alias("threshold"), "accepted", "errors")
+    met = curve.filter((F.col("accepted") >= accepts) & (wilson_upper(F.col("errors"), F.col("accepted")) <= target))
+    best = met.groupBy(*key).agg(F.min_by("threshold", F.struct(-F.col("accepted"), "threshold")).alias("threshold"))
+    rule = tried.alias("t").join(best.alias("b"), same("t", "b"), "left").select(
+        *[F.col(f"t.{k}") for k in key],
+        F.when(F.col("n") >= max(minimum, accepts), F.col("threshold")).alias("threshold"),
+        F.when(F.col("n") < max(minimum, accepts), "TOO_FEW").when(F.col("threshold").isNull(), "RISK_FAILED").otherwise("OK").alias("status"),
+    )
+    both = scored.sparkSession.createDataFrame([(c,) for c in classes], "class string")
+    general = both.join(rule.filter("not own").drop("own", "regime"), "class", "left").fillna("TOO_FEW", ["status"])
+    asked = general.crossJoin(scored.select("regime").distinct()).alias("g")
+    own = rule.filter("own").alias("o")
+    few = F.coalesce(F.col("o.status"), F.lit("TOO_FEW")) == "TOO_FEW"
+    found = asked.join(own, (F.col("g.class") == F.col("o.class")) & F.col("g.regime").eqNullSafe(F.col("o.regime")), "left").select(
+        "g.class", "g.regime", F.when(few, F.col("g.threshold")).otherwise(F.col("o.threshold")).alias("threshold"), F.when(few, F.concat(F.lit("CLASS_"), "g.status")).otherwise(F.col("o.status")).alias("status")
+    )
+    rest = general.select("class", F.lit(None).cast("string").alias("regime"), "threshold", F.concat(F.lit("CLASS_"), "status").alias("status"))
+    return found.filter("regime is not null").unionByName(rest)
 
 
 def decide(scored: DataFrame, rules: DataFrame, classes: Sequence[str]) -> DataFrame:
     """Adds ``accepted``, ``reason`` and the expected masses, which sum to 1: of accepted rows the probabilities, of
     others the unknown's."""
     first, second = classes
-    rows = scored.withColumn("class", F.when(F.col("p") >= 0.5, first).otherwise(second)).join(F.broadcast(rules), ["class", "regime"], "left")
+    rows = scored.withColumn("class", F.when(F.col("p") >= 0.5, first).otherwise(second)).join(rules.filter("regime is not null"), ["class", "regime"], "left")
+    general = rules.filter("regime is null").select("class", F.col("threshold").alias("__threshold"), F.col("status").alias("__status"))
+    rows = rows.join(F.broadcast(general), "class", "left").withColumn("threshold", F.when(F.col("status").isNull(), F.col("__threshold")).otherwise(F.col("threshold")))
+    rows = rows.withColumn("status", F.coalesce("status", "__status")).drop("__threshold", "__status")
     confident = F.greatest("p", 1 - F.col("p")) >= F.col("threshold")
     reason = F.when(F.col("regime") == "NO_CONTEXT", "NO_CONTEXT").when(F.col("threshold").isNull(), F.coalesce("status", F.lit("NO_RULE"))).when(~confident, "BELOW_THRESHOLD").otherwise("ACCEPTED")
     out = rows.withColumn("reason", reason).withColumn("accepted", F.col("reason") == "ACCEPTED")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from fieldspark.functions import temporal, text
 from fieldspark.functions.geo import Box, haversine_km, repair_coordinates
 from fieldspark.functions.stats import noisy_or, wilson_upper
-from fieldspark.operators import cdc, counts, entity, graph, metrics, quality
+from fieldspark.operators import cdc, counts, entity, graph, imputation, metrics, quality
 from fieldspark.operators.spatial_join import band_join
 
 
@@ -298,3 +298,18 @@ def test_report_and_command_line(spark, small, tmp_path, capsys):
     obs.write.parquet(f"{tmp_path}/obs")
     assert cli.main(["report", f"{tmp_path}/obs", f"{tmp_path}/r.json"]) == 0
     assert json.loads((tmp_path / "r.json").read_text())["extent"]["observations"] == obs.count()
+
+
+def test_acceptance_tries_quantiles_and_all_regimes(spark):
+    # Right above 0.955 only: no fixed threshold but 0.975 meets the target, and it accepts less than the quantile does.
+    rows = [(int(i >= 400), 0.9 + 0.0001 * i, "high") for i in range(900)] + [(1, 0.9, "few")] * 5 + [(0, 0.2, f"r{i:04}") for i in range(1005) for _ in range(2)]
+    rows = [(y, min(p, 0.9899), r) for y, p, r in rows]
+    scored = spark.createDataFrame(rows, "y int, p double, regime string")
+    rules = {(r["class"], r["regime"]): r for r in imputation.acceptance_rules(scored, ("A", "B"), target=0.05).collect()}
+    high = rules["A", "high"]
+    assert high["status"] == "OK" and 0.93 < high["threshold"] < 0.945 and high["threshold"] not in (0.925, 0.95)
+    assert len(rules) == 2 * 1007 + 2 and rules["B", "r1004"]["status"] == "CLASS_OK" and rules["A", "few"]["status"].startswith("CLASS_")
+    new = spark.createDataFrame([(1, 0.1, "unseen"), (2, 0.9, "few")], "id int, p double, regime string")
+    got = {r["id"]: r for r in imputation.decide(new, scored.transform(imputation.acceptance_rules, ("A", "B"), target=0.05), ("A", "B")).collect()}
+    assert got[1]["accepted"] and not got[2]["accepted"]
+    assert {r["status"] for r in imputation.acceptance_rules(scored.filter("regime = 'few'"), ("A", "B")).collect()} == {"CLASS_TOO_FEW"}
