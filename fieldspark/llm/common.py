@@ -57,6 +57,11 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def partitions_of(df: DataFrame) -> int:
+    """Number of partitions of a table that is read."""
+    return df.rdd.getNumPartitions()
+
+
 def bucketed(df: DataFrame, label: str, column: str, buckets: int) -> DataFrame:
     """Writes a table bucketed by a column into the warehouse: joins and groups by it then need no shuffle of it."""
     name = f"{label}_{uuid.uuid4().hex}"

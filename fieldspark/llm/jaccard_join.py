@@ -1,7 +1,7 @@
 """Exact n-gram Jaccard join in the metric space of shingle sets (operator 10).
 
 The Jaccard distance d = 1 - similarity is a metric; links are pairs with d <= r. Documents with one set form a class,
-and classes are joined:
+and classes are joined by regions within regions:
 
 1. Root regions. Unrelated documents lie at distance 1 from each other and from any pivot, where no triangle inequality
    separates them; so the space is first split by pivots that are single shingles. In a global order of shingles the
@@ -10,9 +10,11 @@ and classes are joined:
    filter). The order is by document frequency, rare shingles first, so that shared passages make few regions.
 2. Voronoi regions. Each class is compared with pivots, one class drawn in each of its min-hash cells, and belongs to
    the nearest one within r; a class without one is its own pivot. Members of a region are linked through their pivot,
-   so a group of thousands of near copies costs one comparison for each member.
-3. Windows. Two regions that meet in a root region compare their pivots first. By the triangle inequality members x, y
-   can be linked only if d(x, p) + d(y, q) + r >= d(p, q); only such boundary members are compared, exactly.
+   so a group of thousands of near copies costs a few comparisons for each member.
+3. Windows. A root region of few classes joins them directly. A crowded one joins its Voronoi regions first, by their
+   pivots: members x, y can be linked only if d(x, p) + d(y, q) + r >= d(p, q). Pairs of regions that this leaves open
+   are joined again, member by member, and only boundary members are compared. Crowded regions of any size are dealt
+   in blocks of BLOCK Voronoi regions, so none of them lands in one task.
 
 Before sets are read, pairs pass a bound from fixed pivots: BUCKETS parts of the universe of shingles. The counts of
 sets in a part differ by no more than the sets do there, so the sum of the lesser counts bounds the intersection.
@@ -29,10 +31,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fieldspark.llm.common import cut, stored, table
+from fieldspark.llm.common import partitions_of, stored, table
 from fieldspark.llm.words import batches_of, hash_words, shingle_sets, signed
 
 #: Independent min-hashes that propose pivots.
@@ -45,8 +48,10 @@ BUCKETS = 128
 SLICE = 8_000_000
 #: Shingles that the prefixes of a pair must share where they are long enough.
 SHARED = 4
-#: Classes from which a root region is crowded.
+#: Classes beyond which the root region of a remembered shingle is crowded.
 CROWD = 64
+#: Voronoi regions of a block of a crowded root region, and entries of a task that joins small root regions.
+BLOCK, ENTRIES = 1000, 250_000
 #: Identifiers up to which a list of documents to be read again is broadcast (8 bytes each); beyond, a shuffle join.
 FEW_IDS = 1_000_000
 
@@ -59,6 +64,29 @@ class Similarity:
     num: int = 80
     den: int = 100
 
+    @property
+    def reach(self) -> float:
+        """The distance r of the farthest links, and a little for rounding."""
+        return 1 - self.num / self.den + 1e-9
+
+
+@dataclass(frozen=True)
+class Frequent:
+    """Frequent shingles: upper halves of their hashes, sorted; the rank of each (rarer ones earlier); the rank from which
+    shingles are in more than CROWD classes."""
+
+    halves: np.ndarray
+    ranks: np.ndarray
+    crowded: int
+
+    def look_up(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each shingle is frequent, and where among the frequent ones it would be."""
+        if not len(self.halves):
+            return np.zeros(len(x), bool), np.zeros(len(x), np.int64)
+        half = (x >> np.uint64(32)).astype(np.uint32)
+        at = np.minimum(np.searchsorted(self.halves, half), len(self.halves) - 1)
+        return self.halves[at] == half, at
+
 
 def _class_of(shingles: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(shingles.tobytes())
@@ -69,40 +97,57 @@ def _id(c: Column) -> Column:
     return F.coalesce(c.cast("long"), F.lit(-(1 << 63)))
 
 
-def profile(docs: DataFrame, s: Similarity, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """``doc_id, t, n, c, u, m0.., v`` for each row of ``doc_id, text, t``: set size, class, number of shingles that are not frequent,
-    min-hashes and counts by bucket."""
+def _counts(x: np.ndarray) -> bytes | None:
+    """Counts by bucket, or none where one exceeds 16 bits."""
+    v = np.bincount((x >> np.uint64(57)).astype(np.int64), minlength=BUCKETS)
+    return v.astype(np.uint16).tobytes() if v.max(initial=0) < 1 << 16 else None
+
+
+def _vectors(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Counts by bucket as a matrix, and which rows have some."""
+    rows = column.to_pylist()
+    none = bytes(2 * BUCKETS)
+    return np.frombuffer(b"".join(x or none for x in rows), np.uint16).reshape(-1, BUCKETS), np.array([x is not None for x in rows], bool)
+
+
+def profile(docs: DataFrame, s: Similarity, frequent: Broadcast) -> DataFrame:
+    """For each row of ``doc_id, text, t``: ``n`` (set size) and ``c`` (class). The first row of a class in a slice has
+    also ``u`` (shingles that are not frequent), ``m`` (min-hashes), ``v`` (counts by bucket), ``s`` (root regions: the
+    prefix in order) and ``cool`` (how many of those are not crowded)."""
     salts = [np.uint64(0xA24BAED4963EE407 * (2 * j + 1) % (1 << 64) | 1) for j in range(CELLS)]
     kind = docs.schema["doc_id"].dataType.simpleString()
-
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+    payload = pa.schema([("u", pa.int32()), ("m", pa.list_(pa.int64())), ("v", pa.binary()), ("s", pa.list_(pa.int64())), ("cool", pa.int32())])
+
+    def describe(x: np.ndarray, known: Frequent) -> tuple:
+        often, at = known.look_up(x)
+        length, rare = len(x) - -(-s.num * len(x) // s.den) + 1, len(x) - int(often.sum())
+        rank = known.ranks[at[often]]
+        order = np.argsort(rank, kind="stable")
+        prefix = np.concatenate([x[~often], x[often][order]])[:length]
+        cool = min(length, rare + int((rank < known.crowded).sum()))
+        mixed = [x * salt for salt in salts]
+        least = np.array([(y ^ (y >> np.uint64(31))).min() for y in mixed], np.uint64)
+        return rare, least.view(np.int64), _counts(x), prefix.view(np.int64), cool
 
     def run(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        last, _ = shared.value
-        n, c, rare, v, m = [], [], [], [], [[] for _ in salts]
+        known = frequent.value
+        n, c, rows, done = [], [], [], set()
         for x in shingle_sets(*hash_words(part.column(1)), s.words):
             n.append(len(x))
             c.append(_class_of(x))
-            rare.append(len(x) - int(_is_frequent(x, last)[0].sum()))
-            v.append(np.bincount((x >> np.uint64(57)).astype(np.int64), minlength=BUCKETS).astype(np.int32))
-            for j, salt in enumerate(salts):
-                y = x * salt
-                m[j].append(int((y ^ (y >> np.uint64(31))).min()) if len(x) else 0)
-        u = lambda x: signed(np.array(x, np.uint64))
-        names = ["doc_id", "t", "n", "c", "u", *(f"m{j}" for j in range(CELLS)), "v"]
-        yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(n, pa.int64()), u(c), pa.array(rare, pa.int64()), *map(u, m), pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate([*v, np.empty(0, np.int32)])), BUCKETS).cast(pa.list_(pa.int32()))], names=names)
+            rows.append(describe(x, known) if len(x) and c[-1] not in done else (None,) * len(payload))
+            done.add(c[-1])
+        columns = [pa.array(list(column), f.type) for column, f in zip(zip(*rows, strict=True), payload, strict=True)]
+        yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(n, pa.int64()), signed(np.array(c, np.uint64)), *columns], names=["doc_id", "t", "n", "c", *payload.names])
 
-    columns = "".join(f", m{j} long" for j in range(CELLS))
-    return docs.select("doc_id", "text", "t").mapInArrow(batches_of(run, 1), f"doc_id {kind}, t long, n long, c long, u long{columns}, v array<int>")
+    return docs.select("doc_id", "text", "t").mapInArrow(batches_of(run, 1), f"doc_id {kind}, t long, n long, c long, u int, m array<long>, v binary, s array<long>, cool int")
 
 
-def _frequent(docs: DataFrame, s: Similarity) -> tuple[np.ndarray, np.ndarray]:
-    """Frequent shingles (upper halves of their hashes, sorted) and the rank of each among them: rarer ones come earlier.
-
-    A slice of documents counts its classes' shingles and sends sorted halves and counts by range, packed; a range adds
-    them up. There are a few ranges for each partition of the input, so that a range does not grow with it.
-    """
-    ranges = 4 * max(8, docs.rdd.getNumPartitions())
+def _frequent(docs: DataFrame, s: Similarity) -> Frequent:
+    """The frequent shingles. A slice of documents counts its classes' shingles and sends sorted halves and counts by
+    range, packed; a range adds them up. There are a few ranges for each partition of the input, so that a range does
+    not grow with it."""
+    ranges = 4 * max(8, partitions_of(docs))
 
     def run(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         pool = {_class_of(x): x for x in shingle_sets(*hash_words(part.column(0)), s.words)}
@@ -135,121 +180,158 @@ def _frequent(docs: DataFrame, s: Similarity) -> tuple[np.ndarray, np.ndarray]:
     often = often.filter(F.col("n") >= least).toArrow()
     half, n = often["h"].to_numpy().astype(np.uint32), often["n"].to_numpy()
     by_value = np.argsort(half)
-    rank = np.empty(len(half), np.int64)
-    rank[np.lexsort((half, n))] = np.arange(len(half))
-    return half[by_value], rank[by_value]
-
-
-def _is_frequent(x: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Whether each shingle is frequent, and where among the frequent ones it would be."""
-    if not len(last):
-        return np.zeros(len(x), bool), np.zeros(len(x), np.int64)
-    half = (x >> np.uint64(32)).astype(np.uint32)
-    at = np.minimum(np.searchsorted(last, half), len(last) - 1)
-    return last[at] == half, at
+    rank = np.empty(len(half), np.int32)
+    rank[np.lexsort((half, n))] = np.arange(len(half), dtype=np.int32)
+    return Frequent(half[by_value], rank[by_value], int((n <= CROWD).sum()))
 
 
-def _prefixes(docs: DataFrame, s: Similarity, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """Root regions of each class: ``s`` (a shingle of its prefix), ``c, n, pos``; copies in a slice count once."""
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)
-
-    def run(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        last, rank = shared.value
-        shingle, c, n = [], [], []
-        done = set()
-        for x in shingle_sets(*hash_words(part.column(0)), s.words):
-            if not len(x) or (k := _class_of(x)) in done:
-                continue
-            done.add(k)
-            often, at = _is_frequent(x, last)
-            if often.any():
-                x = np.concatenate([x[~often], x[often][np.argsort(rank[at[often]], kind="stable")]])
-            prefix = x[: len(x) - -(-s.num * len(x) // s.den) + 1]
-            shingle.append(prefix)
-            c.append(k)
-            n.append(len(x))
-        sizes = np.array([len(p) for p in shingle], np.int64)
-        if sizes.sum():
-            start = np.repeat(np.cumsum(sizes) - sizes, sizes)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    signed(np.concatenate(shingle)),
-                    signed(np.repeat(np.array(c, np.uint64), sizes)),
-                    pa.array(np.repeat(np.array(n, np.int32), sizes)),
-                    pa.array((np.arange(len(start)) - start).astype(np.int32)),
-                ],
-                names=["s", "c", "n", "pos"],
-            )
-
-    return docs.select("text").mapInArrow(batches_of(run, 0), "s long, c long, n int, pos int")
-
-
-def _sets(docs: DataFrame, wanted: DataFrame, s: Similarity) -> DataFrame:
-    """``c, set`` (packed sorted shingles) of the classes in ``wanted`` (c, doc_id of a member)."""
+def _sets(docs: DataFrame, pairs: DataFrame, classes: DataFrame, s: Similarity, label: str) -> DataFrame:
+    """``c, set`` (packed sorted shingles) of the classes in ``pairs`` (a, b), from texts that are read again."""
 
     def run(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         sets = list(shingle_sets(*hash_words(part.column(0)), s.words))
         yield pa.RecordBatch.from_arrays([signed(np.array([_class_of(x) for x in sets], np.uint64)), pa.array([x.tobytes() for x in sets], pa.binary())], names=["c", "set"])
 
-    ids = wanted.select(_id(F.col("doc_id")).alias("__id")).distinct()
-    if ids.count() <= FEW_IDS:
-        ids = F.broadcast(ids)
+    wanted = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct().join(classes, "c").select("c", _id(F.col("doc_id")).alias("__id"))
+    wanted = stored(wanted, f"jaccard-{label}-wanted")
+    ids, names = wanted.select("__id").distinct(), wanted.select("c")
+    if wanted.count() <= FEW_IDS:
+        ids, names = F.broadcast(ids), F.broadcast(names)
     some = docs.select(_id(F.col("doc_id")).alias("__id"), "text").join(ids, "__id", "left_semi").select("text")
     found = some.mapInArrow(batches_of(run, 0), "c long, set binary")
     # A document id may have several texts: classes that nobody asked for go, and one set of each class stays.
-    return found.join(wanted.select("c").distinct(), "c", "left_semi").groupBy("c").agg(F.first("set").alias("set"))
+    return stored(found.join(names, "c", "left_semi").groupBy("c").agg(F.first("set").alias("set")), f"jaccard-{label}-sets")
 
 
-def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``a, b, n_a, n_b, both`` (size of the intersection) of pairs ``a, b``."""
+def _measured(pairs: DataFrame, sets: DataFrame, s: Similarity) -> DataFrame:
+    """``pairs`` (a, b, reach) with ``linked`` and the distance ``d``."""
+    names = ["a", "b", "reach", "linked", "d"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+            for x, y in zip(batch.column(3), batch.column(4), strict=True):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                rows.append((len(x), len(y), len(np.intersect1d(x, y, assume_unique=True))))
-            got = np.array(rows, np.int64).reshape(-1, 3)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(got[:, i]) for i in range(3))], names=["a", "b", "n_a", "n_b", "both"])
+                rows.append((len(x) + len(y), len(np.intersect1d(x, y, assume_unique=True))))
+            total, both = np.array(rows, np.int64).reshape(-1, 2).T
+            linked, d = both * (s.den + s.num) >= total * s.num, 1 - both / np.maximum(total - both, 1)
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array(linked), pa.array(d)], names=names)
 
     left, right = sets.select(F.col("c").alias("a"), F.col("set").alias("x")), sets.select(F.col("c").alias("b"), F.col("set").alias("y"))
-    both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return both.mapInArrow(run, "a long, b long, n_a long, n_b long, both long")
+    both = pairs.select("a", "b", "reach").join(left, "a").join(right, "b").select("a", "b", "reach", "x", "y")
+    return both.mapInArrow(run, "a long, b long, reach double, linked boolean, d double")
 
 
-def _possible(pairs: DataFrame, vectors: DataFrame, s: Similarity) -> DataFrame:
-    """The pairs ``a, b`` whose counts by bucket (``c, v``) leave a link possible."""
+def _least_distance(x: np.ndarray, y: np.ndarray, n_x: np.ndarray, n_y: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Lower bounds of distances, from counts by bucket where both are known."""
+    both = np.where(known, np.minimum(x, y).sum(axis=1, dtype=np.int64), np.minimum(n_x, n_y))
+    return 1 - both / np.maximum(n_x + n_y - both, 1)
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = (batch.column(i).flatten().to_numpy().reshape(-1, BUCKETS).astype(np.int64) for i in (2, 3))
-            fits = np.minimum(x, y).sum(axis=1) * (s.den + s.num) >= (x.sum(axis=1) + y.sum(axis=1)) * s.num
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(fits))
 
-    left, right = vectors.select(F.col("c").alias("a"), F.col("v").alias("x")), vectors.select(F.col("c").alias("b"), F.col("v").alias("y"))
-    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+def _possible(pairs: DataFrame, classes: DataFrame, s: Similarity) -> DataFrame:
+    """The pairs ``a, b`` of classes that their counts by bucket do not hold apart."""
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            (x, has_x), (y, has_y) = _vectors(batch.column(4)), _vectors(batch.column(5))
+            n_x, n_y = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            near = _least_distance(x, y, n_x, n_y, has_x & has_y) <= s.reach
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(near))
 
-def _linked(s: Similarity) -> Column:
-    return F.col("both") * (s.den + s.num) >= (F.col("n_a") + F.col("n_b")) * s.num
+    left, right = (classes.select(F.col("c").alias(k), F.col("n").alias(f"n_{k}"), F.col("v").alias(f"v_{k}")) for k in "ab")
+    both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", "v_a", "v_b")
+    return both.mapInArrow(run, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
     """``c, label``: the least class of the component of each class in ``edges`` (a, b).
 
-    Labels fall to the least of the neighbours' and then to their label's label until none changes; each round is cut
-    by a checkpoint. Nothing is collected but the number of changes.
+    Each class points at the least class next to it; a round points its neighbours, and those that point at it, at the
+    same one (a small star, then a jump), until every class points at a root. A round is stored; nothing is collected
+    but whether a pointer changed. Partial minima bear a class that a third of all edges touch.
     """
-    both = cut(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct())
-    labels = cut(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).withColumnRenamed("a", "c"))
+    stars = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
     while True:
-        near = both.join(labels.withColumnRenamed("c", "b"), "b").groupBy("a").agg(F.min("label").alias("near"))
-        step = labels.join(near.withColumnRenamed("a", "c"), "c").select("c", F.least("label", "near").alias("new"), F.col("label").alias("old"))
-        up = step.select(F.col("c").alias("new"), F.col("new").alias("above"))
-        after = cut(step.join(up, "new", "left").select("c", F.least("new", F.coalesce("above", "new")).alias("label"), "old"))
-        if after.filter("label <> old").isEmpty():
-            return after.select("c", "label")
-        labels = after.select("c", "label")
+        least = stars.groupBy("a").agg(F.min("b").alias("m"))
+        # (a, b) with b beyond the least neighbour m: b and m are one component, and a keeps m alone.
+        other = F.col("b") != F.col("m")
+        linked = stars.join(least, "a").select(F.when(other, F.col("b")).otherwise(F.col("a")).alias("a"), F.col("m").alias("b"), other.alias("moved"))
+        up = least.select(F.col("a").alias("b"), F.col("m").alias("above"))
+        jumped = linked.join(up, "b", "left").select("a", F.coalesce("above", "b").alias("b"), (F.col("moved") | F.col("above").isNotNull()).alias("moved"))
+        after = stored(jumped.groupBy("a", "b").agg(F.max("moved").alias("moved")), "jaccard-stars")
+        if after.filter("moved").isEmpty():
+            roots = after.select(F.col("b").alias("c")).distinct()
+            return after.select(F.col("a").alias("c"), F.col("b").alias("label")).union(roots.select("c", F.col("c").alias("label")))
+        stars = after.select("a", "b")
+
+
+def _joined_regions(entries: DataFrame, s: Similarity, ranges: int) -> DataFrame:
+    """Pairs ``a, b, n_a, n_b, common`` of classes of different groups that meet in small root regions.
+
+    ``entries``: ``s, c, g, n, pos``. A task has a range of the shingles' hashes. Positions count as far as a linked pair of
+    these sizes must share SHARED shingles.
+    """
+    names = ["a", "b", "n_a", "n_b", "common"]
+
+    def run(group: pa.Table) -> pa.Table:
+        at, c, g, n, pos = (group[k].to_numpy() for k in ("s", "c", "g", "n", "pos"))
+        order = np.argsort(at, kind="stable")
+        at, c, g, n, pos = at[order], c[order], g[order], n[order].astype(np.int64), pos[order].astype(np.int64)
+        found, one, step = [], np.arange(len(at)), 0
+        while len(one):
+            step += 1
+            one = one[one + step < len(at)]
+            one = one[at[one] == at[one + step]]
+            two = one + step
+            low, high = np.minimum(n[one], n[two]), np.maximum(n[one], n[two])
+            need = -(-(n[one] + n[two]) * s.num // (s.num + s.den))
+            fits = (g[one] != g[two]) & (s.den * low >= s.num * high) & (pos[one] < n[one] - need + SHARED) & (pos[two] < n[two] - need + SHARED)
+            x, y = one[fits], two[fits]
+            swap = c[x] > c[y]
+            x, y = np.where(swap, y, x), np.where(swap, x, y)
+            found.append(np.stack([c[x], c[y], n[x], n[y]]))
+        rows, times = np.unique(np.concatenate([*found, np.empty((4, 0), np.int64)], axis=1), axis=1, return_counts=True)
+        return pa.table([*(pa.array(x) for x in rows), pa.array(times)], names=names)
+
+    dealt = entries.withColumn("range", F.pmod("s", F.lit(ranges)))
+    pairs = dealt.groupBy("range").applyInArrow(run, "a long, b long, n_a long, n_b long, common long")
+    need = f"ceil((n_a + n_b) * {s.num} / ({s.num} + {s.den}) - 1e-9)"
+    room = " , ".join(f"n_{k} - ceil({s.num} * n_{k} / {s.den} - 1e-9) + 1 - (n_{k} - {need})" for k in "ab")
+    return pairs.groupBy("a", "b", "n_a", "n_b").agg(F.sum("common").alias("common")).filter(f"common >= least({SHARED}, {room})")
+
+
+def _crowded_regions(entries: DataFrame, classes: DataFrame, s: Similarity) -> DataFrame:
+    """Pairs ``a, b, reach`` of pivots whose Voronoi regions meet in a crowded root region and may hold linked members:
+    ``reach`` is how far their members there are from them together. ``entries``: ``s, c, g, n, p, d``.
+    """
+    regions = entries.groupBy("s", "p", "g").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("d").alias("d"))
+    regions = stored(regions, "jaccard-crowds")
+    mixed = regions.groupBy("s").agg(F.min("g").alias("one"), F.max("g").alias("two"), F.count(F.lit(1)).alias("k")).filter("one < two")
+    blocks = F.ceil(F.col("k") / BLOCK).cast("int")
+    regions = regions.join(mixed.select("s", "k"), "s").withColumn("block", F.pmod(F.xxhash64("p"), blocks).cast("int")).withColumn("blocks", blocks)
+    regions = regions.join(classes.select(F.col("c").alias("p"), F.col("n").alias("size"), "v"), "p")
+    dealt = regions.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("s", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "p", "g", "low", "high", "d", "size", "v")
+
+    def run(group: pa.Table) -> pa.Table:
+        block, p, g, low, high, d, n = (group[k].to_numpy() for k in ("block", "p", "g", "low", "high", "d", "size"))
+        v, has = _vectors(group["v"])
+        i, j = group["i"][0].as_py(), group["j"][0].as_py()
+        others = np.flatnonzero(block == j)
+        found = []
+        for x in np.flatnonzero(block == i):
+            y = others[(g[others] != g[x]) & (s.num * low[others] <= s.den * high[x]) & (s.num * low[x] <= s.den * high[others])]
+            if i == j:
+                y = y[y > x]
+            together = d[x] + d[y]
+            y, together = (z[_least_distance(v[x], v[y], n[x], n[y], has[x] & has[y]) <= together + s.reach] for z in (y, together))
+            swap = p[y] < p[x]
+            found.append((np.where(swap, p[y], p[x]), np.where(swap, p[x], p[y]), together))
+        a, b, together = (np.concatenate([z, *(f[k] for f in found)]) for k, z in enumerate((np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))))
+        return pa.table({"a": pa.array(a), "b": pa.array(b), "reach": pa.array(together)})
+
+    pairs = dealt.groupBy("s", "i", "j").applyInArrow(run, "a long, b long, reach double")
+    return pairs.groupBy("a", "b").agg(F.max("reach").alias("reach"))
 
 
 def join_documents(docs: DataFrame, s: Similarity) -> DataFrame:
@@ -265,79 +347,53 @@ def join_documents(docs: DataFrame, s: Similarity) -> DataFrame:
 def _joined(docs: DataFrame, s: Similarity) -> DataFrame:
     """What ``join_documents`` returns, with ``t``, the hash of the row's text."""
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("t"))
-    frequent = _frequent(docs, s)
+    frequent = docs.sparkSession.sparkContext.broadcast(_frequent(docs, s))
     profiled = stored(profile(docs, s, frequent), "jaccard-profile")
-    of = profiled.select("doc_id", "t", "n", "c")
-    classes = profiled.filter("n > 0").groupBy("c").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("u").alias("u"), *(F.first(f"m{j}").alias(f"m{j}") for j in range(CELLS)), F.first("v").alias("v"))
-    classes = stored(classes, "jaccard-classes")
-    entries = stored(_prefixes(docs, s, frequent), "jaccard-regions")
+    frequent.destroy()
+    payload = F.first(F.when(F.col("s").isNotNull(), F.struct("u", "m", "v", "s", "cool")), ignorenulls=True).alias("x")
+    classes = profiled.filter("n > 0").groupBy("c").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), payload)
+    classes = stored(classes.select("c", "doc_id", "n", "x.*"), "jaccard-classes")
 
     # Pivots: of each min-hash cell the most central class, that of fewest rare shingles, or a class drawn by hash.
-    proposals = None
-    for j in range(CELLS):
-        pivot = F.min(F.struct(*(["u"] if j % 2 == 0 else []), F.xxhash64(F.lit(j), "c").alias("h"), "c", "n"))
-        cell = classes.groupBy(f"m{j}").agg(pivot.alias("p"), F.min("c").alias("least"), F.max("c").alias("most")).filter("least < most")
-        cell = cell.select(f"m{j}", F.col("p.c").alias("a"), F.col("p.n").alias("n_a"))
-        mine = classes.join(cell, f"m{j}").filter(f"c <> a and {s.den} * least(n, n_a) >= {s.num} * greatest(n, n_a)").select(F.least("a", "c").alias("a"), F.greatest("a", "c").alias("b"), F.col("a").alias("p"))
-        proposals = mine if proposals is None else proposals.union(mine)
-    vectors = classes.select("c", "v")
-    offered = cut(proposals.distinct())
-    proposals = cut(_possible(offered.select("a", "b").distinct(), vectors, s))
-
-    def sets_of(pairs: DataFrame, label: str) -> DataFrame:
-        wanted = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()
-        return stored(_sets(docs, wanted.join(classes, "c").select("c", "doc_id"), s), f"jaccard-{label}")
+    cells = classes.select("c", "n", "u", F.posexplode("m").alias("j", "h"))
+    central = F.when(F.col("j") % 2 == 0, F.col("u")).otherwise(0)
+    drawn = cells.groupBy("j", "h").agg(F.min(F.struct(central.alias("u"), F.xxhash64("j", "c").alias("k"), "c", "n")).alias("p"), F.min("c").alias("least"), F.max("c").alias("most"))
+    drawn = drawn.filter("least < most").select("j", "h", F.col("p.c").alias("b"), F.col("p.n").alias("n_b"))
+    offered = cells.join(drawn, ["j", "h"]).filter(f"c <> b and {s.den} * least(n, n_b) >= {s.num} * greatest(n, n_b)")
+    offered = offered.groupBy(F.col("c").alias("a")).agg(F.collect_set("b").alias("of")).select("a", F.explode("of").alias("b"))
+    offered = stored(_possible(offered, classes, s), "jaccard-offered")
 
     # Voronoi regions: of the pivots within reach the nearest; a class without one stands for itself.
-    spokes = cut(_compared(proposals, sets_of(proposals, "pivots")).filter(_linked(s)).withColumn("d", 1 - F.col("both") / (F.col("n_a") + F.col("n_b") - F.col("both"))))
-    drawn = spokes.join(offered, ["a", "b"]).select("p", F.when(F.col("p") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("c"), "d")
-    members = drawn.groupBy("c").agg(F.min(F.struct("d", "p")).alias("at")).select("c", F.col("at.p").alias("pivot"), F.col("at.d").alias("d"))
-    members = cut(members)
-    groups = components(spokes.select("a", "b"))
-
-    # Root regions that hold more than one class.
-    crowded = entries.groupBy("s").agg(F.min("c").alias("least"), F.max("c").alias("most")).filter("least < most").select("s")
-    meeting = stored(entries.join(crowded, "s", "left_semi").distinct(), "jaccard-meeting")
-
-    # Regions of different groups that meet in a root region: the pairs of members that sizes and positions allow.
-    placed = meeting.join(groups, "c", "left").withColumn("g", F.coalesce("label", "c")).drop("label")
-    placed = placed.join(members, "c", "left").select("s", "c", "n", "pos", "g", F.coalesce("pivot", "c").alias("p"), F.coalesce("d", F.lit(0.0)).alias("d"))
-    mixed = placed.groupBy("s").agg(F.min("g").alias("low"), F.max("g").alias("high"), F.count(F.lit(1)).alias("k")).filter("low < high").select("s", "k")
-    placed = stored(placed.join(mixed, "s"), "jaccard-mixed")
-    # A linked pair shares SHARED shingles within as many more places than the one that it must share at least, or as
-    # many as its prefixes have; ``room`` is what the prefix filter leaves of a set for an intersection of ``need``.
-    need = f"ceil((n1 + n2) * {s.num} / ({s.num} + {s.den}) - 1e-9)"
-    fits = f"g1 < g2 and {s.den} * least(n1, n2) >= {s.num} * greatest(n1, n2) and pos1 < n1 - {need} + {SHARED} and pos2 < n2 - {need} + {SHARED}"
-    room = " , ".join(f"n{i} - ceil({s.num} * n{i} / {s.den} - 1e-9) + 1 - (n{i} - {need})" for i in (1, 2))
-    met = f"aggregate(zip_with(v1, v2, (x, y) -> least(x, y)), 0, (t, x) -> t + x) >= {need}"
-
-    def meet(rows: DataFrame, condition: str, *more: str) -> DataFrame:
-        one, two = (rows.select("s", *(F.col(x).alias(f"{x}{i}") for x in ("c", "n", "pos", "g", "p", "d", *more))) for i in (1, 2))
-        both = one.withColumnRenamed("s", "s1").join(two, (F.col("s1") == F.col("s")) & F.expr(condition))
-        return both.select("c1", "c2", "n1", "n2", "p1", "p2", "d1", "d2")
-
-    # In a crowded root region the counts by bucket are compared as pairs are made, elsewhere afterwards.
-    crowd = placed.filter(F.col("k") > CROWD).join(vectors, "c")
-    pairs = meet(placed.filter(F.col("k") <= CROWD), fits).union(meet(crowd, f"{fits} and {met}", "v"))
-    pairs = pairs.groupBy("c1", "c2", "n1", "n2", "p1", "p2", "d1", "d2").agg(F.count(F.lit(1)).alias("common"))
-    pairs = cut(pairs.filter(f"common >= least({SHARED}, {room})").select("c1", "c2", "p1", "p2", "d1", "d2"))
-
-    # Pivots first, then the boundary members that the triangle inequality leaves.
-    possible = _possible(pairs.select(F.col("c1").alias("a"), F.col("c2").alias("b")), vectors, s)
-    pairs = cut(pairs.join(possible.select(F.col("a").alias("c1"), F.col("b").alias("c2")), ["c1", "c2"]))
-    pivots = pairs.select(F.least("p1", "p2").alias("a"), F.greatest("p1", "p2").alias("b")).filter("a <> b").distinct()
-    sets = sets_of(pivots.union(pairs.select("c1", "c2")), "boundary")
-    apart = cut(_compared(pivots, sets).withColumn("far", 1 - F.col("both") / (F.col("n_a") + F.col("n_b") - F.col("both"))))
-    reach = 1 - s.num / s.den + 1e-9
-    near = pairs.withColumn("a", F.least("p1", "p2")).withColumn("b", F.greatest("p1", "p2")).join(apart.select("a", "b", "far"), ["a", "b"])
-    boundary = near.filter((F.col("d1") + F.col("d2") > 0) & (F.col("far") <= F.col("d1") + F.col("d2") + reach)).select(F.col("c1").alias("a"), F.col("c2").alias("b")).distinct()
-    links = spokes.select("a", "b").union(apart.filter(_linked(s)).select("a", "b")).union(_compared(boundary, sets).filter(_linked(s)).select("a", "b"))
-
-    found = components(links)
-    named = classes.select("c", "doc_id").join(found, "c", "left").withColumn("label", F.coalesce("label", "c"))
+    spokes = _measured(offered.withColumn("reach", F.lit(0.0)), _sets(docs, offered, classes, s, "pivots"), s)
+    spokes = stored(spokes.filter("linked").select("a", "b", "d"), "jaccard-spokes")
+    nearest = spokes.groupBy("a").agg(F.min(F.struct("d", "b")).alias("at")).select(F.col("a").alias("c"), F.col("at.b").alias("p"), F.col("at.d").alias("d"))
+    grouped = components(spokes)
+    homes = stored(grouped.join(nearest, "c", "left").select("c", F.col("label").alias("g"), F.coalesce("p", "c").alias("p"), F.coalesce("d", F.lit(0.0)).alias("d")), "jaccard-homes")
+
+    # Root regions. Pairs that meet in a crowded one are found there, whatever else they share.
+    placed = classes.join(homes, "c", "left").select("c", "n", "s", "cool", F.coalesce("g", "c").alias("g"), F.coalesce("p", "c").alias("p"), F.coalesce("d", F.lit(0.0)).alias("d"))
+    entries = classes.agg(F.sum("cool")).first()[0] or 0
+    ranges = max(1, -(-entries // ENTRIES), 3 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    small = placed.select("c", "g", "n", F.posexplode(F.expr("slice(s, 1, cool)")).alias("pos", "s"))
+    crowded = placed.filter("size(s) > cool").select("c", "g", "n", "p", "d", F.explode(F.expr("slice(s, cool + 1, size(s))")).alias("s"))
+    met = _possible(_joined_regions(small, s, ranges), classes, s).withColumn("reach", F.lit(0.0))
+    met = stored(met.union(_crowded_regions(crowded, classes, s)).groupBy("a", "b").agg(F.max("reach").alias("reach")), "jaccard-met")
+    measured = stored(_measured(met, _sets(docs, met, classes, s, "met"), s), "jaccard-measured")
+
+    # Voronoi regions whose pivots are not linked, but near enough for their members: the boundary members are compared.
+    links = spokes.select("a", "b").union(measured.filter("linked").select("a", "b"))
+    apart = measured.filter(f"not linked and reach > 0 and d <= reach + {s.reach}").select("a", "b", F.col("d").alias("far"))
+    if not apart.isEmpty():
+        one, two = (homes.select(F.col("p").alias(k), F.col("c").alias(f"c_{k}"), F.col("d").alias(f"d_{k}")).union(apart.select(F.col(k), F.col(k), F.lit(0.0))).distinct() for k in "ab")
+        members = apart.join(one, "a").join(two, "b").filter(f"d_a + d_b > 0 and far <= d_a + d_b + {s.reach}")
+        members = members.select(F.least("c_a", "c_b").alias("a"), F.greatest("c_a", "c_b").alias("b")).distinct()
+        boundary = stored(_possible(members, classes, s).withColumn("reach", F.lit(0.0)), "jaccard-boundary")
+        links = links.union(_measured(boundary, _sets(docs, boundary, classes, s, "boundary"), s).filter("linked").select("a", "b"))
+
+    named = classes.select("c", "doc_id").join(components(links), "c", "left").withColumn("label", F.coalesce("label", "c"))
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     named = named.join(least, "label").select("c", "component_id")
-    out = of.select("doc_id", "t", "n", F.when(F.col("n") > 0, F.col("c")).alias("c")).join(named, "c", "left")
+    out = profiled.select("doc_id", "t", "n", F.when(F.col("n") > 0, F.col("c")).alias("c")).join(named, "c", "left")
     return out.select("doc_id", "t", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
@@ -354,3 +410,33 @@ def keep_one(docs: DataFrame, s: Similarity | None = None) -> DataFrame:
 
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_documents(table(spark, sf_dir, "documents"), Similarity(words=4, num=85, den=100))
+
+
+#: Shingle lists, a self-join that counts what two documents share, and the transitive closure of their links. Words have
+#: no spaces, so words joined by spaces stand for a shingle.
+OP10_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+                      ELSE list_distinct(list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' '))) END AS shingles
+  FROM w
+), sized AS (SELECT doc_id, len(shingles) AS n, md5(array_to_string(list_sort(shingles), chr(10))) AS class, shingles FROM sets),
+classes AS (SELECT class, min(doc_id) AS doc_id, any_value(n) AS n, any_value(shingles) AS shingles FROM sized WHERE n > 0 GROUP BY class),
+rows AS (SELECT doc_id, n, unnest(shingles) AS shingle FROM classes),
+often AS (SELECT shingle FROM rows GROUP BY shingle HAVING count(*) > 1),
+shared AS (SELECT rows.* FROM rows SEMI JOIN often USING (shingle)),
+links AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM shared a JOIN shared b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id
+  HAVING 100 * count(*) >= 85 * (any_value(a.n) + any_value(b.n) - count(*))
+), reached(a, b) AS (
+  SELECT a, b FROM links
+  UNION
+  SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a
+), named AS (SELECT c.class, least(c.doc_id, coalesce(min(r.b), c.doc_id)) AS component_id FROM classes c LEFT JOIN reached r ON r.a = c.doc_id GROUP BY c.class, c.doc_id)
+SELECT s.doc_id, s.n::BIGINT AS n_shingles, coalesce(m.component_id, s.doc_id) AS component_id
+FROM sized s LEFT JOIN named m ON s.n > 0 AND m.class = s.class
+"""

@@ -25,4 +25,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_url_filter": urlfilter.OP4_SQL, "op8_exact_dedup": exact_dedup.OP8_SQL}
+    return {"op4_url_filter": urlfilter.OP4_SQL, "op8_exact_dedup": exact_dedup.OP8_SQL, "op10_ngram_jaccard": jaccard_join.OP10_SQL}

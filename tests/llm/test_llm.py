@@ -416,6 +416,33 @@ def test_jaccard_components_equal_brute_force(spark, corpus, k, num):
     assert Counter(map(tuple, got)) == brute_components(corpus, k, num, 100)
 
 
+def test_jaccard_crowded_regions_equal_brute_force(spark, monkeypatch):
+    """Root regions of more than two classes in blocks of three Voronoi regions, and few pivots to link members."""
+    for name, value in {"CROWD": 2, "BLOCK": 3, "CELLS": 1, "ENTRIES": 50}.items():
+        monkeypatch.setattr(jaccard_join, name, value)
+    rng = random.Random(8)
+    rows = []
+    for family in range(12):
+        base = text_of(rng, 60)
+        rows += [(100 * family + i, edited(rng, base, rng.randint(0, 3))) for i in range(12)]
+        rows += [(100 * family + 50 + i, f"{base} {text_of(rng, rng.randint(5, 40))}") for i in range(4)]
+    got = jaccard_join.join_documents(frame(spark, rows), jaccard_join.Similarity(3, 75, 100)).collect()
+    assert Counter(map(tuple, got)) == brute_components(rows, 3, 75, 100)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_components_of_chains_and_stars(spark, seed):
+    rng = random.Random(seed)
+    edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)] + [(i, i + 1) for i in range(100, 130)] + [(200, 201 + i) for i in range(20)]
+    label = {x: x for e in edges for x in e}
+    for _ in label:
+        for a, b in edges:
+            label[a] = label[b] = min(label[a], label[b])
+    want = {x: y for x, y in label.items() if any(x in e and e[0] != e[1] for e in edges)}
+    got = jaccard_join.components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert {r["c"]: r["label"] for r in got} == want and len(got) == len(want)
+
+
 def test_jaccard_edge_cases(spark):
     docs = spark.createDataFrame([(i, t, "d", 1, 1, 1, 1, "x") for i, t in ODD], CLASH)
     got = jaccard_join.join_documents(docs, jaccard_join.Similarity(4, 85, 100)).collect()
