@@ -14,7 +14,7 @@ and classes are joined by regions within regions:
 3. Windows. A root region of few classes joins them directly. A crowded one joins its Voronoi regions first, by their
    pivots: members x, y can be linked only if d(x, p) + d(y, q) + r >= d(p, q). Pairs of regions that this leaves open
    are joined again, member by member, and only boundary members are compared. Crowded regions of any size are dealt
-   in blocks of BLOCK Voronoi regions, so none of them lands in one task.
+   in blocks of BLOCK Voronoi regions or members, so none of them lands in one task.
 
 Before sets are read, pairs pass a bound from fixed pivots: BUCKETS parts of the universe of shingles. The counts of
 sets in a part differ by no more than the sets do there, so the sum of the lesser counts bounds the intersection.
@@ -50,7 +50,7 @@ SLICE = 8_000_000
 SHARED = 4
 #: Classes beyond which the root region of a remembered shingle is crowded.
 CROWD = 64
-#: Voronoi regions of a block of a crowded root region, and entries of a task that joins small root regions.
+#: Voronoi regions or members in a block of a crowded region, and entries of a task that joins small root regions.
 BLOCK, ENTRIES = 1000, 250_000
 #: Identifiers up to which a list of documents to be read again is broadcast (8 bytes each); beyond, a shuffle join.
 FEW_IDS = 1_000_000
@@ -334,6 +334,43 @@ def _crowded_regions(entries: DataFrame, classes: DataFrame, s: Similarity) -> D
     return pairs.groupBy("a", "b").agg(F.max("reach").alias("reach"))
 
 
+def _boundaries(apart: DataFrame, homes: DataFrame, classes: DataFrame, s: Similarity) -> DataFrame:
+    """Pairs ``a, b`` of members of Voronoi regions whose pivots ``a, b`` are ``far`` from each other, but near enough for
+    links between their members (``c, p, d`` in ``homes``).
+
+    The region of more members is the host, members of the other are guests; both are dealt in blocks. Members x, y whose
+    distances from their pivots and r make up for ``far`` are boundary members; what their counts by bucket leave is
+    returned.
+    """
+    members = homes.filter("c <> p").select("p", "c", "d").union(apart.select("a", "a", F.lit(0.0)).union(apart.select("b", "b", F.lit(0.0))).distinct())
+    members = stored(members, "jaccard-members")
+    sizes = members.groupBy("p").agg(F.count(F.lit(1)).alias("size"))
+    sized = apart.join(sizes.select(F.col("p").alias("a"), F.col("size").alias("size_a")), "a").join(sizes.select(F.col("p").alias("b"), F.col("size").alias("size_b")), "b")
+    first = F.col("size_a") >= F.col("size_b")
+    sized = sized.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("host"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("p"), F.greatest("size_a", "size_b").alias("size"), "far")
+    guests = stored(sized.join(members, "p").select("host", "size", "c", "d", "far"), "jaccard-guests")
+    hosts = guests.groupBy("host").agg(F.first("size").alias("size"), F.count(F.lit(1)).alias("asked"))
+    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    place = lambda n: F.pmod(F.xxhash64("c"), blocks(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
+    own = members.withColumnRenamed("p", "host").join(hosts, "host").select("host", place("size").alias("i"), every("asked").alias("j"), "c", "d", F.lit(None).cast("double").alias("far"))
+    guests = guests.join(hosts.select("host", "asked"), "host").select("host", every("size").alias("i"), place("asked").alias("j"), "c", "d", "far")
+    dealt = own.union(guests).join(classes.select("c", "n", "v"), "c")
+
+    def run(group: pa.Table) -> pa.Table:
+        c, d, n = (group[k].to_numpy() for k in ("c", "d", "n"))
+        far, (v, has) = group["far"].to_numpy(), _vectors(group["v"])
+        own, found = np.flatnonzero(np.isnan(far)), []
+        for y in np.flatnonzero(~np.isnan(far)):
+            x = own[(d[own] + d[y] > 0) & (d[own] + d[y] + s.reach >= far[y])]
+            x = x[_least_distance(v[x], v[y], n[x], n[y], has[x] & has[y]) <= s.reach]
+            found.append(np.stack([np.minimum(c[x], c[y]), np.maximum(c[x], c[y])]))
+        a, b = np.concatenate([*found, np.empty((2, 0), np.int64)], axis=1)
+        return pa.table({"a": pa.array(a), "b": pa.array(b)})
+
+    return dealt.groupBy("host", "i", "j").applyInArrow(run, "a long, b long").distinct()
+
+
 def join_documents(docs: DataFrame, s: Similarity) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id`` (the least doc_id that links reach).
 
@@ -380,14 +417,10 @@ def _joined(docs: DataFrame, s: Similarity) -> DataFrame:
     met = stored(met.union(_crowded_regions(crowded, classes, s)).groupBy("a", "b").agg(F.max("reach").alias("reach")), "jaccard-met")
     measured = stored(_measured(met, _sets(docs, met, classes, s, "met"), s), "jaccard-measured")
 
-    # Voronoi regions whose pivots are not linked, but near enough for their members: the boundary members are compared.
     links = spokes.select("a", "b").union(measured.filter("linked").select("a", "b"))
     apart = measured.filter(f"not linked and reach > 0 and d <= reach + {s.reach}").select("a", "b", F.col("d").alias("far"))
     if not apart.isEmpty():
-        one, two = (homes.select(F.col("p").alias(k), F.col("c").alias(f"c_{k}"), F.col("d").alias(f"d_{k}")).union(apart.select(F.col(k), F.col(k), F.lit(0.0))).distinct() for k in "ab")
-        members = apart.join(one, "a").join(two, "b").filter(f"d_a + d_b > 0 and far <= d_a + d_b + {s.reach}")
-        members = members.select(F.least("c_a", "c_b").alias("a"), F.greatest("c_a", "c_b").alias("b")).distinct()
-        boundary = stored(_possible(members, classes, s).withColumn("reach", F.lit(0.0)), "jaccard-boundary")
+        boundary = stored(_boundaries(apart, homes, classes, s).withColumn("reach", F.lit(0.0)), "jaccard-boundary")
         links = links.union(_measured(boundary, _sets(docs, boundary, classes, s, "boundary"), s).filter("linked").select("a", "b"))
 
     named = classes.select("c", "doc_id").join(components(links), "c", "left").withColumn("label", F.coalesce("label", "c"))
