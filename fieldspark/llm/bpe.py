@@ -9,7 +9,6 @@ Decoding joins (document, position, id) rows with the vocabulary and aggregates
 from __future__ import annotations
 
 import base64
-import ctypes
 import hashlib
 import heapq
 from collections.abc import Iterable, Iterator, Sequence
@@ -23,6 +22,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from fieldspark.llm.common import table
+from fieldspark.llm.words import give_back
 
 #: Rows of one recursive query, known words of a worker and characters of one sub-batch: they bound a worker's memory.
 ROWS_PER_QUERY = 250_000
@@ -89,9 +89,7 @@ class Codec:
         """Between partitions: the worker may serve other stages, so most known words go, and free memory goes back."""
         if len(self.known) > self.limit:
             self._forget()
-        pa.default_memory_pool().release_unused()
-        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
-            trim(0)
+        give_back()
 
     def _forget(self) -> None:
         """Known words have numbers; word k's ids are ``flat[start[k] : start[k] + size[k]]``."""

@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,11 +53,54 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Writes a table into the shared folder and reads it again: unlike a checkpoint it is columnar and compressed."""
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: Removes the tables of the innermost ``scratch`` block.
+_made: ContextVar[list[Callable[[], None]] | None] = ContextVar("made", default=None)
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Tables that are stored inside are removed at the end, but for those that are kept."""
+    made: list[Callable[[], None]] = []
+    before = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(before)
+        for remove in made:
+            remove()
+
+
+def _scrap(remove: Callable[[], None], keep: bool) -> None:
+    if not keep and (made := _made.get()) is not None:
+        made.append(remove)
+
+
+@contextmanager
+def _no_shuffle_left(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is written inside go when it is written, not when the driver collects its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def stored(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
+    """Writes a table into the shared folder and reads it again: unlike a checkpoint it is columnar and compressed, and
+    what it takes is computed once."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    with _no_shuffle_left(spark):
+        df.write.parquet(path)
+    _scrap(lambda: _remove(spark, path), keep)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def partitions_of(df: DataFrame) -> int:
@@ -64,9 +110,11 @@ def partitions_of(df: DataFrame) -> int:
 
 def bucketed(df: DataFrame, label: str, column: str, buckets: int) -> DataFrame:
     """Writes a table bucketed by a column into the warehouse: joins and groups by it then need no shuffle of it."""
-    name = f"{label}_{uuid.uuid4().hex}"
-    df.write.format("parquet").bucketBy(buckets, column).sortBy(column).saveAsTable(name)
-    return df.sparkSession.table(name)
+    spark, name = df.sparkSession, f"{label}_{uuid.uuid4().hex}"
+    with _no_shuffle_left(spark):
+        df.write.format("parquet").bucketBy(buckets, column).sortBy(column).saveAsTable(name)
+    _scrap(lambda: spark.sql(f"DROP TABLE IF EXISTS {name}"), keep=False)
+    return spark.table(name)
 
 
 def ascii_lower(c: Column) -> Column:

@@ -35,7 +35,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fieldspark.llm.common import partitions_of, stored, table
+from fieldspark.llm.common import partitions_of, scratch, stored, table
 from fieldspark.llm.words import batches_of, hash_words, shingle_sets, signed
 
 #: Independent min-hashes that propose pivots.
@@ -382,7 +382,12 @@ def join_documents(docs: DataFrame, s: Similarity) -> DataFrame:
 
 
 def _joined(docs: DataFrame, s: Similarity) -> DataFrame:
-    """What ``join_documents`` returns, with ``t``, the hash of the row's text."""
+    """What ``join_documents`` returns, with ``t``, the hash of the row's text; tables on the way to it are removed."""
+    with scratch():
+        return stored(_components_of(docs, s), "jaccard-components", keep=True)
+
+
+def _components_of(docs: DataFrame, s: Similarity) -> DataFrame:
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("t"))
     frequent = docs.sparkSession.sparkContext.broadcast(_frequent(docs, s))
     profiled = stored(profile(docs, s, frequent), "jaccard-profile")

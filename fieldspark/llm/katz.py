@@ -6,17 +6,18 @@ Good-Turing discounts d come from the counts of counts at each level; alpha(h) s
 over the words that h does not keep, so that each distribution sums to one over the known words, the end and one
 unknown word. p(w) is the level below: discounted unigrams, whose left mass is the unknown word's.
 
-Counts of bigrams are as large as the corpus. They travel packed: documents are cut into parts of PART bytes; a part
-sends its distinct words and pairs as sorted arrays by range of their hash (counts of its training documents beside
-them), a range adds them up and answers each part in the order that it asked. A pair costs some eight bytes in one
-shuffle. Words and pairs are told apart by 64-bit hashes. Pairs of words that make up more than 1 / HOT of the tokens
-are dealt by the pair instead of by their first word, and their sums put together afterwards, so no range grows with
-one word; a part asks once for a pair however often it holds it.
+Counts of bigrams are as large as the corpus. They travel packed: documents are cut into parts of PART bytes. For the
+counts of words, a part sends its distinct words as sorted arrays by range of their hash; a range adds them up and answers
+each part in the order that it asked. For the model, parts send their training pairs by range of the history's hash, and a
+range's sums are stored as a row of a table bucketed by range. For scores, parts ask the stored table for their pairs and
+histories, a pair once however often they hold it, and go from the pair to the word below token by token. A pair costs
+some eight bytes in one shuffle. Words and pairs are told apart by 64-bit hashes. Pairs of words that make up more than
+1 / HOT of the tokens, or a range's share of them, are dealt by the pair instead of by their first word, and their sums put
+together afterwards, so no range grows with one word.
 """
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -27,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldspark.llm.common import bucketed, crc32_mod, stored, table
+from fieldspark.llm.common import bucketed, crc32_mod, partitions_of, scratch, stored, table
 from fieldspark.llm.words import hash_words, mix, parts
 
 #: Bytes of text in a part, tokens for which there is one range, and the counts that are discounted.
@@ -161,9 +162,11 @@ def _rows(names: list[str], rows: list[tuple], types: list[pa.DataType]) -> pa.T
     return pa.table({n: pa.array(c, t) for n, c, t in zip(names, columns, types, strict=True)})
 
 
-#: Answers: to a part about a range (its counts in order), or about the corpus (part -1, ``about`` says what).
-ANSWER = "part long, range int, about string, counts binary, heads binary"
-_ANSWER = (["part", "range", "about", "counts", "heads"], [pa.int64(), pa.int32(), pa.string(), pa.binary(), pa.binary()])
+#: Answers to a part about a range: ``counts`` in order of the question, and the weights of the histories.
+ANSWER = "part long, range int, about string, counts binary, weights binary"
+_ANSWER = (["part", "range", "about", "counts", "weights"], [pa.int64(), pa.int32(), pa.string(), pa.binary(), pa.binary()])
+#: Part -1 of a range has what it adds to the corpus: the spectrum n_1.. and number of its words, and its hot words.
+_WORDS = ([*_ANSWER[0], "spectrum", "hot"], [*_ANSWER[1], pa.list_(pa.int64()), pa.list_(pa.struct([("word", pa.int64())]))])
 
 
 def _spectrum(totals: np.ndarray) -> np.ndarray:
@@ -171,8 +174,8 @@ def _spectrum(totals: np.ndarray) -> np.ndarray:
 
 
 def count_words(cut: DataFrame, ranges: int, hot_from: int) -> DataFrame:
-    """Answers with the training count of each word of each part; ``spectrum`` has n_1.. and the number of words, ``hot``
-    the words of at least ``hot_from`` tokens."""
+    """Answers with the training count of each word of each part, and about the corpus; hot words have at least
+    ``hot_from`` tokens."""
 
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -191,14 +194,13 @@ def count_words(cut: DataFrame, ranges: int, hot_from: int) -> DataFrame:
         totals = np.bincount(which, given, len(word)).astype(np.int64)
         answers = np.split(totals[which].astype(np.uint32), np.cumsum([len(x) for x in lists])[:-1])
         r = group["range"][0].as_py()
-        rows = [(p, r, "words", _pack(x), None) for p, x in zip(group["part"].to_pylist(), answers, strict=True)]
-        hot = totals >= hot_from
-        rows.append((-1, r, "spectrum", np.append(_spectrum(totals), int((totals > 0).sum())).tobytes(), None))
-        rows.append((-1, r, "hot", word[hot].tobytes(), totals[hot].tobytes()))
-        return _rows(_ANSWER[0], rows, _ANSWER[1])
+        rows = [(p, r, "words", _pack(x), None, None, None) for p, x in zip(group["part"].to_pylist(), answers, strict=True)]
+        hot = [{"word": int(x)} for x in word[totals >= hot_from].view(np.int64)]
+        rows.append((-1, r, "corpus", None, None, [*_spectrum(totals).tolist(), int((totals > 0).sum())], hot))
+        return _rows(_WORDS[0], rows, _WORDS[1])
 
     asked = cut.select("part", "words", "counts").mapInArrow(ask, "part long, range int, words binary, counts binary")
-    return asked.groupBy("range").applyInArrow(add, ANSWER)
+    return asked.groupBy("range").applyInArrow(add, f"{ANSWER}, spectrum array<long>, hot array<struct<word: long>>")
 
 
 class _Part:
@@ -226,118 +228,163 @@ class _Part:
         names = np.append(self.words, START)
         self.head_hash, self.word_hash = names[self.head], self.words[self.word]
 
-    def deal(self, ranges: int, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(order of the pairs by range, where each range begins)."""
+    def deal(self, ranges: int, hot: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """The pairs of each range that has some."""
         h = self.head_hash
         is_hot = np.isin(h, hot) if len(hot) else np.zeros(len(h), bool)
         at = _range_of(np.where(is_hot, mix(h, self.word_hash), h), ranges)
         order = np.argsort(at, kind="stable")
-        return order, np.searchsorted(at[order], np.arange(ranges + 1))
+        cuts = np.searchsorted(at[order], np.arange(ranges + 1))
+        for r, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            if b > a:
+                yield r, order[a:b]
 
 
-def _heads(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where runs of equal values begin, and the run of each row."""
+def _runs(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of equal values begin, and their lengths."""
     first = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.empty(0, np.int64)
-    run = np.zeros(len(h), np.int64)
-    run[first[1:]] = 1
-    return first, np.cumsum(run)
+    return first, np.diff(np.append(first, len(h))).astype(np.uint32)
+
+
+#: The model: a row for each range of the histories' hashes. ``heads`` (histories), ``runs`` (how many kept words each has),
+#: ``words`` and ``counts`` of the kept pairs in that order, ``sums`` (what a history's kept words sum up to), and for the
+#: whole corpus the spectrum of its counts and the sums of the hot histories, which are dealt over all ranges.
+MODEL = "range int, heads binary, runs binary, words binary, counts binary, sums binary, spectrum array<long>, hot array<struct<head: long, sums: array<double>>>"
+_HOT = pa.struct([("head", pa.int64()), ("sums", pa.list_(pa.float64()))])
+_MODEL = (["range", "heads", "runs", "words", "counts", "sums", "spectrum", "hot"], [pa.int32(), *[pa.binary()] * 5, pa.list_(pa.int64()), pa.list_(_HOT)])
 
 
 def count_pairs(cut: DataFrame, words: DataFrame, unigrams: Unigrams, ranges: int, hot: np.ndarray) -> DataFrame:
-    """Answers with the training count of each pair of each part (0 below CUTOFF), and for each history what its kept
-    pairs sum up to; ``table`` rows are the kept pairs themselves."""
+    """The model's rows: training counts of pairs by range. A part sends its distinct training pairs, with the corpus's
+    counts of their second words."""
     shared = cut.sparkSession.sparkContext.broadcast((unigrams, np.append(hot, START)))
-    asked_types = [pa.int64(), pa.int32(), *[pa.binary()] * 5]
-    asked_names = ["part", "range", "heads", "runs", "words", "word_counts", "counts"]
+    asked_names = ["range", "heads", "runs", "words", "word_counts", "counts"]
 
     def ask(left: pa.Table, right: pa.Table) -> pa.Table:
         _, hot = shared.value
         rows = []
         for row in left.to_pylist():
             p = _Part(row, right.to_pylist(), ranges)
-            weight = np.repeat(p.train, p.sizes)
-            times = np.bincount(p.pair_of_token, weight, len(p.head)).astype(np.uint32)
-            order, cuts = p.deal(ranges, hot)
-            for r, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-                if b > a:
-                    x = order[a:b]
-                    first, _ = _heads(p.head[x])
-                    runs = np.diff(np.append(first, len(x))).astype(np.uint32)
-                    rows.append((p.part, r, p.head_hash[x][first].tobytes(), _pack(runs), _short(p.word_hash[x]), _pack(p.counts[p.word[x]].astype(np.uint32)), _pack(times[x])))
-        return _rows(asked_names, rows, asked_types)
+            times = np.bincount(p.pair_of_token, np.repeat(p.train, p.sizes), len(p.head)).astype(np.uint32)
+            for r, x in p.deal(ranges, hot):
+                x = x[times[x] > 0]
+                if len(x):
+                    first, runs = _runs(p.head[x])
+                    rows.append((r, p.head_hash[x][first].tobytes(), _pack(runs), _short(p.word_hash[x]), _pack(p.counts[p.word[x]].astype(np.uint32)), _pack(times[x])))
+        return _rows(asked_names, rows, [pa.int32(), *[pa.binary()] * 5])
 
     def add(group: pa.Table) -> pa.Table:
         u, hot = shared.value
         asked = group.to_pylist()
-        heads = [np.repeat(np.frombuffer(a["heads"], np.uint64), _unpack(a["runs"], np.uint32)) for a in asked]
-        lengths = [len(x) for x in heads]
-        h, w = np.concatenate(heads), np.concatenate([_long(a["words"]) for a in asked])
+        h = np.concatenate([np.repeat(np.frombuffer(a["heads"], np.uint64), _unpack(a["runs"], np.uint32)) for a in asked])
+        w = np.concatenate([_long(a["words"]) for a in asked])
         word_counts = np.concatenate([_unpack(a["word_counts"], np.uint32) for a in asked])
         times = np.concatenate([_unpack(a["counts"], np.uint32) for a in asked])
         _, first, which = np.unique(mix(h, w), return_index=True, return_inverse=True)
         totals = np.bincount(which, times, len(first)).astype(np.int64)
         kept = totals >= CUTOFF
         # What the kept pairs of a history sum up to: how many have each discounted count, the larger counts, p(w).
-        head, of = np.unique(h, return_inverse=True)
-        own, c = of[first[kept]], totals[kept]
+        head, of = np.unique(h[first[kept]], return_inverse=True)
+        c = totals[kept]
         sums = np.zeros((len(head), DISCOUNTED + 2))
         for r in range(1, DISCOUNTED + 1):
-            sums[:, r - 1] = np.bincount(own[c == r], minlength=len(head))
-        sums[:, DISCOUNTED] = np.bincount(own, np.where(c > DISCOUNTED, c, 0), len(head))
-        sums[:, DISCOUNTED + 1] = np.bincount(own, u.p(word_counts[first[kept]].astype(np.int64)), len(head))
-        seen = np.where(kept, totals, 0).astype(np.uint32)[which]
-        r = asked[0]["range"]
-        rows = []
-        for a, counts, ids in zip(asked, np.split(seen, np.cumsum(lengths)[:-1]), np.split(of, np.cumsum(lengths)[:-1]), strict=True):
-            rows.append((a["part"], r, "pairs", _pack(counts), _pack(sums[ids[_heads(ids)[0]]].reshape(-1))))
-        rows.append((-1, r, "spectrum", _spectrum(totals).tobytes(), None))
+            sums[:, r - 1] = np.bincount(of[c == r], minlength=len(head))
+        sums[:, DISCOUNTED] = np.bincount(of, np.where(c > DISCOUNTED, c, 0), len(head))
+        sums[:, DISCOUNTED + 1] = np.bincount(of, u.p(word_counts[first[kept]].astype(np.int64)), len(head))
+        order = np.argsort(of, kind="stable")
+        runs = np.bincount(of, minlength=len(head)).astype(np.uint32)
         is_hot = np.isin(head, hot)
-        rows.append((-1, r, "hot", head[is_hot].tobytes(), sums[is_hot].tobytes()))
-        # The table itself: kept pairs in order of their history, counts beside the second words.
-        order = np.argsort(own, kind="stable")
-        has, runs = np.unique(own, return_counts=True)
-        rows.append((-1, r, "histories", head[has].tobytes(), _pack(runs.astype(np.uint32))))
-        rows.append((-1, r, "table", _short(w[first[kept]][order]), _pack(c[order].astype(np.uint32))))
-        return _rows(_ANSWER[0], rows, _ANSWER[1])
+        spread = [{"head": int(x), "sums": y.tolist()} for x, y in zip(head[is_hot].view(np.int64), sums[is_hot], strict=True)]
+        row = (asked[0]["range"], head.tobytes(), _pack(runs), _short(w[first[kept]][order]), _pack(c[order].astype(np.uint32)), _pack(sums.reshape(-1)), _spectrum(totals).tolist(), spread)
+        return _rows(_MODEL[0], [row], _MODEL[1])
 
-    asked = cut.groupBy("part").cogroup(words.groupBy("part")).applyInArrow(ask, "part long, range int, heads binary, runs binary, words binary, word_counts binary, counts binary")
-    return asked.groupBy("range").applyInArrow(add, ANSWER)
+    asked = cut.groupBy("part").cogroup(words.groupBy("part")).applyInArrow(ask, "range int, heads binary, runs binary, words binary, word_counts binary, counts binary")
+    return asked.groupBy("range").applyInArrow(add, MODEL)
 
 
-def _score(p: _Part, answers: list[dict], u: Unigrams, level: Level, ranges: int, hot: np.ndarray, hot_sums: np.ndarray) -> tuple[np.ndarray, ...]:
-    """log10 p and base log10 p of each token, and its count."""
-    order, cuts = p.deal(ranges, hot)
-    by_range = {a["range"]: a for a in answers if a["about"] == "pairs"}
-    seen = np.zeros(len(p.head), np.int64)
-    sums = np.zeros((len(p.words) + 1, DISCOUNTED + 2))
-    for r, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-        if b > a:
-            x = order[a:b]
-            seen[x] = _unpack(by_range[r]["counts"], np.uint32)
-            sums[p.head[x][_heads(p.head[x])[0]]] = _unpack(by_range[r]["heads"], np.float64).reshape(-1, DISCOUNTED + 2)
-    names = np.append(p.words, START)
-    if len(hot):
-        at = np.minimum(np.searchsorted(hot, names), len(hot) - 1)
-        known = hot[at] == names
-        sums[known] = hot_sums[at[known]]
-    # The history's count: of the word, or of the documents for the start.
-    c = p.counts.astype(np.float64)
-    c[-1] = u.documents
+def _weights(sums: np.ndarray, counts: np.ndarray, level: Level) -> np.ndarray:
+    """For each history (alpha, scale): the weight of the level below, and what a discounted count is multiplied by."""
+    c = counts.astype(np.float64)
     mass = sums[:, :DISCOUNTED] @ (np.array(level.d[1:]) * np.arange(1, DISCOUNTED + 1)) + sums[:, DISCOUNTED]
     left = np.where(c > 0, 1 - mass / np.maximum(c, 1), 1.0)
     # A history that keeps all its mass gives up half a count's.
     held = np.where(mass > 0, np.maximum(left, 0.5 / (c + 1)), 1.0)
     scale = np.where(mass > 0, (1 - held) / np.where(mass > 0, mass, 1), 0.0)
-    alpha = held / (1 - sums[:, DISCOUNTED + 1])
+    return np.stack([held / (1 - sums[:, DISCOUNTED + 1]), scale], axis=1)
+
+
+def look_up_pairs(cut: DataFrame, words: DataFrame, model: DataFrame, unigrams: Unigrams, level: Level, ranges: int, hot: np.ndarray) -> DataFrame:
+    """Answers with the model's count of each pair of each part, and the weights of each of its histories. The model stays
+    where it is stored; the parts' questions come to it."""
+    shared = cut.sparkSession.sparkContext.broadcast((unigrams, level, hot))
+    asked_names = ["part", "range", "heads", "runs", "words", "head_counts"]
+
+    def ask(left: pa.Table, right: pa.Table) -> pa.Table:
+        u, _, hot = shared.value
+        rows = []
+        for row in left.to_pylist():
+            p = _Part(row, right.to_pylist(), ranges)
+            p.counts[-1] = u.documents
+            for r, x in p.deal(ranges, hot):
+                first, runs = _runs(p.head[x])
+                rows.append((p.part, r, p.head_hash[x][first].tobytes(), _pack(runs), _short(p.word_hash[x]), _pack(p.counts[p.head[x][first]].astype(np.uint32))))
+        return _rows(asked_names, rows, [pa.int64(), pa.int32(), *[pa.binary()] * 4])
+
+    def answer(left: pa.Table, right: pa.Table) -> pa.Table:
+        _, level, _ = shared.value
+        key, counts, heads, sums = np.empty(0, np.uint64), np.empty(0, np.uint32), np.empty(0, np.uint64), np.empty((0, DISCOUNTED + 2))
+        for m in left.to_pylist():  # one row, or none where no training document has a pair of this range
+            heads, counts = np.frombuffer(m["heads"], np.uint64), _unpack(m["counts"], np.uint32)
+            key = mix(np.repeat(heads, _unpack(m["runs"], np.uint32)), _long(m["words"]))
+            sums = _unpack(m["sums"], np.float64).reshape(-1, DISCOUNTED + 2)
+            order = np.argsort(key)
+            key, counts = key[order], counts[order]
+        rows = []
+        for a in right.to_pylist():
+            h = np.frombuffer(a["heads"], np.uint64)
+            seen = _found(key, counts[:, None], mix(np.repeat(h, _unpack(a["runs"], np.uint32)), _long(a["words"])))[:, 0]
+            weights = _weights(_found(heads, sums, h), _unpack(a["head_counts"], np.uint32), level)
+            rows.append((a["part"], a["range"], "pairs", _pack(seen.astype(np.uint32)), _pack(weights.reshape(-1))))
+        return _rows(_ANSWER[0], rows, _ANSWER[1])
+
+    asked = cut.groupBy("part").cogroup(words.groupBy("part")).applyInArrow(ask, "part long, range int, heads binary, runs binary, words binary, head_counts binary")
+    return model.select("range", "heads", "runs", "words", "counts", "sums").groupBy("range").cogroup(asked.groupBy("range")).applyInArrow(answer, ANSWER)
+
+
+def _found(known: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The rows of ``values`` of what is wanted among the sorted ``known``, zeros for the rest."""
+    if not len(known):
+        return np.zeros((len(wanted), values.shape[1]), values.dtype)
+    at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+    return np.where((known[at] == wanted)[:, None], values[at], 0)
+
+
+def _score(p: _Part, answers: list[dict], u: Unigrams, level: Level, ranges: int, hot: np.ndarray, hot_weights: np.ndarray) -> tuple[np.ndarray, ...]:
+    """log10 p and base log10 p of each token, and its count."""
+    by_range = {a["range"]: a for a in answers if a["about"] == "pairs"}
+    seen = np.zeros(len(p.head), np.int64)
+    weights = np.zeros((len(p.words) + 1, 2))
+    for r, x in p.deal(ranges, hot):
+        seen[x] = _unpack(by_range[r]["counts"], np.uint32)
+        weights[p.head[x][_runs(p.head[x])[0]]] = _unpack(by_range[r]["weights"], np.float64).reshape(-1, 2)
+    names = np.append(p.words, START)
+    at = np.minimum(np.searchsorted(hot, names), len(hot) - 1)
+    known = hot[at] == names
+    weights[known] = hot_weights[at[known]]
+    alpha, scale = weights.T
     below = u.p(p.counts[:-1])
     pair = np.where(seen > 0, scale[p.head] * level.apply(seen) * seen, alpha[p.head] * below[p.word])
     return np.log10(pair)[p.pair_of_token], u.base(p.counts[:-1].astype(np.float64))[p.codes], p.counts[p.codes]
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark's cleaner remove the shuffle files of jobs whose results are stored: it acts when the JVM collects."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+def _unigrams(words: DataFrame, tokens: int, documents: int) -> tuple[Unigrams, DataFrame]:
+    """Totals of the corpus, and its hot words (``word, n``)."""
+    about = words.filter("part < 0").select("spectrum", F.explode_outer("hot").alias("hot"))
+    spectrum = words.filter("part < 0").agg(*(F.sum(F.get("spectrum", F.lit(i))) for i in range(DISCOUNTED + 2))).first()
+    spectrum = [int(x or 0) for x in spectrum]
+    level = Level.of(spectrum[:-1])
+    kept = float(tokens - sum((1 - level.d[r]) * r * spectrum[r - 1] for r in range(1, DISCOUNTED + 1)))
+    return Unigrams(tokens, spectrum[-1], documents, level, kept), about.filter("hot is not null").select("hot.*")
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
@@ -347,40 +394,41 @@ def score_documents(docs: DataFrame) -> DataFrame:
     whole text and its end. Null and empty texts are the end alone. Null ids and repeated rows are scored as they are;
     without training documents every token is the unknown word, of probability 1. An empty table gives no rows.
     """
+    with scratch():
+        return stored(_scored(docs), "katz-scores", keep=True)
+
+
+def _scored(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
-    parts_of = max(8, docs.rdd.getNumPartitions())  # a partition of the input makes a part or a few
+    parts_of = max(8, partitions_of(docs))  # a partition of the input makes a part or a few
     cut = bucketed(cut_into_parts(docs.select("doc_id", "text", F.coalesce("held_out", F.lit(False)).alias("held_out"))), "katz_parts", "part", parts_of)
-    n_all, tokens, documents = (x or 0 for x in cut.agg(F.sum("tokens"), F.sum("train_tokens"), F.sum("train_documents")).first())
+    n_all, tokens, documents = (int(x or 0) for x in cut.agg(F.sum("tokens"), F.sum("train_tokens"), F.sum("train_documents")).first())
     ranges = max(1, -(-n_all // TOKENS_PER_RANGE))
-    hot_from = max(2, -(-tokens // HOT))
+    # No word makes up more than a thousandth of the tokens or a range's share without being dealt over all ranges.
+    hot_from = max(2, min(-(-tokens // HOT), TOKENS_PER_RANGE))
     words = stored(count_words(cut, ranges, hot_from), "katz-words")
-    release(spark)
-    about = words.filter("part < 0").select("about", "counts", "heads").collect()  # one row of some numbers for each range
-    spectrum = sum((np.frombuffer(x["counts"], np.int64) for x in about if x["about"] == "spectrum"), np.zeros(DISCOUNTED + 2, np.int64))
-    hot = np.sort(np.concatenate([np.frombuffer(x["counts"], np.uint64) for x in about if x["about"] == "hot"] or [np.empty(0, np.uint64)]))
-    level = Level.of(spectrum[:-1].tolist())
-    kept = float(tokens - sum((1 - level.d[r]) * r * int(spectrum[r - 1]) for r in range(1, DISCOUNTED + 1)))
-    unigrams = Unigrams(int(tokens), int(spectrum[-1]), int(documents), level, kept)
-    words = words.filter("part >= 0")
-    pairs = stored(count_pairs(cut, words, unigrams, ranges, hot), "katz-pairs")
-    release(spark)
-    about = pairs.filter("part < 0 and about in ('spectrum', 'hot')").select("about", "counts", "heads").collect()
-    pair_level = Level.of(sum((np.frombuffer(x["counts"], np.int64) for x in about if x["about"] == "spectrum"), np.zeros(DISCOUNTED + 1, np.int64)).tolist())
+    unigrams, hot = _unigrams(words, tokens, documents)
+    hot = np.sort(np.array([x[0] for x in hot.collect()], np.int64).view(np.uint64))
+    words = words.filter("part >= 0").select("part", "range", "about", "counts", "weights")
+    model = bucketed(count_pairs(cut, words, unigrams, ranges, hot), "katz_model", "range", parts_of)
+    level = Level.of([int(x or 0) for x in model.agg(*(F.sum(F.get("spectrum", F.lit(i))) for i in range(DISCOUNTED + 1))).first()])
     hot = np.sort(np.append(hot, START))
-    hot_sums = np.zeros((len(hot), DISCOUNTED + 2))
-    for x in about:
-        if x["about"] == "hot":
-            hot_sums[np.searchsorted(hot, np.frombuffer(x["counts"], np.uint64))] += np.frombuffer(x["heads"], np.float64).reshape(-1, DISCOUNTED + 2)
-    shared = spark.sparkContext.broadcast((unigrams, pair_level, hot, hot_sums))
+    sums = model.select(F.explode("hot").alias("hot")).groupBy("hot.head").agg(*(F.sum(F.get("hot.sums", F.lit(i))) for i in range(DISCOUNTED + 2))).collect()
+    hot_sums, hot_counts = np.zeros((len(hot), DISCOUNTED + 2)), np.zeros(len(hot))
+    for head, *values in sums:
+        hot_sums[np.searchsorted(hot, np.array([head], np.int64).view(np.uint64)[0])] = values
+    # A kept pair is counted whole: what the kept pairs of a history sum up to is its count, or that of the documents.
+    hot_counts = hot_sums[:, :DISCOUNTED] @ np.arange(1, DISCOUNTED + 1) + hot_sums[:, DISCOUNTED]
+    shared = spark.sparkContext.broadcast((unigrams, level, hot, _weights(hot_sums, hot_counts, level)))
 
     def judge(left: pa.Table, right: pa.Table) -> pa.Table:
-        u, level, hot, hot_sums = shared.value
+        u, level, hot, hot_weights = shared.value
         out = []
         answers = right.to_pylist()
         for row in left.to_pylist():
             p = _Part(row, answers, ranges)
-            score, base, count = _score(p, answers, u, level, ranges, hot, hot_sums)
+            score, base, count = _score(p, answers, u, level, ranges, hot, hot_weights)
             ends = np.cumsum(p.sizes)
             each = lambda x: np.add.reduceat(x, ends - p.sizes)
             out.append(
@@ -398,7 +446,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
             )
         return pa.concat_tables(out)
 
-    answers = words.unionByName(pairs.filter("part >= 0"))
+    answers = words.union(look_up_pairs(cut, words, model, unigrams, level, ranges, hot).select("part", "range", "about", "counts", "weights"))
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return cut.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(judge, schema)
 

@@ -6,6 +6,7 @@ Hashes stand for words: two words of a corpus of 10^9 different ones share a has
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -13,10 +14,17 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-BYTES_PER_PART = 6_000_000
+BYTES_PER_PART = 3_000_000
 _MIX, _END = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
+def give_back() -> None:
+    """Returns free memory of Arrow's pool and of the heap to the system."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def parts(batches: Iterable[pa.RecordBatch], column: int, size: int = BYTES_PER_PART) -> Iterator[pa.RecordBatch]:
     """The batches in slices whose texts have about ``size`` bytes at most; one larger text is a slice of its own."""
     for batch in batches:
@@ -28,9 +36,9 @@ def parts(batches: Iterable[pa.RecordBatch], column: int, size: int = BYTES_PER_
             stop = max(start + 1, int(np.searchsorted(ends, before + size, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
-        # Workers are used again by other stages: what Arrow's pool keeps for later goes back.
+        # Workers are used again by other stages: what Arrow's pool and the heap keep for later goes back.
         del batch, lengths, ends
-        pa.default_memory_pool().release_unused()
+        give_back()
 
 
 def hash_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
