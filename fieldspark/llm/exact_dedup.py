@@ -1,8 +1,9 @@
 """Exact deduplication against a persistent digest index (operator 8, DataFrame functions only).
 
-The index is a table bucketed and sorted by the SHA-256 digest of the normalised text. A batch is first reduced to
-one row per digest (partial aggregation runs before the shuffle, so a text that fills a third of the batch costs one
-row per task), then admitted by a sort-merge anti-join against the index and appended to it.
+The index is a table bucketed and sorted by the SHA-256 digest of the normalised text. New data comes in batches. A batch
+is first reduced to one row per digest (partial aggregation runs before the shuffle, so a text that fills a third of the
+batch costs one row per task), then admitted by a sort-merge anti-join against the index and appended to it: the index is
+read where it lies, sorted and without a shuffle, and never copied.
 """
 
 from __future__ import annotations
@@ -12,7 +13,10 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fieldspark.llm.common import ascii_lower, cut, table
+from fieldspark.llm.common import ascii_lower, scratch, stored, table
+
+#: Batches that the query admits its documents in.
+BATCHES = 4
 
 
 def digest(text: Column) -> Column:
@@ -21,7 +25,8 @@ def digest(text: Column) -> Column:
 
 
 class DigestIndex:
-    """Digests seen so far: ``digest, keep_id, group_size``, bucketed and sorted by digest."""
+    """Digests seen so far: ``digest, keep_id, batch`` (the name of the batch that brought it), bucketed and sorted by
+    digest in the table ``name``."""
 
     def __init__(self, spark: SparkSession, name: str | None = None, buckets: int | None = None):
         self.spark = spark
@@ -34,12 +39,16 @@ class DigestIndex:
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
 
-    def admit(self, batch: DataFrame) -> None:
-        """Appends the rows of ``batch`` (one per digest) whose digest is new."""
-        fresh = batch.select("digest", "keep_id", "group_size")
-        if self.exists():
-            known = self.read().select("digest")
-            fresh = fresh.join(known.hint("merge"), "digest", "left_anti")
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+    def new(self, batch: DataFrame) -> DataFrame:
+        """The rows of ``batch`` whose digest the index does not hold."""
+        return batch.join(self.read().select("digest").hint("merge"), "digest", "left_anti") if self.exists() else batch
+
+    def admit(self, batch: DataFrame, name: str) -> None:
+        """Appends the rows ``digest, keep_id`` of ``batch`` (one per digest) whose digest is new."""
+        fresh = self.new(batch.select("digest", "keep_id")).withColumn("batch", F.lit(name))
         (
             fresh.repartition(self.buckets, "digest")
             .write.format("parquet")
@@ -49,45 +58,49 @@ class DigestIndex:
             .saveAsTable(self.name)
         )
 
-    def files(self) -> DataFrame:
-        """The index without its bucketing, so that a join may split a digest that most rows share."""
-        paths = sorted({f.rsplit("/", 1)[0] for f in self.read().inputFiles()})
-        return self.spark.read.schema(self.read().schema).parquet(*paths) if paths else self.read()
+
+def _batches(own: DataFrame, n: int) -> list[Column]:
+    """Conditions that deal rows into ``n`` batches of like size, the largest ids first and null ids last."""
+    if n == 1:
+        return [F.lit(True)]
+    cuts = own.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)])).first()[0] or []
+    edges = [None, *sorted(set(cuts), reverse=True), None]
+    below = lambda x: F.lit(True) if x is None else F.col("doc_id").isNull() | (F.col("doc_id") <= x)
+    above = lambda x: F.lit(True) if x is None else F.col("doc_id") > x
+    return [below(high) & above(low) for high, low in zip(edges[:-1], edges[1:], strict=True)]
 
 
-def deduplicate(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
+def deduplicate(docs: DataFrame, index: DigestIndex | None = None, batches: int = 1) -> DataFrame:
     """One row per document: ``doc_id, digest, keep_id, group_size, kept`` and ``fresh``.
 
     Of equal texts the row with the largest ``doc_id`` stays (a null id is smaller than any other). Repeated rows of one
-    ``doc_id`` and text count in ``group_size`` and exactly one of them stays. ``fresh`` is false where an index given by
-    the caller held the digest before this batch; such rows are not kept, and ``keep_id`` and ``group_size`` are the
-    index's. Null and empty texts are equal. An empty table gives no rows. Other columns of ``docs`` are ignored.
+    ``doc_id`` and text count in ``group_size``, the number of rows of ``docs`` with this text, and exactly one of them
+    stays. ``fresh`` is false where an index given by the caller held the digest before; such rows are not kept, and
+    ``keep_id`` is the index's. Null and empty texts are equal. An empty table gives no rows. Other columns of ``docs``
+    are ignored. More than one batch needs numbers as ids: the largest ids are admitted first, so later batches only
+    bring texts that they do not have.
     """
-    spark = docs.sparkSession
+    own = index or DigestIndex(docs.sparkSession)
+    with scratch():
+        out = stored(_judged(docs, own, batches), "dedup-judged", keep=True)
+    if index is None:
+        own.drop()
+    return out
+
+
+def _judged(docs: DataFrame, index: DigestIndex, batches: int) -> DataFrame:
     own = docs.select(F.col("doc_id").alias("doc_id"), digest(F.col("text")).alias("digest"))
     same = Window.partitionBy("digest", "doc_id").orderBy(F.lit(0))
-    own = cut(own.withColumn("repeat", F.row_number().over(same)))
-    best = own.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    index = index or DigestIndex(spark)
-    if index.exists():
-        before = cut(index.read().select("digest", F.lit(True).alias("known")))
-    else:
-        before = None
-    index.admit(best)
-    out = own.join(index.files(), "digest", "left")
-    if before is not None:
-        out = out.join(before, "digest", "left")
-    else:
-        out = out.withColumn("known", F.lit(None).cast("boolean"))
-    fresh = F.col("known").isNull()
-    return out.select(
-        "doc_id",
-        "digest",
-        "keep_id",
-        "group_size",
-        (fresh & F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("repeat") == 1)).alias("kept"),
-        fresh.alias("fresh"),
-    )
+    own = stored(own.withColumn("repeat", F.row_number().over(same)), "dedup-digests")
+    call = uuid.uuid4().hex
+    for k, condition in enumerate(_batches(own, batches)):
+        index.admit(own.filter(condition).groupBy("digest").agg(F.max("doc_id").alias("keep_id")), f"{call}-{k}")
+    # One row per digest of these documents; hot digests are split where the documents join it.
+    sized = own.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"))
+    held = index.read().select("digest", "keep_id", F.col("batch").startswith(call).alias("fresh")).hint("merge")
+    groups = stored(sized.join(held, "digest"), "dedup-groups")
+    kept = F.col("fresh") & F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("repeat") == 1)
+    return own.join(groups, "digest").select("doc_id", "digest", "keep_id", "group_size", kept.alias("kept"), "fresh")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
@@ -109,7 +122,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    index = DigestIndex(spark, f"op8_digest_index_{uuid.uuid4().hex}")
+    judged = deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"), index, BATCHES)
+    index.drop()
     return judged.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
