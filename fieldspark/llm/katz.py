@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldspark.llm.common import bucketed, crc32_mod, partitions_of, scratch, stored, table
-from fieldspark.llm.words import hash_words, mix, parts
+from fieldspark.llm.words import gathered, hash_words, mix, parts
 
 #: Bytes of text in a part, tokens for which there is one range, and the counts that are discounted.
 PART, TOKENS_PER_RANGE, DISCOUNTED = 16_000_000, 1_500_000, 5
@@ -121,7 +121,7 @@ def cut_into_parts(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         where = TaskContext.get().partitionId()
-        for n, part in enumerate(parts(batches, 1, PART)):
+        for n, part in enumerate(parts(gathered(batches, 1, PART), 1, PART)):
             words, offsets = hash_words(part.column(1))
             sizes = np.diff(offsets) + 1
             tokens = np.full(len(words) + len(sizes), END, np.uint64)

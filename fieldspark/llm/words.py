@@ -41,6 +41,22 @@ def parts(batches: Iterable[pa.RecordBatch], column: int, size: int = BYTES_PER_
         give_back()
 
 
+def gathered(batches: Iterable[pa.RecordBatch], column: int, size: int) -> Iterator[pa.RecordBatch]:
+    """The batches put together as long as their texts have ``size`` bytes at most."""
+    some: list[pa.RecordBatch] = []
+    total = 0
+    for batch in batches:
+        n = int(pc.sum(pc.binary_length(batch.column(column))).as_py() or 0)
+        if some and total + n > size:
+            yield pa.Table.from_batches(some).combine_chunks().to_batches()[0]
+            some, total = [], 0
+        if batch.num_rows:
+            some.append(batch)
+            total += n
+    if some:
+        yield pa.Table.from_batches(some).combine_chunks().to_batches()[0]
+
+
 def hash_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each word of all texts in turn, start of each text's words and the end); null counts as empty."""
     lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
