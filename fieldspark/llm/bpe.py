@@ -36,7 +36,7 @@ WITH RECURSIVE state(round, word, pos, id) AS (
   SELECT 0, word, pos, id FROM bytes_in
   UNION ALL
   (WITH pairs AS (
-     SELECT round, word, pos, id, id::BIGINT * 65536 + lead(id) OVER k AS pair, lag(pos) OVER k AS before
+     SELECT round, word, pos, id, id::BIGINT * 4294967296 + lead(id) OVER k AS pair, lag(pos) OVER k AS before
      FROM state WINDOW k AS (PARTITION BY word ORDER BY pos)
    ), ranked AS (SELECT pairs.*, merged FROM pairs LEFT JOIN merges USING (pair)),
    best AS (SELECT word, min(merged::BIGINT * 1048576 + pos) % 1048576 AS spot FROM ranked WHERE merged IS NOT NULL GROUP BY word)
@@ -71,7 +71,8 @@ class Codec:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.words = regex.compile(unicode_pattern(pattern))
         self.byte_ids = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.int32)
-        splits = [(self.ranks[t[:i]] * 65536 + self.ranks[t[i:]], r) for t, r in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
+        splits = [(self.ranks[t[:i]] << 32 | self.ranks[t[i:]], r) for t, r in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
+        self.ids = np.array(sorted(self.ranks.values()), np.int32)
         self.tables = {
             "merges": pa.table({"pair": pa.array([s for s, _ in splits], pa.int64()), "merged": pa.array([r for _, r in splits], pa.int32())}),
             "vocabulary": pa.table({"id": pa.array(list(self.ranks.values()), pa.int32()), "hex": [t.hex() for t in self.ranks]}),
@@ -180,8 +181,8 @@ class Codec:
         if len(self.known) > self.limit:
             self._forget()
         known = self.known
-        self._learn({w for words in split for w in words if w not in known})
-        numbers = np.array(list(map(known.__getitem__, chain.from_iterable(split))), np.int64)
+        self._learn(set(chain.from_iterable(split)).difference(known))
+        numbers = np.fromiter(map(known.__getitem__, chain.from_iterable(split)), np.int64, sum(map(len, split)))
         sizes = self.size[numbers].astype(np.int64)
         flat = self.flat[_ranges(self.start[numbers], sizes)]
         ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum([0, *map(len, split)])]
@@ -191,7 +192,7 @@ class Codec:
         """Bytes of each sequence of ids; an id outside the vocabulary is an error."""
         sizes = [len(x) for x in ids]
         flat = np.concatenate([*ids, np.empty(0, np.int32)]).astype(np.int32)
-        if len(flat) and (flat.min() < 0 or flat.max() >= len(self.ranks)):
+        if not np.isin(flat, self.ids).all():
             raise ValueError("an id is not in the vocabulary")
         rows = pa.table({"doc": np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), "pos": np.arange(len(flat), dtype=np.int32), "id": flat})
         self.db.register("ids_in", rows)
@@ -272,7 +273,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, with_ids: bool = False,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
         c.limit = known_words
-        names = [str(i) for i in range(len(c.ranks))]
+        names = [str(i) for i in range(int(c.ids[-1]) + 1)]
         sha = lambda x: hashlib.sha256(x).hexdigest()
         for part in _parts(batches, 1, _text_size, chars):
             ids = c.encode([x or "" for x in part.column(1).to_pylist()])
