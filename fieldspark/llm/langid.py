@@ -9,12 +9,12 @@ for each context and a text is a gather and a sum.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -156,7 +156,7 @@ def code_lengths(text: str, classes: np.ndarray, rows: np.ndarray, bits: np.ndar
     return total
 
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def predict(docs: DataFrame, trees: Trees) -> DataFrame:
