@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from fieldspark.llm.common import table
 from fieldspark.llm.words import batches_of, gram_hashes, hash_words, mix, parts
@@ -119,6 +120,20 @@ def best_match(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     return int(row[end]), end - length, length
 
 
+def _leaks_in(item: np.ndarray, words: np.ndarray, first: int, last: int, most: int) -> Iterator[tuple[int, int, int]]:
+    """(edits, start, words) of disjoint runs of ``words[first:last]`` within ``most`` edits of the item: the best one, then
+    the best of what lies before and after it."""
+    todo = [(first, last)]
+    while todo:
+        a, b = todo.pop()
+        if b - a >= max(1, len(item) - most):
+            edits, start, n = best_match(item, words[a:b])
+            if edits <= most:
+                yield edits, a + start, n
+                if n:
+                    todo += [(a, a + start), (a + start + n, b)]
+
+
 class Items:
     """A pass's share of the benchmark, with gram tables and LSH keys."""
 
@@ -173,7 +188,7 @@ class Items:
         return maybe[maybe + q <= offsets[np.minimum(owner, len(offsets) - 1)]]
 
     def search(self, words: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
-        """(text, item, edits, start, words) of the leaks; the best run for each text and item."""
+        """(text, item, edits, start, words) of the leaks: disjoint runs of a text for each item, the best ones first."""
         s = self.settings
         hits = {q: self._hits(q, words, offsets) for q in self.grams}
         found: dict[tuple[int, int], list[int]] = defaultdict(list)
@@ -192,14 +207,12 @@ class Items:
         for (doc, i), at in sorted(found.items()):
             item, k = self.words[i], s.edits(len(self.words[i]))
             low, high = int(offsets[doc]), int(offsets[doc + 1])
-            best = None
+            free = low
             for first, last in _runs(sorted(set(at)), len(item)):
-                first, last = max(low, first - 2 * k - 1), min(high, max(last + len(item) + 2 * k + 1, low))
-                edits, start, n = best_match(item, words[first:last])
-                if edits <= k and (best is None or edits < best[0]):
-                    best = (edits, first + start - low, n)
-            if best:
-                yield (doc, i, *best)
+                first, last = max(free, first - 2 * k - 1), min(high, max(last + len(item) + 2 * k + 1, low))
+                for edits, start, n in _leaks_in(item, words, first, last, k):
+                    yield doc, i, edits, start - low, n
+                    free = max(free, start + n)
 
     def _starts(self, members: list[int], hits: dict[int, np.ndarray], offsets: np.ndarray) -> np.ndarray:
         """Every start of a window that may hold a piece of one of the members' lengths."""
@@ -260,7 +273,7 @@ def _passes(benchmark: DataFrame, settings: Settings) -> Iterator[Items]:
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings | None = None) -> DataFrame:
-    """``doc_id, item_id, start, n_words, edits, similarity``: the best run of each document and item that it leaks.
+    """``doc_id, item_id, start, n_words, edits, similarity``: the disjoint runs of each document and item that it leaks.
 
     ``start`` counts words from 0. Texts and items without words, or null, leak nothing; rows that repeat are reported
     each, as are items of equal text; null ids are kept. Empty tables give no rows; other columns are ignored.
@@ -268,6 +281,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings | None
     settings = settings or Settings()
     spark = docs.sparkSession
     doc_type, item_type = docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()
+    item_arrow = to_arrow_type(benchmark.schema["item_id"].dataType)
     schema = f"doc_id {doc_type}, item_id {item_type}, start long, n_words long, edits long, similarity double"
     out = spark.createDataFrame([], schema)
     for items in _passes(benchmark, settings):
@@ -280,7 +294,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings | None
                 doc, item, edits, start, n = (np.array(x) for x in zip(*got, strict=True))
                 sizes = np.array([len(items.words[i]) for i in item])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(doc)), pa.array([items.ids[i] for i in item]), *(pa.array(x.astype(np.int64)) for x in (start, n, edits)), pa.array(1 - edits / sizes)],
+                    [part.column(0).take(pa.array(doc)), pa.array([items.ids[i] for i in item], item_arrow), *(pa.array(x.astype(np.int64)) for x in (start, n, edits)), pa.array(1 - edits / sizes)],
                     names=["doc_id", "item_id", "start", "n_words", "edits", "similarity"],
                 )
 
