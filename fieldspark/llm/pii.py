@@ -4,7 +4,9 @@ Candidates are found by one pattern, with the numbers that touch them; a part th
 through again at each place where one may start, for shorter candidates of every kind. They are validated: card numbers
 by Luhn's sum, IBANs by their remainder, addresses by their octets, dates by the calendar, US phone and social security
 numbers by their reserved ranges. What is valid is permuted by a keyed Feistel network over its own domain, so that equal values get equal pseudonyms in every document,
-different values different ones, and each pseudonym is valid in the same format with the same separators.
+different values different ones, and each pseudonym is valid in the same format with the same separators. A date that is
+read day first because its day is past the 12th gets another such day (the network is walked until it meets one, in at
+most WALK steps; the chance to miss is below 10^-25), so that pseudonyms are read as their originals are.
 
 A network alternates ``left = (left + f(right)) mod a`` and ``right = (right + f(left)) mod b``, a permutation of the
 a x b values whatever a and b are; f is SHA-256 under the key. Dates use the 146,097 = 189 x 773 days of one Gregorian
@@ -13,6 +15,7 @@ cycle, 1800-01-01 to 2199-12-31.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -69,6 +72,9 @@ WINDOW = 64
 MARK = "\x01"
 ESCAPED, AROUND = f"{MARK}E", f"{MARK}M"
 EPOCH, DAYS = "1800-01-01", 189 * 773
+WALK = 64
+#: The session's setting for the key of the query, and the one of demonstrations where it is unset.
+KEY_SETTING, DEMONSTRATION_KEY = "spark.fieldspark.pseudonymKey", "op6"
 
 
 def _digits(c: Column) -> Column:
@@ -205,6 +211,11 @@ def kind_of(m: Column) -> Column:
     )
 
 
+def _walked(x: Column, late_only: Column, date: Callable[[Column], Column]) -> Column:
+    """A step of a walk over dates: done at any day, or at one after the 12th where the text must be read day first."""
+    return F.struct(x.alias("x"), (~late_only | (F.dayofmonth(date(x)) > 12)).alias("done"))
+
+
 def pseudonym(m: Column, kind: Column, key: str) -> Column:
     """The pseudonym of a candidate of a validated kind."""
     d = _digits(m)
@@ -222,7 +233,15 @@ def pseudonym(m: Column, kind: Column, key: str) -> Column:
     check = F.lpad((98 - _mod97(F.concat(F.substr(tight, F.lit(1), F.lit(2)), F.lit("00"), moved))).cast("string"), 2, "0")
     iban = _refill(m, F.concat(F.substr(tight, F.lit(1), F.lit(2)), check, moved), "A-Z0-9")
 
-    day = F.date_add(F.lit(EPOCH).cast("date"), feistel(F.date_diff(_day(m), F.lit(EPOCH).cast("date")).cast("long"), 189, 773, key, "date").cast("int"))
+    from_epoch = lambda x: F.date_add(F.lit(EPOCH).cast("date"), x.cast("int"))
+    late_only = m.contains("/") & (_order(m) == "d")
+    moved_day = F.aggregate(
+        F.sequence(F.lit(1), F.lit(WALK)),
+        F.struct(F.date_diff(_day(m), F.lit(EPOCH).cast("date")).cast("long").alias("x"), F.lit(False).alias("done")),
+        lambda s, _: F.when(s["done"], s).otherwise(_walked(feistel(s["x"], 189, 773, key, "date"), late_only, from_epoch)),
+        lambda s: s["x"],
+    )
+    day = from_epoch(moved_day)
     written = F.split(m, "[-/.]")
     padded = lambda format_, i: F.when(F.length(F.get(written, F.lit(i))) == 2, F.date_format(day, format_ * 2)).otherwise(F.date_format(day, format_))
     mark = F.when(m.contains("/"), F.lit("/")).otherwise(F.lit("."))
@@ -255,7 +274,11 @@ def pseudonym(m: Column, kind: Column, key: str) -> Column:
     dialled = feistel((place - 200) * 8_000_000 + (exchange - 200) * 10_000 + line, 800, 8_000_000, key, "phone")
     american = F.concat(country, pad(F.floor(dialled / 8_000_000) + 200, 3), pad(F.floor(dialled % 8_000_000 / 10_000) + 200, 3), pad(dialled % 10_000, 4))
     is_american = n.isin(10, 11) & ((n == 10) | d.startswith("1")) & place.between(200, 999) & exchange.between(200, 999)
-    abroad = F.concat(F.substr(d, F.lit(1), F.lit(2)), permute_digits(F.substr(d, F.lit(3), n - 2), key, "phone+"))
+    # The digit that tells other numbers of ten or eleven digits from American ones stays, as do the first two.
+    split = F.when(n.isin(10, 11), n - 6).otherwise(F.lit(3))
+    kept, head = F.when(n.isin(10, 11), F.substr(d, split, F.lit(1))).otherwise(F.lit("")), F.substr(d, F.lit(3), split - 3)
+    others = permute_digits(F.concat(head, F.substr(d, split + F.length(kept), n)), key, "phone+")
+    abroad = F.concat(F.substr(d, F.lit(1), F.lit(2)), F.substr(others, F.lit(1), F.length(head)), kept, F.substr(others, F.length(head) + 1, n))
     phone = _refill(m, F.when(is_american, american).otherwise(abroad), "0-9")
 
     return (
@@ -332,7 +355,7 @@ def _values(x: Column, before: Column, after: Column) -> Column:
 
 def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     """Adds to the columns of ``docs``: ``found`` (array of kind, value, pseudonym in the order of the text), with
-    ``text`` replaced.
+    ``text`` replaced. A column of ``docs`` that is named ``found`` is replaced, all others stay.
 
     A text without candidates stays as it is; a null text stays null and has no findings; an empty table gives no rows.
     Repeated values and documents get equal pseudonyms. Rows are handled one by one: no shuffle, no limit of length.
@@ -340,15 +363,16 @@ def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     if not key:
         raise ValueError("pseudonyms need a key")
     marked = F.regexp_replace(F.replace(F.col("text"), F.lit(MARK), F.lit(ESCAPED)), f"({PATTERN})", f"{AROUND}$1{AROUND}")
-    out = docs.withColumn("__parts", F.when(F.col("text").rlike(PATTERN), F.split(marked, AROUND)))
-    near = lambda i: F.coalesce(F.get("__parts", i), F.lit(""))
+    parts, values, pairs = (f"__{k}_{uuid.uuid4().hex}" for k in ("parts", "values", "pairs"))
+    out = docs.withColumn(parts, F.when(F.col("text").rlike(PATTERN), F.split(marked, AROUND)))
+    near = lambda i: F.coalesce(F.get(parts, i), F.lit(""))
     part = lambda x, i: F.when(i % 2 == 1, _values(x, near(i - 1), near(i + 1))).otherwise(F.array(_value(F.lit(""), x)))
-    out = out.withColumn("__values", F.flatten(F.transform("__parts", part)))
-    pairs = F.transform("__values", lambda v: F.struct(v["kind"], v["value"], F.when(v["kind"] == "", v["value"]).otherwise(pseudonym(v["value"], v["kind"], key)).alias("pseudonym")))
-    out = out.withColumn("__pairs", pairs)
-    text = F.replace(F.array_join(F.transform("__pairs", lambda p: p["pseudonym"]), ""), F.lit(ESCAPED), F.lit(MARK))
-    found = F.coalesce(F.filter("__pairs", lambda p: p["kind"] != ""), F.array().cast("array<struct<kind:string,value:string,pseudonym:string>>"))
-    return out.withColumn("found", found).withColumn("text", F.when(F.col("__pairs").isNull(), F.col("text")).otherwise(text)).drop("__parts", "__values", "__pairs")
+    out = out.withColumn(values, F.flatten(F.transform(parts, part)))
+    changed = F.transform(values, lambda v: F.struct(v["kind"], v["value"], F.when(v["kind"] == "", v["value"]).otherwise(pseudonym(v["value"], v["kind"], key)).alias("pseudonym")))
+    out = out.withColumn(pairs, changed)
+    text = F.replace(F.array_join(F.transform(pairs, lambda p: p["pseudonym"]), ""), F.lit(ESCAPED), F.lit(MARK))
+    found = F.coalesce(F.filter(pairs, lambda p: p["kind"] != ""), F.array().cast("array<struct<kind:string,value:string,pseudonym:string>>"))
+    return out.withColumn("found", found).withColumn("text", F.when(F.col(pairs).isNull(), F.col("text")).otherwise(text)).drop(parts, values, pairs)
 
 
 def _of(kind: str) -> Callable[[Column], Column]:
@@ -356,6 +380,7 @@ def _of(kind: str) -> Callable[[Column], Column]:
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key="op6")
+    key = spark.conf.get(KEY_SETTING, DEMONSTRATION_KEY)
+    done = pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key)
     counts = [F.size(F.filter("found", _of(k))).alias(f"n_{k}") for k in KINDS]
     return done.select("doc_id", *counts, F.transform("found", lambda x: x["pseudonym"]).alias("pseudonyms"), "text")

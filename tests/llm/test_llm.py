@@ -334,6 +334,24 @@ def test_digest_index_lives_on(spark):
     assert index.read().count() == 3
 
 
+def test_digest_index_admits_by_a_sort_merge_anti_join(spark):
+    index = exact_dedup.DigestIndex(spark, "digest_index_plan", 4)
+    rng = random.Random(2)
+    rows = [(rng.choice([None, *range(40)]), rng.choice("aAbBcdefg")) for _ in range(300)]
+    got = exact_dedup.deduplicate(frame(spark, rows), index, 4).collect()
+    largest, size = {}, Counter(lower(t) for _, t in rows)
+    for i, t in rows:
+        largest[lower(t)] = max(-1 if i is None else i, largest.get(lower(t), -1))
+    names = {hashlib.sha256(t.encode()).digest(): t for t in size}
+    assert all(r["keep_id"] == largest[names[bytes(r["digest"])]] and r["group_size"] == size[names[bytes(r["digest"])]] and r["fresh"] for r in got)
+    assert Counter((names[bytes(r["digest"])], r["doc_id"]) for r in got if r["kept"]) == Counter(largest.items())
+    batch = frame(spark, [(1, "new")]).select(exact_dedup.digest(F.col("text")).alias("digest"), F.col("doc_id").alias("keep_id"))
+    plan = index.new(batch)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "LeftAnti" in plan
+    index.drop()
+    assert not index.exists()
+
+
 # Operator 9
 
 
@@ -457,3 +475,45 @@ def test_shingles_of_words():
     words, offsets = hash_words(pa.array(["a B c", None, " a\x0bb ", "A b C"]))
     assert offsets.tolist() == [0, 3, 3, 5, 8] and (words[:3] == words[5:]).all()
     assert len(gram_hashes(words[:3], 4)) == 0 and gram_hashes(words[:3], 2)[0] == gram_hashes(words[3:5], 2)[0]
+
+
+# Faults found by review
+
+
+def test_dates_and_phones_keep_their_reading(spark):
+    """Different dates and numbers have different pseudonyms, whichever order or country they are written for."""
+    rng = random.Random(4)
+    dates = {f"{rng.randint(1, 12):02d}/{rng.randint(1, 28):02d}/{rng.randint(1900, 2020)}" for _ in range(3000)}
+    dates |= {f"{rng.randint(13, 28)}/{rng.randint(1, 12):02d}/{rng.randint(1900, 2020)}" for _ in range(3000)}
+    phones = {f"+{rng.choice(['44', '49', '1', '7'])} {rng.randint(100, 999)} {rng.randint(0, 999):03d} {rng.randint(0, 9999):04d}" for _ in range(3000)}
+    got = pii.pseudonymise(frame(spark, list(enumerate(sorted(dates | phones)))), "k").select(F.explode("found").alias("f")).select("f.*").collect()
+    by = defaultdict(set)
+    for r in got:
+        by[r["kind"], r["pseudonym"]].add(r["value"])
+        if r["kind"] == "date":
+            assert (int(r["value"][:2]) > 12) == (int(r["pseudonym"][:2]) > 12)
+    assert len(got) > 8000 and all(len(v) == 1 for v in by.values())
+
+
+def test_pii_keeps_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "a@b.org", "x", "y")], "doc_id long, text string, __parts string, __pairs string")
+    r = pii.pseudonymise(docs, "k").first()
+    assert (r["__parts"], r["__pairs"], r["found"][0]["value"]) == ("x", "y", "a@b.org") and r["text"] != "a@b.org"
+    assert pii.pseudonymise(docs.limit(0), "k").count() == 0
+
+
+def test_signs_that_are_no_letters_have_no_language(spark):
+    docs = spark.createDataFrame([(1, "½ ²", "x"), (2, "①", "x"), (3, "Ⅷ", "x"), (4, "été", "x")], "doc_id long, text string, lang string")
+    trees = langid.Trees.fit(spark.createDataFrame([(1, "le chat est en été", "fr"), (2, "the cat", "en")], "doc_id long, text string, lang string"))
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.predict(docs, trees).collect()}
+    assert got == {1: "und", 2: "und", 3: "und", 4: "fr"}
+    assert langid.predict(docs.limit(0), trees).count() == 0
+
+
+def test_repeated_leaks_of_items_with_int_ids(spark):
+    rng = random.Random(12)
+    item, more = text_of(rng, 30), lambda: text_of(rng, 25)
+    text = f"{more()} {item} {more()} {edited(rng, item, 2)} {item} {more()}"
+    bench = spark.createDataFrame([(7, item, "z")], "item_id int, text string, doc_id string")
+    got = decontaminate.find_leaks(frame(spark, [(1, text), (2, more())]), bench).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["start"] // 5, r["edits"]) for r in got) == [(1, 7, 5, 0), (1, 7, 16, 2), (1, 7, 22, 0)]
