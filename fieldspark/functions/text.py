@@ -137,9 +137,13 @@ def use_class(licenses: Column) -> Column:
     return F.when((F.size(licenses) > 0) & F.forall(licenses, lambda x: F.coalesce(free(x), F.lit(False))), F.lit("REDISTRIBUTABLE")).otherwise(F.lit("INTERNAL_ONLY"))
 
 
+# Fixed value: words that negate the mention after them.
+NEGATION = r"\b(not|no|unlikely|isn'?t|wasn'?t)\s+(an?\s+)?"
+
+
 def negated_before(c: Column, pattern: str) -> Column:
     """Text in which mentions of the pattern that follow a negation are blanked, so that the rest can be matched."""
-    return F.regexp_replace(c, rf"(?i)\b(not|no|unlikely|isn'?t|wasn'?t)\s+(an?\s+)?{pattern}", " ")
+    return F.regexp_replace(c, f"(?i){NEGATION}{pattern}", " ")
 
 
 def quarantine(flags: Column, severe: list[str]) -> Column:

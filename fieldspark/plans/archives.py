@@ -124,9 +124,9 @@ def total_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive.total_differences(buckets, totals, ["period_start"], "n")
 
 
-@bind("v_12_unlicensed_records", "SELECT DISTINCT l_partkey AS record_id FROM lineitem WHERE l_orderkey < 500 AND l_partkey % 4 = 0")
+@bind("v_12_unlicensed_records", "SELECT DISTINCT l_partkey AS record_id FROM lineitem WHERE l_partkey % 4 = 0")
 def unlicensed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    outputs = table(spark, sf_dir, "lineitem").filter("l_orderkey < 500").groupBy("l_orderkey").agg(F.collect_list("l_partkey").alias("record_ids"))
+    outputs = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list("l_partkey").alias("record_ids"))
     snapshots = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("record_id"), F.when(F.col("p_partkey") % 4 == 0, "INTERNAL_ONLY").otherwise("REDISTRIBUTABLE").alias("use_class"))
     return archive.unlicensed(outputs, snapshots)
 

@@ -152,12 +152,12 @@ def exclusions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @bind(
     "a_22_daily_rolling_mean",
-    with_sightings(""", d AS (SELECT period_start, count(*) AS n FROM s WHERE value > 100 AND user_id % 7 = 0 GROUP BY 1), days AS (SELECT CAST(t AS DATE) AS period_start FROM generate_series(DATE '2024-01-01', DATE '2024-01-30', INTERVAL 1 DAY) g(t))
+    with_sightings(""", d AS (SELECT period_start, count(*) AS n FROM s GROUP BY 1), days AS (SELECT CAST(t AS DATE) AS period_start FROM generate_series(DATE '2023-12-20', DATE '2024-02-10', INTERVAL 1 DAY) g(t))
 SELECT period_start, coalesce(n, 0) AS sightings, round(avg(coalesce(n, 0)) OVER (ORDER BY period_start ROWS BETWEEN 29 PRECEDING AND CURRENT ROW), 9) AS rolling_mean FROM days LEFT JOIN d USING (period_start)"""),
 )
 def rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = sightings(spark, sf_dir).filter("value > 100 and user_id % 7 = 0").groupBy("period_start").agg(F.count(F.lit(1)).alias("sightings"))
-    filled = C.fill_calendar(days, C.periods(spark, START, END, "daily", verified=True).select("period_start"), ["sightings"])
+    days = sightings(spark, sf_dir).groupBy("period_start").agg(F.count(F.lit(1)).alias("sightings"))
+    filled = C.fill_calendar(days, C.periods(spark, date(2023, 12, 20), date(2024, 2, 10), "daily", verified=True).select("period_start"), ["sightings"])
     return filled.withColumn("rolling_mean", F.round(C.rolling_mean(filled, "sightings", "period_start"), 9))
 
 

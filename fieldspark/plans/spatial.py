@@ -26,10 +26,10 @@ COMPATIBLE = "(a.detail = b.detail OR a.detail IN ('UNKNOWN', 'MIXED') OR b.deta
 @bind(
     "j_11_match_edges",
     with_sightings(f"""SELECT a.observation_id AS l_id, b.observation_id AS r_id, round({HAVERSINE} * 1000, 3) AS distance_m FROM s a JOIN s b ON a.sighting_date = b.sighting_date AND a.observation_id < b.observation_id
-WHERE a.source <> b.source AND {COMPATIBLE} AND {HAVERSINE} <= 5.0 AND abs(epoch_us(a.event_at) - epoch_us(b.event_at)) / 60e6 <= 240"""),
+WHERE a.source <> b.source AND {COMPATIBLE} AND {HAVERSINE} <= 20.0 AND abs(epoch_us(a.event_at) - epoch_us(b.event_at)) / 60e6 <= 240"""),
 )
 def match_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return entity.match_edges(sightings(spark, sf_dir), distance_m=5000, minutes=240).select("l_id", "r_id", F.round("distance_m", 3).alias("distance_m"))
+    return entity.match_edges(sightings(spark, sf_dir), distance_m=20000, minutes=240).select("l_id", "r_id", F.round("distance_m", 3).alias("distance_m"))
 
 
 def _targets(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -164,27 +164,27 @@ def distances(spark: SparkSession, sf_dir: str) -> DataFrame:
 @bind(
     "g_06_noisy_or_intensity",
     REACH
-    + """, d AS (SELECT origin, node, min(distance) AS distance FROM r GROUP BY ALL), g AS (SELECT event_id % 25 AS cell, CAST(ts AS DATE) AS period_start, sum(CASE WHEN event_id % 7 = 0 THEN 0.25 ELSE 0.0 END)::DOUBLE AS mature_expected_count FROM events WHERE event_id % 50 < 30 GROUP BY ALL),
+    + """, d AS (SELECT origin, node, min(distance) AS distance FROM r GROUP BY ALL), g AS (SELECT event_id % 25 AS cell, CAST(ts AS DATE) AS period_start, sum(CASE WHEN event_id % 7 = 0 THEN 0.25 ELSE 0.0 END)::DOUBLE AS mature_expected_count FROM events GROUP BY ALL),
 c AS (SELECT node AS cell, period_start, greatest(0, least(1, mature_expected_count * (0.1 + 0.4 * power(1 - distance / 6, 2)))) AS p FROM g JOIN d ON g.cell = d.origin WHERE mature_expected_count > 0),
 h AS (SELECT cell, period_start, CASE WHEN max(p) >= 1 THEN 1 ELSE 1 - exp(sum(CASE WHEN p < 1 THEN ln(1 - p) ELSE 0 END)) END AS heard FROM c GROUP BY ALL)
-SELECT cell, period_start, mature_expected_count, round(CASE WHEN mature_expected_count >= 1 THEN 1.0 ELSE coalesce(heard, 0.0) END, 6) AS intensity FROM g LEFT JOIN h USING (cell, period_start)""",
+SELECT cell, period_start, mature_expected_count, round(CASE WHEN mature_expected_count >= 1 THEN 1.0 ELSE coalesce(heard, 0.0) END, 9) AS intensity FROM g LEFT JOIN h USING (cell, period_start)""",
 )
 def intensity(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = _edges(spark, sf_dir)
     reach = graph.within(edges, edges.select(F.col("src").alias("node")).distinct(), 6.0)
-    e = table(spark, sf_dir, "events").filter("event_id % 50 < 30")
+    e = table(spark, sf_dir, "events")
     grid = e.groupBy((F.col("event_id") % 25).alias("cell"), F.col("ts").cast("date").alias("period_start")).agg(F.sum(F.when(F.col("event_id") % 7 == 0, 0.25).otherwise(0.0)).alias("mature_expected_count"))
     weight = distance_weight(F.col("distance"), 6.0, center=0.5, outer=0.1, exponent=2.0)
-    return graph.intensity(grid, reach, weight).withColumn("intensity", F.round("intensity", 6))
+    return graph.intensity(grid, reach, weight).withColumn("intensity", F.round("intensity", 9))
 
 
 @bind(
     "e_05_alias_chains",
-    """WITH RECURSIVE l AS (SELECT o_orderkey AS alias, o_orderkey // 3 AS target FROM orders WHERE o_orderkey > 0 AND o_orderkey % 5 <> 0), r(alias, target) AS (SELECT alias, target FROM l UNION ALL SELECT r.alias, l.target FROM r JOIN l ON r.target = l.alias)
+    """WITH RECURSIVE l AS (SELECT o_orderkey AS alias, o_orderkey // 3 AS target FROM orders WHERE o_orderkey > 0), r(alias, target) AS (SELECT alias, target FROM l UNION ALL SELECT r.alias, l.target FROM r JOIN l ON r.target = l.alias)
 SELECT alias, min(target) AS target FROM r GROUP BY 1""",
 )
 def chains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders").filter("o_orderkey > 0 and o_orderkey % 5 <> 0")
+    o = table(spark, sf_dir, "orders").filter("o_orderkey > 0")
     return graph.resolve_chains(o.select(F.col("o_orderkey").alias("alias"), F.floor(F.col("o_orderkey") / 3).cast("long").alias("target")))
 
 
@@ -197,7 +197,7 @@ def diffusion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _busy_edges(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     obs = sightings(spark, sf_dir)
-    return obs, entity.match_edges(obs, distance_m=5000, minutes=240)
+    return obs, entity.match_edges(obs, distance_m=20000, minutes=240)
 
 
 @bind("e_01_complete_link_groups")

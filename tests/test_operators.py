@@ -39,6 +39,19 @@ def test_band_join_equals_nested_loop(spark):
     assert {r["l_id"] for r in band_join(left, right, radius_km=6, lag_days=2, how="left_anti").collect()} == {x[0] for x in a} - {p for p, _ in want}
 
 
+@pytest.mark.parametrize("radius", [20, 700])
+def test_band_join_holds_at_the_poles_and_the_date_line(spark, radius):
+    rng = random.Random(radius)
+    places = [(lat, lon) for lat in (82.0, 89.9, -89.95, 0.0, 60.0) for lon in (-179.99, 179.99, 0.0, 0.15)]
+    places += [(rng.choice([-1, 1]) * rng.uniform(80, 90), rng.uniform(-180, 180)) for _ in range(200)]
+    places += [(rng.uniform(-90, 90), rng.choice([-180, 180]) + rng.uniform(-3, 3)) for _ in range(150)]
+    rows = [(i, lat, (lon + 180) % 360 - 180, date(2024, 1, 1)) for i, (lat, lon) in enumerate(places)]
+    left, right = (spark.createDataFrame(rows, f"{p}_id int, {p}_lat double, {p}_lon double, {p}_day date") for p in "lr")
+    got = [(r["l_id"], r["r_id"]) for r in band_join(left, right, radius_km=radius, lag_days=0).collect()]
+    want = {(x[0], y[0]) for x, y in itertools.product(rows, rows) if km(x[1:3], y[1:3]) <= radius}
+    assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_haversine_of_antipodes_is_finite(spark):
     assert one(spark, haversine_km(F.lit(0.0), F.lit(0.0), F.lit(0.0), F.lit(180.0))) == pytest.approx(math.pi * 6371.0088)
 
@@ -136,6 +149,31 @@ def test_complete_link_equals_the_greedy_rule(spark):
     assert {r["observation_id"]: r["group_id"] for r in got} == greedy(range(40), links)
 
 
+def test_encounters_join_the_largest_group_that_fits(spark):
+    rng = random.Random(9)
+    pairs = {tuple(sorted(rng.sample(range(30), 2))) for _ in range(160)}
+    links = {i: {b for p in pairs for b in p if i in p} for i in range(30)}
+    groups = []
+    for i in range(30):
+        whole = [g for g in groups if links[i].issuperset(g)]
+        if whole:
+            min(whole, key=lambda g: (-len(g), g)).append(i)
+        else:
+            groups.append([i])
+    obs = spark.createDataFrame([(i,) for i in range(30)], "observation_id long")
+    got = entity.encounters(obs, spark.createDataFrame(sorted(pairs), "l_id long, r_id long")).collect()
+    of = {}
+    for r in got:
+        of.setdefault(r["encounter"], []).append(r["observation_id"])
+    assert sorted(map(sorted, of.values())) == sorted(map(sorted, groups)) and all(r["size"] == len(of[r["encounter"]]) for r in got)
+
+
+def test_only_trusted_associations_link(spark):
+    rows = [("1", "member", "j35", "Strong", False), ("1", "POD", "J", "WEAK", False), ("2", "POD", "K", "EXPLICIT", True), ("2", "ECOTYPE", "SRKW", "EXPLICIT", False), ("3", "SOCIAL_GROUP", "T65A", "EXPLICIT", None), ("4", "POD", "L", "STRONG", False)]
+    got = entity.trusted_keys(spark.createDataFrame(rows, "observation_id string, kind string, value string, confidence string, conflicting boolean")).collect()
+    assert sorted(map(tuple, got)) == [("1", "MEMBER", "J35"), ("4", "POD", "L")]
+
+
 def test_chains_are_not_merged_and_need_review(spark):
     obs = spark.createDataFrame([(1,), (2,), (3,)], "observation_id long")
     got = entity.complete_link(obs, spark.createDataFrame([(1, 2), (2, 3)], "l_id long, r_id long"), ["observation_id"]).collect()
