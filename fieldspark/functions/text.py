@@ -150,3 +150,55 @@ def quarantine(flags: Column, severe: list[str]) -> Column:
     """Struct ``status, reasons``: quarantined if a severe flag is set."""
     reasons = F.array_sort(F.array_intersect(flags, F.array(*map(F.lit, severe))))
     return F.struct(F.when(F.size(reasons) > 0, F.lit("QUARANTINED")).otherwise(F.lit("ACCEPTED")).alias("status"), reasons.alias("reasons"))
+
+
+def paragraph_fields(html: Column, aliases: dict[str, str]) -> Column:
+    """Map of canonical field to value from the paragraphs ``label: value`` of a page; the first of a field wins.
+
+    Labels are compared without case and without anything but letters and digits, and have at most 50 characters.
+    """
+    plain = lambda p: F.trim(F.regexp_replace(F.regexp_replace(p, r"(?s)<[^>]*>", " "), r"\s+", " "))
+    lines = F.transform(F.regexp_extract_all(html, F.lit(r"(?is)<p\b[^>]*>(.*?)</p>"), F.lit(1)), plain)
+    names = F.create_map(*[F.lit(x) for pair in aliases.items() for x in pair])
+    label = lambda x: F.regexp_replace(F.lower(F.substring_index(x, ":", 1)), "[^a-z0-9]", "")
+    usable = F.filter(lines, lambda x: x.rlike(r"^[^:]{1,50}:"))
+    pairs = F.filter(F.transform(usable, lambda x: F.struct(names[label(x)].alias("key"), F.trim(F.substr(x, F.instr(x, ":") + 1)).alias("value"))), lambda p: p["key"].isNotNull())
+    found = []
+    for field in dict.fromkeys(aliases.values()):
+        found += [F.lit(field), F.get(F.filter(pairs, _keyed(field)), F.lit(0))["value"]]
+    return F.map_filter(F.create_map(*found), lambda _, v: v.isNotNull())
+
+
+def canonical_json(**fields: Column) -> Column:
+    """JSON object with its keys in order and no spaces; nulls are left out."""
+    return F.to_json(F.struct(*[fields[k].alias(k) for k in sorted(fields)]))
+
+
+def tag_names(tags: Column) -> Column:
+    """Names of a JSON list of tags, which are texts or objects with a name; others are left out."""
+    names = F.transform(F.from_json(tags, "array<string>"), lambda t: F.when(t.startswith("{"), F.get_json_object(t, "$.name")).otherwise(t))
+    return F.filter(names, lambda t: t.isNotNull() & (t != ""))
+
+
+def precise_timestamp(c: Column) -> Column:
+    """The text if it is one ISO instant with a time of day: intervals, dates alone and other texts are null."""
+    text = source_text(c)
+    clock = text.contains("T") | F.substr(text, F.lit(11), F.length(text)).rlike(r"\d")
+    return F.when(~text.contains("/") & clock & text.try_cast("timestamp").isNotNull(), text)
+
+
+def map_marker_date(c: Column, year: int) -> Column:
+    """Struct ``date, flags`` of a marker's date text, with doubled commas mended and a missing or cut year taken from the
+    map's; flags say what was done."""
+    text = F.regexp_replace(F.trim(c), r"(?i)\bSept\b", "Sep")
+    odd = text.contains(",,") | text.rlike(r",\d{4}$")
+    text = F.regexp_replace(F.regexp_replace(text, ",,", ","), r",(\d{4})$", ", $1")
+    text = F.regexp_replace(text, r"^([A-Za-z]{3})\.", "$1")
+    cut = text.rlike(r",\s*\d{3}$")
+    bare = ~cut & ~text.rlike(r"(,\s*(\d{2}|\d{4})|\s+\d{4})$")
+    text = F.when(cut, F.regexp_replace(text, r",\s*\d{3}$", f", {year}")).when(bare, F.concat(text, F.lit(f", {year}"))).otherwise(text)
+    date = F.coalesce(*[F.try_to_date(text, f) for f in ("MMM d, yyyy", "MMMM d, yyyy")])
+    names = {"ATLIST_DATE_TEXT_NORMALIZED": odd, "ATLIST_DATE_YEAR_REPAIRED": cut, "ATLIST_DATE_YEAR_INFERRED": bare, "ATLIST_MAP_YEAR_DATE_MISMATCH": F.year(date) != year, "UNPARSED_ATLIST_DATE": date.isNull()}
+    missing = c.isNull() | (F.trim(c) == "")
+    flags = F.array_compact(F.array(*[F.when(F.coalesce(t, F.lit(False)), F.lit(n)) for n, t in names.items()]))
+    return F.struct(F.when(~missing, date).alias("date"), F.when(missing, F.array(F.lit("MISSING_ATLIST_DATE"))).otherwise(flags).alias("flags"))

@@ -6,6 +6,8 @@ equality of their digests.
 
 from __future__ import annotations
 
+import hashlib
+import json
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
@@ -109,3 +111,20 @@ def coverage(sources: DataFrame) -> DataFrame:
     """Intersection of the sources' intervals (``start, end, verified``), and whether all are verified and overlap."""
     both = sources.agg(F.max("start").alias("start"), F.min("end").alias("end"), F.min("verified").alias("verified"))
     return both.withColumn("overlaps", F.col("start") <= F.col("end")).withColumn("verified", F.col("verified") & F.col("overlaps"))
+
+
+def behind_watermark(published: DataFrame, end: date) -> DataFrame:
+    """Sources whose published ``watermark`` lies after ``end``: a window that ends before it is out of order."""
+    return published.filter(F.col("watermark") > F.lit(end))
+
+
+def scope_hash(source: object, area: object, start: date) -> str:
+    """Digest of a source's settings, area and first day. The last day moves on and is not part of it; another scope
+    restarts the history."""
+    body = {"source": source, "full_area": area, "start": start.isoformat()}
+    return hashlib.sha256(json.dumps(body, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
+
+
+def snapshot_mode(has_state: Column) -> Column:
+    """FULL_REPLACE for a first collection, then DELTA_UPSERT: completeness of a query does not prove deletions."""
+    return F.when(has_state, "DELTA_UPSERT").otherwise("FULL_REPLACE")

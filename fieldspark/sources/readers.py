@@ -221,3 +221,62 @@ def latest_snapshot(root: str | Path) -> Path | None:
         return root / json.loads(pointer.read_text())["snapshot"]
     done = sorted(p.parent for p in root.glob("*/snapshot.json"))
     return done[-1] if done else None
+
+
+# Names that public feeds give their lists, and mirrored branches that repeat another feed's records.
+FEED_KEYS = ("list", "sightings", "data", "results")
+MIRRORS = ("rwsas", "wras")
+
+
+def feed_items(payload: str | list | dict) -> list[dict]:
+    """Records of a current feed: a bare list, or the first of the known keys that holds one."""
+    found = json.loads(payload) if isinstance(payload, str) else payload
+    if isinstance(found, list):
+        return found
+    for key in FEED_KEYS:
+        if isinstance(found, dict) and isinstance(found.get(key), list):
+            return found[key]
+    raise ValueError("the feed holds no list of records")
+
+
+def priority_feed(payloads: DataFrame, source: str) -> DataFrame:
+    """Adapter of a flat JSON feed whose fields have several names: the first present one counts."""
+    choices = {
+        "id": ("ssemmi_id", "entry_id", "id"),
+        "observed_at_raw": ("observed_at", "time_observed_at", "created"),
+        "observed_date_raw": ("observed_on", "sightdate"),
+        "latitude_raw": ("latitude", "lat"),
+        "longitude_raw": ("longitude", "lon", "lng"),
+        "species": ("type", "species", "name"),
+        "description": ("data_source_comments", "comments", "notes"),
+        "label_raw": ("pod", "ecotype"),
+    }
+    pick = lambda names: X.first_present(*[F.get_json_object("payload", f"$.{n}") for n in names])
+    return source_records(payloads.select("payload", *[pick(names).alias(k) for k, names in choices.items()]), source, "id")
+
+
+def mirrored_feed(payloads: DataFrame, source: str) -> DataFrame:
+    """Adapter of a feed that mirrors others: mirrored branches and test records go, names are joined once each in order."""
+    of = lambda name: F.get_json_object("payload", f"$.{name}")
+    branch = F.lower(F.trim(F.coalesce(of("source"), F.lit(""))))
+    test = F.lower(F.trim(F.coalesce(of("is_test"), F.lit("")))).isin("1", "true", "yes")
+    rows = payloads.filter(~branch.isin(*MIRRORS) & ~test).select(
+        "payload", of("id").alias("id"), of("created").alias("observed_at_raw"), of("latitude").alias("latitude_raw"), of("longitude").alias("longitude_raw"),
+        X.join_present(" | ", of("scientific_name"), of("name")).alias("species"), of("comments").alias("description"), of("name").alias("label_raw"),
+    )
+    return source_records(rows, source, "id")
+
+
+ADAPTERS |= {"priority_feed": priority_feed, "mirrored_feed": mirrored_feed}
+
+
+def universe_cells(df: DataFrame, names: Sequence[str] = ("H3_INDEX", "h3", "H3", "hex_id", "cell"), valid: str = ".+") -> DataFrame:
+    """The counting universe's cells, from the first column of a known name; repeated, invalid and no cells are refused."""
+    found = next((n for n in names if n in df.columns), None)
+    if found is None:
+        raise ValueError(f"the universe has none of the columns {list(names)}")
+    cells = df.select(F.col(found).cast("string").alias("cell")).dropna()
+    r = cells.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("cell").alias("distinct"), F.count(F.when(~F.col("cell").rlike(f"^(?:{valid})$"), 1)).alias("invalid")).first()
+    if not r["n"] or r["n"] != r["distinct"] or r["invalid"]:
+        raise ValueError(f"{r['n']} cells of the universe, {r['distinct']} distinct, {r['invalid']} invalid")
+    return cells
