@@ -118,3 +118,15 @@ def diffuse(edges: DataFrame, seeds: DataFrame, time: float, terms: int = 12) ->
         term = cut(spread.unionByName(stay).groupBy("node").agg((F.sum("mass") * (time / k)).alias("mass")))
         total = cut(total.unionByName(term).groupBy("node").agg(F.sum("mass").alias("mass")))
     return total
+
+
+def routes(edges: DataFrame, asked: DataFrame, bound: float) -> DataFrame:
+    """``origin, destination, distance`` of asked pairs within the bound; what lies beyond it or apart has no distance."""
+    reach = within(edges, asked.select(F.col("origin").alias("node")).distinct(), bound).withColumnRenamed("node", "destination")
+    return asked.join(reach, ["origin", "destination"], "left")
+
+
+def sub_graph(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The edges with both ends among ``nodes`` (``node``)."""
+    ends = lambda c: nodes.select(F.col("node").alias(c)).distinct()
+    return edges.join(ends("src"), "src", "left_semi").join(ends("dst"), "dst", "left_semi")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame
 
@@ -15,3 +16,10 @@ def cut(df: DataFrame) -> DataFrame:
         where = spark.conf.get("spark.checkpoint.dir", None)
         spark.sparkContext.setCheckpointDir(where or f"file://{os.path.join(tempfile.gettempdir(), 'checkpoints')}")
     return df.checkpoint(eager=True)
+
+
+def workspace(df_or_spark: object, label: str) -> str:
+    """A new folder in the shared place that the session names in ``spark.checkpoint.dir`` (a local one if unset)."""
+    spark = getattr(df_or_spark, "sparkSession", df_or_spark)
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"file://{os.path.join(tempfile.gettempdir(), 'checkpoints')}"
+    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

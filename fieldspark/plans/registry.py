@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 
 #: Modules of ``fieldspark.plans`` that bind operators to the tables.
-MODULES: tuple[str, ...] = ("counting", "history", "spatial", "evaluation", "imputing", "archives", "stages", "shapes", "cleaning")
+MODULES: tuple[str, ...] = ("counting", "history", "spatial", "evaluation", "imputing", "archives", "stages", "shapes", "cleaning", "measures")
 
 
 @dataclass
