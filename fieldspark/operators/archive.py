@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fieldspark.functions.geo import haversine_km
 from fieldspark.functions.temporal import clock_text, plausible_start, week_start
 from fieldspark.functions.text import date_text, source_text, use_class
+from fieldspark.operators.ordering import running_sums
 
 
 def archive_date(raw: Column, year: Column) -> Column:
@@ -142,7 +143,7 @@ def capped_sample(rows: DataFrame, group: str, encounter: str, cap: int, salt: s
     """At most ``cap`` rows of each class, one of each encounter first, in an order of hashes (a sampling operator)."""
     from pyspark.sql import Window
 
-    h = F.xxhash64(F.lit(salt), "id")
+    h = F.md5(F.concat_ws("|", F.lit(salt), F.col("id").cast("string")).cast("binary"))
     turn = F.row_number().over(Window.partitionBy(group, encounter).orderBy(h, "id"))
     ranked = rows.withColumn("__turn", turn)
     order = Window.partitionBy(group).orderBy("__turn", h, "id")
@@ -161,10 +162,13 @@ def paired_bootstrap(rows: DataFrame, first: str, second: str, replicates: int =
     return means.agg(F.avg("mean").alias("difference"), F.percentile("mean", F.lit(0.025)).alias("low"), F.percentile("mean", F.lit(0.975)).alias("high"))
 
 
-def higher_quantile(values: Column, q: float) -> Column:
-    """Aggregate: the smallest value at or above the linear quantile (a value of the data); for evaluation sets."""
-    ordered = F.array_sort(F.collect_list(values))
-    return F.get(ordered, F.ceil(F.lit(q) * (F.size(ordered) - 1)).cast("int"))
+def higher_quantiles(rows: DataFrame, key: str, value: str, q: float) -> DataFrame:
+    """``key, threshold``: the smallest value at or above the linear quantile, which is a value of the data. Values are
+    counted, and running sums over ranges of them find the place."""
+    by = rows.groupBy(key, value).agg(F.count(F.lit(1)).alias("same"))
+    total = by.groupBy(key).agg(F.sum("same").alias("n"))
+    reached = running_sums(by, value, {"upto": F.col("same")}, [key]).join(total, key).filter(F.col("upto") > F.ceil(F.lit(q) * (F.col("n") - 1)))
+    return reached.groupBy(key).agg(F.min(value).alias("threshold"))
 
 
 def multiclass_losses(rows: DataFrame, classes: Sequence[str]) -> DataFrame:

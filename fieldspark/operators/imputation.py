@@ -188,7 +188,7 @@ def direct_probability(support: Column, total: Column, prevalence: float, streng
 
 def block_folds(rows: DataFrame, block: str, folds: int) -> DataFrame:
     """Fold of each row by a hash of its block, so that a block is never split."""
-    return rows.withColumn("fold", F.pmod(F.xxhash64(block), F.lit(folds)).cast("int"))
+    return rows.withColumn("fold", F.pmod(F.conv(F.left(F.md5(F.col(block).cast("string").cast("binary")), F.lit(8)), 16, 10).cast("long"), F.lit(folds)).cast("int"))
 
 
 class IsolationForest:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldspark.functions.stats import log_loss, wilson_upper
+from fieldspark.operators.ordering import running_sums
 
 
 def summary(rows: DataFrame, keys: list[str] | None = None, threshold: float = 0.5) -> DataFrame:
@@ -35,22 +36,20 @@ def summary(rows: DataFrame, keys: list[str] | None = None, threshold: float = 0
 def auc(rows: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Area under the ROC curve from counts by score: pairs of a higher positive, ties counting half.
 
-    Scores are grouped first, so the running sum is over distinct scores of a key.
+    Scores are grouped first, and the running sum goes over ranges of scores.
     """
     keys = keys or []
     by = rows.groupBy(*keys, "p").agg(F.sum("y").cast("double").alias("pos"), F.sum(1 - F.col("y")).cast("double").alias("neg"))
-    below = Window.partitionBy(*keys).orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
-    pairs = by.withColumn("lower", F.coalesce(F.sum("neg").over(below), F.lit(0.0)))
-    total = pairs.groupBy(*keys).agg(F.sum(F.col("pos") * (F.col("lower") + F.col("neg") / 2)).alias("u"), (F.sum("pos") * F.sum("neg")).alias("all"))
+    pairs = running_sums(by, "p", {"upto": F.col("neg")}, keys)
+    total = pairs.groupBy(*keys).agg(F.sum(F.col("pos") * (F.col("upto") - F.col("neg") / 2)).alias("u"), (F.sum("pos") * F.sum("neg")).alias("all"))
     return total.select(*keys, F.when(F.col("all") > 0, F.col("u") / F.col("all")).alias("auc"))
 
 
 def average_precision(rows: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Precision at each score from the top, weighted by the recall that it adds."""
     keys = keys or []
-    by = rows.groupBy(*keys, "p").agg(F.sum("y").cast("double").alias("pos"), F.count(F.lit(1)).cast("double").alias("n"))
-    above = Window.partitionBy(*keys).orderBy(F.desc("p")).rowsBetween(Window.unboundedPreceding, 0)
-    cum = by.withColumns({"tp": F.sum("pos").over(above), "seen": F.sum("n").over(above)})
+    by = rows.groupBy(*keys, (-F.col("p")).alias("down")).agg(F.sum("y").cast("double").alias("pos"), F.count(F.lit(1)).cast("double").alias("n"))
+    cum = running_sums(by, "down", {"tp": F.col("pos"), "seen": F.col("n")}, keys)
     return cum.groupBy(*keys).agg((F.sum(F.col("pos") * F.col("tp") / F.col("seen")) / F.sum("pos")).alias("average_precision"))
 
 
@@ -67,11 +66,19 @@ def calibration_error(rows: DataFrame, bins: int = 10) -> DataFrame:
 
 
 def equal_mass_error(rows: DataFrame, id_column: str, bins: int = 10) -> DataFrame:
-    """Calibration error over bins of equal numbers of rows in order of score and id.
+    """Calibration error over bins of equal numbers of rows in order of score and id (the first bins have one row more
+    where they do not come out even).
 
-    Bin edges come from row numbers, which need one order over all rows: meant for evaluation sets.
+    A row's number is that of its score's first row, from running sums over ranges of scores, and its place in it.
     """
-    tile = rows.withColumn("bin", F.ntile(bins).over(Window.orderBy("p", id_column)))
+    by = rows.groupBy("p").agg(F.count(F.lit(1)).alias("same"))
+    before = running_sums(by, "p", {"upto": F.col("same")}).select("p", (F.col("upto") - F.col("same")).alias("before"))
+    place = F.row_number().over(Window.partitionBy("p").orderBy(id_column)) + F.col("before")
+    total = rows.agg(F.count(F.lit(1)).alias("all"))
+    numbered = rows.join(before, "p").withColumn("place", place - 1).crossJoin(F.broadcast(total))
+    small, larger = F.floor(F.col("all") / bins), F.col("all") % bins
+    edge = larger * (small + 1)
+    tile = numbered.withColumn("bin", F.when(F.col("place") < edge, F.floor(F.col("place") / (small + 1))).otherwise(larger + F.floor((F.col("place") - edge) / small)))
     b = tile.groupBy("bin").agg(F.sum("w").alias("w"), (F.sum(F.col("w") * F.col("p")) / F.sum("w")).alias("c"), (F.sum(F.col("w") * F.col("y")) / F.sum("w")).alias("f"))
     return b.agg((F.sum(F.col("w") * F.abs(F.col("c") - F.col("f"))) / F.sum("w")).alias("equal_mass_ece"))
 
@@ -137,14 +144,15 @@ def inverse_propensity(chance: Column, floor: float = 0.05) -> Column:
 def conformal_p_values(calibration: DataFrame, queries: DataFrame) -> DataFrame:
     """p = (calibration scores at least as strange + 1) / (their number + 1), for each class of each query.
 
-    ``calibration`` has ``label, score``, ``queries`` has ``id, label, score``. Both are ranked together by one window
-    for each label, so that no query meets every calibration row.
+    ``calibration`` has ``label, score``, ``queries`` has ``id, label, score``. Scores of both are counted together by
+    running sums over ranges of scores, so that no query meets every calibration row and no label is one task.
     """
-    both = calibration.select(F.lit(None).cast("long").alias("id"), "label", "score").unionByName(queries.select("id", "label", "score"))
-    own = F.when(F.col("id").isNull(), 1).otherwise(0)
-    at_least = Window.partitionBy("label").orderBy(F.desc("score")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = both.withColumns({"k": F.sum(own).over(at_least), "n": F.sum(own).over(Window.partitionBy("label"))})
-    return ranked.filter("id is not null").select("id", "label", ((F.col("k") + 1) / (F.col("n") + 1)).alias("p_value"))
+    own = calibration.select("label", "score", F.lit(1).alias("own")).unionByName(queries.select("label", "score", F.lit(0).alias("own")))
+    by = own.groupBy("label", "score").agg(F.sum("own").alias("own"))
+    total = by.groupBy("label").agg(F.sum("own").alias("n"))
+    ranked = running_sums(by, "score", {"upto": F.col("own")}, ["label"]).join(total, "label")
+    counted = ranked.select("label", "score", ((F.col("n") - F.col("upto") + F.col("own") + 1) / (F.col("n") + 1)).alias("p_value"))
+    return queries.join(counted, ["label", "score"]).select("id", "label", "p_value")
 
 
 def blend_search(rows: DataFrame, base: str, other: str, strata: str, tolerance: float, steps: int = 21, minimum: int = 1) -> DataFrame:

@@ -138,7 +138,11 @@ def use_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "nation").select("n_nationkey", use_class(licenses).alias("use_class"))
 
 
-@bind("o_05_capped_sample")
+@bind(
+    "o_05_capped_sample",
+    with_sightings(""", r AS (SELECT observation_id AS id, detail, observation_id % 97 AS encounter, md5('sample|' || observation_id) AS h FROM s), t AS (SELECT *, row_number() OVER (PARTITION BY detail, encounter ORDER BY h, id) AS turn FROM r)
+SELECT id, detail, encounter FROM t QUALIFY row_number() OVER (PARTITION BY detail ORDER BY turn, h, id) <= 200"""),
+)
 def sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sightings(spark, sf_dir).select(F.col("observation_id").alias("id"), "detail", (F.col("observation_id") % 97).alias("encounter"))
     return archive.capped_sample(rows, "detail", "encounter", 200)
@@ -153,7 +157,7 @@ def bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @bind("r_20_higher_quantile", f"WITH {SCORED}, o AS (SELECT lang, list_sort(list(p)) AS v FROM d GROUP BY 1) SELECT lang, v[CAST(ceil(0.9 * (len(v) - 1)) AS INTEGER) + 1] AS threshold FROM o")
 def quantile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scored(spark, sf_dir).groupBy("lang").agg(archive.higher_quantile(F.col("p"), 0.9).alias("threshold"))
+    return archive.higher_quantiles(scored(spark, sf_dir), "lang", "p", 0.9)
 
 
 @bind(
@@ -170,7 +174,7 @@ def multiclass(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive.multiclass_losses(rows, ["a", "b", "c"]).select(F.round("brier", 9).alias("brier"), F.round("log_loss", 9).alias("log_loss"))
 
 
-@bind("m_12_block_folds")
+@bind("m_12_block_folds", with_sightings("SELECT observation_id, observation_id % 97 AS encounter, CAST(('0x' || substr(md5(CAST(observation_id % 97 AS VARCHAR)), 1, 8))::BIGINT % 5 AS INTEGER) AS fold FROM s"))
 def folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fieldspark.operators.imputation import block_folds
 
@@ -183,7 +187,11 @@ def applied(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sightings(spark, sf_dir).filter("imputation_applied").agg(F.count(F.lit(1)).alias("applied"))
 
 
-@bind("c_31_page_links")
+@bind(
+    "c_31_page_links",
+    r"""WITH a AS (SELECT page_id, unnest(regexp_extract_all(html, '(?is)<a\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>', 0)) AS a FROM pages)
+SELECT DISTINCT page_id, regexp_extract(a, '(?is)href="([^"]*)"', 1) AS href, trim(regexp_replace(a, '<[^>]*>', '', 'g')) AS title FROM a""",
+)
 def links(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fieldspark.sources.readers import page_links
 

@@ -332,7 +332,13 @@ def clock(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", X.has_clock(raw).alias("clock"))
 
 
-@bind("c_28_html_text_length")
+@bind(
+    "c_28_html_text_length",
+    r"""WITH p AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?i)<br\s*/?>|</p>', chr(10), 'g'), '<[^>]*>', '', 'g') AS t FROM pages),
+e AS (SELECT page_id, replace(replace(replace(replace(replace(replace(t, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&') AS t FROM p),
+l AS (SELECT page_id, list_filter(list_transform(string_split(t, chr(10)), lambda x: trim(x)), lambda x: x <> '') AS lines FROM e)
+SELECT page_id, CAST(len(lines) AS INTEGER) AS lines, CAST(length(array_to_string(lines, chr(10))) AS INTEGER) AS chars FROM l""",
+)
 def html(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = X.html_lines(F.col("html"))
     return table(spark, sf_dir, "pages").select("page_id", F.size(lines).alias("lines"), F.length(F.array_join(lines, "\n")).alias("chars"))

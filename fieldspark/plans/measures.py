@@ -213,7 +213,10 @@ def reporting_states(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Readers and sinks: written to the shared folder and read again
 
-ORDERS = Contract(T.StructType([T.StructField("o_orderkey", T.LongType(), False), T.StructField("o_totalprice", T.DoubleType(), True), T.StructField("status", T.StringType(), False)]), ("o_orderkey",), (("price", F.expr("o_totalprice >= 0")),))
+
+def _contract() -> Contract:
+    schema = T.StructType([T.StructField("o_orderkey", T.LongType(), False), T.StructField("o_totalprice", T.DoubleType(), True), T.StructField("status", T.StringType(), False)])
+    return Contract(schema, ("o_orderkey",), (("price", F.col("o_totalprice") >= 0),))
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -222,7 +225,7 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @bind("k_01_validated_write", "SELECT o_orderkey, o_totalprice, o_orderstatus AS status FROM orders")
 def validated_write(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sinks.write_validated(_orders(spark, sf_dir), workspace(spark, "orders"), ORDERS)
+    return sinks.write_validated(_orders(spark, sf_dir), workspace(spark, "orders"), _contract())
 
 
 @bind("k_02_idempotent_append", "SELECT 'first' AS write, (SELECT count(*) FROM orders WHERE o_orderkey % 3 <> 0) AS added UNION ALL SELECT 'all', (SELECT count(*) FROM orders WHERE o_orderkey % 3 = 0) UNION ALL SELECT 'replay', 0")
@@ -237,7 +240,7 @@ def idempotent_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def partitioned_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Partition columns stay in the files as well as in the folders' names."""
     path = workspace(spark, "partitioned")
-    sinks.write_validated(_orders(spark, sf_dir), path, ORDERS, ["status"])
+    sinks.write_validated(_orders(spark, sf_dir), path, _contract(), ["status"])
     return readers.read_table(spark, path).select("o_orderkey", "o_totalprice", "status")
 
 
@@ -314,7 +317,7 @@ def file_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = workspace(spark, "contract")
     _orders(spark, sf_dir).repartition(6).write.parquet(path)
-    return violations(spark.read.option("mergeSchema", False).parquet(path), ORDERS)
+    return violations(spark.read.option("mergeSchema", False).parquet(path), _contract())
 
 
 @bind("v_16_retention_decisions", "SELECT n_nationkey, CASE WHEN n_nationkey = 0 THEN 'KEEP_NO_BASELINE' WHEN n_nationkey < 3 THEN 'KEEP_EMPTY_BASELINE' WHEN n_nationkey < 100 AND 100 + n_nationkey - 10 < 100 THEN 'KEEP_SHRUNK' WHEN n_nationkey - 10 <= 10 THEN 'PRUNE' ELSE 'KEEP_GREW_TOO_MUCH' END AS decision FROM nation")

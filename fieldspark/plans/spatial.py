@@ -211,7 +211,15 @@ def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entity.encounters(*_busy_edges(spark, sf_dir))
 
 
-@bind("e_04_identities")
+@bind(
+    "e_04_identities",
+    """WITH r AS (SELECT 'R' || event_id AS record_id, event_id // 3 AS group_id, event_id AS e FROM events), held AS (SELECT group_id, 'O' || (e // 4) AS oid, e // 4 AS rank FROM r WHERE e % 2 = 0),
+h AS (SELECT *, oid IN (SELECT oid FROM held GROUP BY oid HAVING count(DISTINCT group_id) > 1) AS split FROM held), best AS (SELECT group_id, arg_min(oid, (rank, oid)) AS b, bool_or(split) AS split FROM h GROUP BY 1),
+recs AS (SELECT group_id, list_sort(list(record_id)) AS rs FROM r GROUP BY 1),
+res AS (SELECT group_id, CASE WHEN split THEN 'obs:' || substr(sha256('split|' || array_to_string(rs, '|')), 1, 24) ELSE coalesce(b, 'obs:' || substr(sha256(rs[1]), 1, 24)) END AS new_id, coalesce(split, false) AS is_split FROM recs LEFT JOIN best USING (group_id)),
+lin AS (SELECT DISTINCT h.group_id, h.oid AS old_id, new_id, is_split FROM h JOIN res USING (group_id) WHERE h.oid <> new_id)
+SELECT new_id AS observation_id, count(*) AS records, min(record_id) AS first_record, 'IDENTITY' AS kind FROM r JOIN res USING (group_id) GROUP BY 1 UNION ALL SELECT new_id, 0, old_id, CASE WHEN is_split THEN 'SPLIT' ELSE 'MERGE' END FROM lin""",
+)
 def identities(spark: SparkSession, sf_dir: str) -> DataFrame:
     obs = sightings(spark, sf_dir)
     rows = obs.select(F.concat(F.lit("R"), F.col("observation_id")).alias("record_id"), F.col("observation_id"))

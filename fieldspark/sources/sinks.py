@@ -22,6 +22,12 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm.org.apache.hadoop.fs.Path
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at a path of any Hadoop file system."""
+    fs, at, _ = _fs(spark, path)
+    return fs.exists(at)
+
+
 def write_validated(df: DataFrame, path: str, contract: Contract, partition_by: list[str] | None = None) -> DataFrame:
     """Stages a table, checks what was staged and swaps it in; a failed candidate goes to ``<path>.quarantine``.
 
@@ -53,15 +59,27 @@ def write_validated(df: DataFrame, path: str, contract: Contract, partition_by:
 
 
 def append_new(df: DataFrame, path: str, keys: list[str]) -> int:
-    """Appends the rows whose key is not there yet, so that a replay adds nothing; returns how many were new."""
+    """Appends the rows whose key is not there yet, so that a replay adds nothing; returns how many were new.
+
+    New rows are staged, counted from their files' footers and moved in; the table itself is read for its keys alone.
+    """
     spark = df.sparkSession
-    fs, target, _ = _fs(spark, path)
+    fs, target, new = _fs(spark, path)
     fresh = df.dropDuplicates(keys)
-    if fs.exists(target):
+    known = fs.exists(target)
+    if known:
         fresh = fresh.join(spark.read.parquet(path).select(*keys), keys, "left_anti")
-    before = spark.read.parquet(path).count() if fs.exists(target) else 0
-    fresh.write.mode("append").option("compression", "zstd").parquet(path)
-    return spark.read.parquet(path).count() - before
+    staged = new(f"{path}.append-{uuid.uuid4().hex}")
+    fresh.write.option("compression", "zstd").parquet(staged.toString())
+    added = spark.read.schema(df.schema).parquet(staged.toString()).count()
+    if not known:
+        fs.rename(staged, target)
+        return added
+    for part in fs.listStatus(staged):
+        if part.getPath().getName().startswith("part-"):
+            fs.rename(part.getPath(), new(target, part.getPath().getName()))
+    fs.delete(staged, True)
+    return added
 
 
 def partition_report(spark: SparkSession, path: str, cell: str, period: str) -> DataFrame:

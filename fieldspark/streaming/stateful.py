@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from fieldspark.operators import cdc
+from fieldspark.sources.sinks import exists
 
 
 def read_events(spark: SparkSession, path: str, schema: StructType, files_per_trigger: int = 100) -> DataFrame:
@@ -45,10 +46,8 @@ def upsert_history(stream: DataFrame, path: str, checkpoint: str) -> StreamingQu
     def apply(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
         batch = cdc.with_checksum(batch)
-        try:
-            history = spark.read.schema(batch.schema).parquet(path)
-        except Exception:  # the first batch: there is no folder yet
-            history = spark.createDataFrame([], batch.schema)
+        # The first batch has no folder yet; any other failure to read the history is an error.
+        history = spark.read.schema(batch.schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], batch.schema)
         cdc.transitions(batch, history).select(*batch.columns).write.mode("append").parquet(path)
 
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
