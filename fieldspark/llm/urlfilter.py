@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldspark.llm.common import ascii_lower, table
+from fieldspark.llm.common import ascii_lower, stored, table
 
 
 @dataclass(frozen=True)
@@ -123,7 +123,7 @@ def judge_pages(pages: DataFrame, labels: DataFrame, *, rules: Sequence[Rule] =
     outcomes = counted.groupBy("host").agg(
         F.coalesce(F.sum(F.when(F.col("bad").isNotNull(), F.col("pages"))), F.lit(0)).alias("n"), F.coalesce(F.sum(F.col("pages") * F.col("bad")), F.lit(0)).alias("b")
     )
-    judged = reputations(outcomes, z=z)
+    judged = reputations(stored(outcomes, "url-outcomes"), z=z)
     rule, decided = rule_of(F.col("host"), F.col("path"), rules)
     method = F.when(F.col("bound") > max_bound, F.lit("block")).otherwise(F.lit("allow"))
     return rows.join(judged, "host", "left").select(
