@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -12,6 +10,8 @@ from contextvars import ContextVar
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldspark.operators.lineage import shared_root
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 #: Characters that separate words: space and the controls from tab to carriage return.
@@ -36,14 +36,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or a local one where it is unset (tests)."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, or a local one where a local master has none."""
     bound_batches(spark)
-    context = spark.sparkContext
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = f"file://{os.path.join(tempfile.gettempdir(), 'checkpoints')}"
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(where)
+    where = shared_root(spark)
+    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        spark.sparkContext.setCheckpointDir(where)
     return where
 
 

@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from fieldspark.llm.common import partitions_of, scratch, stored, table
 from fieldspark.llm.words import batches_of, hash_words, shingle_sets, signed
+from fieldspark.operators.graph import connected
 
 #: Independent min-hashes that propose pivots.
 CELLS = 6
@@ -244,25 +245,9 @@ def _possible(pairs: DataFrame, classes: DataFrame, s: Similarity) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``c, label``: the least class of the component of each class in ``edges`` (a, b).
-
-    Each class points at the least class next to it; a round points its neighbours, and those that point at it, at the
-    same one (a small star, then a jump), until every class points at a root. A round is stored; nothing is collected
-    but whether a pointer changed. Partial minima bear a class that a third of all edges touch.
-    """
-    stars = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
-    while True:
-        least = stars.groupBy("a").agg(F.min("b").alias("m"))
-        # (a, b) with b beyond the least neighbour m: b and m are one component, and a keeps m alone.
-        other = F.col("b") != F.col("m")
-        linked = stars.join(least, "a").select(F.when(other, F.col("b")).otherwise(F.col("a")).alias("a"), F.col("m").alias("b"), other.alias("moved"))
-        up = least.select(F.col("a").alias("b"), F.col("m").alias("above"))
-        jumped = linked.join(up, "b", "left").select("a", F.coalesce("above", "b").alias("b"), (F.col("moved") | F.col("above").isNotNull()).alias("moved"))
-        after = stored(jumped.groupBy("a", "b").agg(F.max("moved").alias("moved")), "jaccard-stars")
-        if after.filter("moved").isEmpty():
-            roots = after.select(F.col("b").alias("c")).distinct()
-            return after.select(F.col("a").alias("c"), F.col("b").alias("label")).union(roots.select("c", F.col("c").alias("label")))
-        stars = after.select("a", "b")
+    """``c, label``: the least class of the component of each class in ``edges`` (a, b); rounds are stored."""
+    found = connected(edges.select(F.col("a").alias("src"), F.col("b").alias("dst")), lambda df: stored(df, "jaccard-stars"))
+    return found.select(F.col("node").alias("c"), F.col("component").alias("label"))
 
 
 def _joined_regions(entries: DataFrame, s: Similarity, ranges: int) -> DataFrame:

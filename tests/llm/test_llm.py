@@ -517,3 +517,98 @@ def test_repeated_leaks_of_items_with_int_ids(spark):
     bench = spark.createDataFrame([(7, item, "z")], "item_id int, text string, doc_id string")
     got = decontaminate.find_leaks(frame(spark, [(1, text), (2, more())]), bench).collect()
     assert sorted((r["doc_id"], r["item_id"], r["start"] // 5, r["edits"]) for r in got) == [(1, 7, 5, 0), (1, 7, 16, 2), (1, 7, 22, 0)]
+
+
+# Brute force of what SQL does not say
+
+
+def test_shards_equal_a_descent_of_the_tree(spark):
+    tree = sharding.Tree.even(7, 2, 2)
+    unit = lambda key, node: (int(hashlib.md5(f"{key}/{node}".encode()).hexdigest()[:12], 16) + 0.5) / 2**48
+    least = lambda key, nodes: min((-np.log(unit(key, name)) / w, i) for name, w, i in nodes)[1]
+
+    def shard_of(key, tree):
+        weigh = lambda racks: sum(w for rack in racks for _, w in rack)
+        r = least(key, [(f"g{r}", weigh(region), r) for r, region in enumerate(tree.regions)])
+        k = least(key, [(f"g{r}.{k}", weigh([rack]), k) for k, rack in enumerate(tree.regions[r])])
+        return least(key, [(f"g{r}.{k}.{s}", w, s) for s, w in tree.regions[r][k]])
+
+    rows = [(None if i == 9 else i * 37, f"text {i}" * (i % 4)) for i in range(300)]
+    got = sharding.shard_documents(frame(spark, rows), tree).collect()
+    assert len(got) == 300
+    for r in got:
+        key = "null" if r["doc_id"] is None else str(r["doc_id"])
+        assert r["shard"] == shard_of(key, tree) and r["grown_shard"] == shard_of(key, tree.grown())
+
+
+def test_code_lengths_equal_prediction_by_partial_matching(spark):
+    """Escape C with exclusion, from order 3 down to 256 equal bytes, over counts that are kept as they were learned."""
+    learned = {"en": ["the cat sat on the mat", "that hat"], "fr": ["le chat est la", "ça va"]}
+    trees = langid.Trees.fit(spark.createDataFrame([(i, t, k) for i, (k, t) in enumerate((k, t) for k, ts in learned.items() for t in ts)], "doc_id long, text string, lang string"))
+    expanded = trees.expand()
+
+    def bits(lang, text):
+        counts = [defaultdict(Counter) for _ in range(4)]
+        for gram, n in zip(*trees.counts[trees.langs.index(lang)], strict=True):
+            b = int(gram).to_bytes(4, "big")
+            for order in range(4):
+                counts[order][b[3 - order : 3]][b[3]] += n
+        data, total = b"\n" * 3 + text.encode(), 0.0
+        for i in range(3, len(data)):
+            seen, left = set(), 1.0
+            for order in (3, 2, 1, 0):
+                c = {s: n for s, n in counts[order][data[i - order : i]].items() if s not in seen}
+                if not c:
+                    continue
+                if data[i] in c:
+                    left *= c[data[i]] / (sum(c.values()) + len(c))
+                    break
+                left *= len(c) / (sum(c.values()) + len(c))
+                seen |= c.keys()
+            else:
+                left /= 256 - len(seen)
+            total -= np.log2(left)
+        return total
+
+    for text in ("the chat", "la mat ça", "ω", "that", "zzz cat\n"):
+        want = [bits(k, text) for k in trees.langs]
+        assert langid.code_lengths(text, *expanded) == pytest.approx(want, rel=1e-4)
+
+
+def test_pseudonyms_equal_a_feistel_network(spark):
+    key = "k"
+    f = lambda kind, step, value: int(hashlib.sha256(f"{key}|{kind}|{step}|{value}".encode()).hexdigest()[:14], 16)
+
+    def network(x, a, b, kind):
+        left, right = divmod(x, b)
+        for i in range(pii.ROUNDS):
+            if i % 2 == 0:
+                left = (left + f(kind, i, right) % a) % a
+            else:
+                right = (right + f(kind, i, left) % b) % b
+        return left * b + right
+
+    addresses = ["10.0.0.1", "192.168.255.7", "8.8.8.8"]
+    phones = ["415-555-2671", "212-867-5309"]
+    rows = [(i, f"see {v} there") for i, v in enumerate([*addresses, *phones])]
+    got = {r["value"]: r["pseudonym"] for r in pii.pseudonymise(frame(spark, rows), key).select(F.explode("found").alias("f")).select("f.*").collect()}
+    for v in addresses:
+        x = network(int.from_bytes(bytes(map(int, v.split("."))), "big"), 65536, 65536, "ip")
+        assert got[v] == ".".join(map(str, x.to_bytes(4, "big")))
+    for v in phones:
+        a, b, c = map(int, v.split("-"))
+        x = network((a - 200) * 8_000_000 + (b - 200) * 10_000 + c, 800, 8_000_000, "phone")
+        assert got[v] == f"{x // 8_000_000 + 200}-{x % 8_000_000 // 10_000 + 200}-{x % 10_000:04d}"
+
+
+def test_operators_take_empty_tables_and_clashing_columns(spark):
+    docs = spark.createDataFrame([(i, t, "d", 1, 1, 1, 1, "x") for i, t in ODD], CLASH)
+    bench = spark.createDataFrame([(1, "one two three four five six seven eight", 1)], "item_id long, text string, start long")
+    assert decontaminate.find_leaks(docs, bench).count() == 0 and decontaminate.without_leaks(docs, bench).columns == docs.columns
+    assert decontaminate.find_leaks(docs.limit(0), bench).count() == 0 and decontaminate.find_leaks(docs, bench.limit(0)).count() == 0
+    labels = spark.createDataFrame([(1, 1, "q"), (4, 0, "q"), (None, 1, "q"), (5, None, "q")], "doc_id long, toxic int, text string")
+    model = toxicity.train(docs, labels)
+    assert toxicity.score(docs, model).count() == len(ODD) and toxicity.score(docs.limit(0), model).count() == 0
+    assert toxicity.train(docs.limit(0), labels.limit(0)).score("x") == pytest.approx(0.5)
+    empty = langid.Trees.fit(docs.withColumn("lang", F.lit(None).cast("string")))
+    assert {r["lang_pred"] for r in langid.predict(docs, empty).collect()} == {"und"}
