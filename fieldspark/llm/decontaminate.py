@@ -34,6 +34,8 @@ from fieldspark.llm.words import batches_of, gram_hashes, hash_words, mix, parts
 WORDS_PER_PASS = 1_000_000
 #: Places of an embedding that one hash samples, and the chance taken for an embedding of a leak to agree at a place.
 PLACES, AGREEMENT = 2, 0.5
+#: Bytes of text that are searched at once: each repeat and size of window takes them in one pass.
+SLICE = 6_000_000
 #: Words of an item that is hashed in one piece.
 PIECE = 50
 
@@ -298,7 +300,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings | None
                     names=["doc_id", "item_id", "start", "n_words", "edits", "similarity"],
                 )
 
-        out = out.union(docs.select("doc_id", "text").mapInArrow(batches_of(run, 1), schema))
+        out = out.union(docs.select("doc_id", "text").mapInArrow(batches_of(run, 1, SLICE), schema))
     return out
 
 
@@ -315,7 +317,7 @@ def _leaks(shared: Broadcast) -> Callable[[Column], Column]:
     @F.arrow_udf("boolean")
     def leaks(texts: pa.Array) -> pa.Array:
         flags, start = np.zeros(len(texts), bool), 0
-        for part in parts([pa.RecordBatch.from_arrays([texts], names=["text"])], 0):
+        for part in parts([pa.RecordBatch.from_arrays([texts], names=["text"])], 0, SLICE):
             for doc, *_ in shared.value.search(*hash_words(part.column(0))):
                 flags[start + doc] = True
             start += part.num_rows
