@@ -211,11 +211,6 @@ def kind_of(m: Column) -> Column:
     )
 
 
-def _walked(x: Column, late_only: Column, date: Callable[[Column], Column]) -> Column:
-    """A step of a walk over dates: done at any day, or at one after the 12th where the text must be read day first."""
-    return F.struct(x.alias("x"), (~late_only | (F.dayofmonth(date(x)) > 12)).alias("done"))
-
-
 def pseudonym(m: Column, kind: Column, key: str) -> Column:
     """The pseudonym of a candidate of a validated kind."""
     d = _digits(m)
@@ -234,14 +229,12 @@ def pseudonym(m: Column, kind: Column, key: str) -> Column:
     iban = _refill(m, F.concat(F.substr(tight, F.lit(1), F.lit(2)), check, moved), "A-Z0-9")
 
     from_epoch = lambda x: F.date_add(F.lit(EPOCH).cast("date"), x.cast("int"))
-    late_only = m.contains("/") & (_order(m) == "d")
-    moved_day = F.aggregate(
-        F.sequence(F.lit(1), F.lit(WALK)),
-        F.struct(F.date_diff(_day(m), F.lit(EPOCH).cast("date")).cast("long").alias("x"), F.lit(False).alias("done")),
-        lambda s, _: F.when(s["done"], s).otherwise(_walked(feistel(s["x"], 189, 773, key, "date"), late_only, from_epoch)),
-        lambda s: s["x"],
-    )
-    day = from_epoch(moved_day)
+    number = F.date_diff(_day(m), F.lit(EPOCH).cast("date")).cast("long")
+    moved = lambda x: feistel(x, 189, 773, key, "date")
+    late = lambda x: F.dayofmonth(from_epoch(x)) > 12
+    step = lambda s, _: F.when(s["done"], s).otherwise(F.get(F.transform(F.array(moved(s["x"])), lambda x: F.struct(x.alias("x"), late(x).alias("done"))), F.lit(0)))
+    walked = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), F.struct(number.alias("x"), F.lit(False).alias("done")), step, lambda s: s["x"])
+    day = from_epoch(F.when(m.contains("/") & (_order(m) == "d"), walked).otherwise(moved(number)))
     written = F.split(m, "[-/.]")
     padded = lambda format_, i: F.when(F.length(F.get(written, F.lit(i))) == 2, F.date_format(day, format_ * 2)).otherwise(F.date_format(day, format_))
     mark = F.when(m.contains("/"), F.lit("/")).otherwise(F.lit("."))
@@ -364,7 +357,8 @@ def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
         raise ValueError("pseudonyms need a key")
     marked = F.regexp_replace(F.replace(F.col("text"), F.lit(MARK), F.lit(ESCAPED)), f"({PATTERN})", f"{AROUND}$1{AROUND}")
     parts, values, pairs = (f"__{k}_{uuid.uuid4().hex}" for k in ("parts", "values", "pairs"))
-    out = docs.withColumn(parts, F.when(F.col("text").rlike(PATTERN), F.split(marked, AROUND)))
+    # Every candidate has a digit or an @: other texts are not searched.
+    out = docs.withColumn(parts, F.when(F.col("text").rlike("[0-9@]") & F.col("text").rlike(PATTERN), F.split(marked, AROUND)))
     near = lambda i: F.coalesce(F.get(parts, i), F.lit(""))
     part = lambda x, i: F.when(i % 2 == 1, _values(x, near(i - 1), near(i + 1))).otherwise(F.array(_value(F.lit(""), x)))
     out = out.withColumn(values, F.flatten(F.transform(parts, part)))
