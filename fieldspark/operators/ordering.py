@@ -31,8 +31,9 @@ def running_sums(rows: DataFrame, order: str, sums: dict[str, Column], keys: lis
     """
     keys = keys or []
     cuts = rows.agg(F.percentile_approx(F.col(order).cast("double"), [i / RANGES for i in range(1, RANGES)])).first()[0] or []
-    marks = F.array(*[F.lit(float(c)) for c in sorted(set(cuts))]) if cuts else F.array().cast("array<double>")
-    ranged = rows.withColumn("__range", F.size(F.filter(marks, lambda c: c < F.col(order).cast("double"))))
+    # No lambda here: the range is a key to group by, and lambdas in such keys are not recognised above the aggregate.
+    over = [F.when(F.col(order).cast("double") > F.lit(float(c)), 1).otherwise(0) for c in sorted(set(cuts))]
+    ranged = rows.withColumn("__range", sum(over, F.lit(0)))
     before = ranged.groupBy(*keys, "__range").agg(*[F.sum(c).alias(f"__{n}") for n, c in sums.items()])
     earlier = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     before = before.select(*keys, "__range", *[F.coalesce(F.sum(f"__{n}").over(earlier), F.lit(0)).alias(f"__{n}") for n in sums])
