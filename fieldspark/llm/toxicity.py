@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from fieldspark.llm.common import crc32_mod, table
 
-#: Bounds of the fitted sample: expected positives and unlabelled documents, characters of each, and features.
-POSITIVES, UNLABELLED, CHARS, FEATURES = 2500, 5000, 10_000, 6000
+#: Bounds of the fitted sample: expected positives and unlabelled documents, each of them whole, and features.
+POSITIVES, UNLABELLED, FEATURES = 2500, 5000, 6000
 #: Lengths of the word starts that are features beside whole words.
 STARTS = (3, 4, 5, 6)
 THRESHOLD = 0.3
@@ -36,8 +36,12 @@ def features_of(word: str) -> list[str]:
     return [word, *(f"{word[:k]}*" for k in STARTS if len(word) >= k)]
 
 
+def _words(text: str) -> set[str]:
+    return set(_WORD.findall(text.lower()))
+
+
 def _features(text: str) -> set[str]:
-    return {f for w in set(_WORD.findall(text.lower())) for f in features_of(w)}
+    return {f for w in _words(text) for f in features_of(w)}
 
 
 @dataclass
@@ -51,7 +55,7 @@ class Model:
 
     def score(self, text: str) -> float:
         found: set = set()
-        for w in set(_WORD.findall(text.lower())):
+        for w in _words(text):
             hit = self._known.get(w)
             if hit is None:
                 if len(self._known) > KNOWN_WORDS:
@@ -131,7 +135,8 @@ def train(docs: DataFrame, labels: DataFrame, *, positives: int = POSITIVES, unl
     """Fits a model on ``docs`` (doc_id, text) and the rows of ``labels`` (doc_id, toxic) that may be learned from.
 
     A document is a confirmed positive if a label row marks it toxic. The prior is the toxic share of the labelled
-    documents unless given. The sample is taken by hash at rates that make its expected size the bounds given.
+    documents unless given. The sample is taken by hash at rates that make its expected size the bounds given. Its texts
+    are read whole: each comes to the driver as its distinct words, which have the same features as the text.
     """
     known = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     n, toxic = known.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.when(F.col("toxic") == 1, 1)), F.lit(0))).first()
@@ -140,12 +145,17 @@ def train(docs: DataFrame, labels: DataFrame, *, positives: int = POSITIVES, unl
         return Model(prior or 0.5, 0.0, {})
     prior = prior if prior is not None else toxic / n
     marked = known.filter("toxic = 1").select("doc_id")
-    text = F.substring(F.coalesce("text", F.lit("")), 1, CHARS).alias("text")
+
+    @F.arrow_udf("string")
+    def words(texts: pa.Array) -> pa.Array:
+        return pa.array([" ".join(sorted(_words(x.as_py() or ""))) for x in texts], pa.string())
+
     some = marked.filter(_chance("doc_id") * F.lit(max(toxic, 1)) < positives)
-    p = docs.join(F.broadcast(some), "doc_id", "left_semi").select(text)
+    p = docs.join(F.broadcast(some), "doc_id", "left_semi").select("text")
     # The unlabelled sample stands for all documents, confirmed ones included: the prior is its share of positives.
-    u = docs.filter(_chance("doc_id", "text") * F.lit(total) < unlabelled).select(text)
-    rows = p.withColumn("p", F.lit(True)).union(u.withColumn("p", F.lit(False))).toArrow().to_pandas().sort_values(["p", "text"])
+    u = docs.filter(_chance("doc_id", "text") * F.lit(total) < unlabelled).select("text")
+    both = p.withColumn("p", F.lit(True)).union(u.withColumn("p", F.lit(False)))
+    rows = both.select("p", words(F.col("text")).alias("text")).toArrow().to_pandas().sort_values(["p", "text"])
     return fit_nnpu(list(rows["text"][rows["p"]]), list(rows["text"][~rows["p"]]), prior)
 
 

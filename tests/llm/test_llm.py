@@ -182,6 +182,27 @@ def test_toxicity_tables(spark):
     assert toxicity.clean(docs, labels).columns == docs.columns
 
 
+def test_toxicity_learns_from_whole_texts(spark):
+    rng = random.Random(4)
+    start = text_of(rng, 9000)
+    rows = [(i, f"{start} {text_of(rng, 20)}{' vilest' if i % 5 == 0 else ''}") for i in range(300)]
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(300)], "doc_id long, toxic int")
+    model = toxicity.train(frame(spark, rows), labels)
+    scores = {r["doc_id"]: r["score"] for r in toxicity.score(frame(spark, rows), model).collect()}
+    assert model.weights["vilest"] > 0 and all((x >= 0.3) == (i % 5 == 0) for i, x in scores.items())
+
+
+def test_toxicity_learns_the_same_from_distinct_words(spark):
+    rng = random.Random(6)
+    odd = ["", "ΟΔΟΣ οδός İstanbul Straße STRASSE a_b 12x ﬁn 漢字 e\u0301 \U0001d400", "x" * 12000, "".join(map(chr, range(0xD800)))]
+    texts = [*odd, *(text_of(rng, 3000) + " Vilest" * (i % 5 == 0) for i in range(300))]
+    marked = [i for i, x in enumerate(texts) if x.endswith("Vilest")]
+    labels = spark.createDataFrame([(i, int(i in marked)) for i in range(len(texts))], "doc_id long, toxic int")
+    model = toxicity.train(frame(spark, enumerate(texts)), labels)
+    whole = toxicity.fit_nnpu([texts[i] for i in marked], texts, len(marked) / len(texts))
+    assert model.weights and [model.score(x) for x in texts] == pytest.approx([whole.score(x) for x in texts], abs=1e-6)
+
+
 # Operator 6
 
 
