@@ -13,7 +13,7 @@ import hashlib
 import heapq
 from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
 
 import duckdb
 import numpy as np
@@ -28,25 +28,35 @@ from fieldspark.llm.words import give_back
 ROWS_PER_QUERY = 250_000
 KNOWN_WORDS = 600_000
 CHARS_PER_BATCH = 4_000_000
+#: Rows of one decoding query.
+TOKENS_PER_QUERY = 2_000_000
 #: The recursion takes as many rounds as a word has merges; longer words are contracted from a heap instead.
 LONGEST_WORD = 256
 
+#: Positions run through all words of a query, so one sort by position serves the neighbours of every word.
 ENCODE_SQL = """
-WITH RECURSIVE state(round, word, pos, id) AS (
-  SELECT 0, word, pos, id FROM bytes_in
+WITH RECURSIVE state(done, word, pos, id) AS (
+  SELECT false, word, pos, id FROM bytes_in
   UNION ALL
   (WITH pairs AS (
-     SELECT round, word, pos, id, id::BIGINT * 4294967296 + lead(id) OVER k AS pair, lag(pos) OVER k AS before
-     FROM state WINDOW k AS (PARTITION BY word ORDER BY pos)
+     SELECT word, pos, id, CASE WHEN lead(word) OVER k = word THEN id::BIGINT * 4294967296 + lead(id) OVER k END AS pair, lag(pos) OVER k AS before
+     FROM state WHERE NOT done WINDOW k AS (ORDER BY pos)
    ), ranked AS (SELECT pairs.*, merged FROM pairs LEFT JOIN merges USING (pair)),
-   best AS (SELECT word, min(merged::BIGINT * 1048576 + pos) % 1048576 AS spot FROM ranked WHERE merged IS NOT NULL GROUP BY word)
-   SELECT round + 1, word, pos, CASE WHEN pos = spot THEN merged ELSE id END
-   FROM ranked JOIN best USING (word) WHERE before IS DISTINCT FROM spot)
-), last AS (SELECT word, max(round) AS round FROM state GROUP BY word)
-SELECT word, list(id ORDER BY pos) AS ids FROM state JOIN last USING (word, round) GROUP BY word
+   best AS (SELECT word, min(merged::BIGINT * 4294967296 + pos) % 4294967296 AS spot FROM ranked WHERE merged IS NOT NULL GROUP BY word)
+   SELECT spot IS NULL, word, pos, CASE WHEN pos = spot THEN merged ELSE id END
+   FROM ranked LEFT JOIN best USING (word) WHERE spot IS NULL OR before IS DISTINCT FROM spot)
+)
+SELECT word, id FROM state WHERE done ORDER BY pos
 """
 
+#: One sort by position, then aggregation in that order; the aggregated positions show whether it was kept.
 DECODE_SQL = """
+SELECT doc, unhex(string_agg(hex, '')) AS decoded, list(pos) AS places
+FROM (SELECT doc, pos, hex FROM ids_in LEFT JOIN vocabulary USING (id) ORDER BY pos) GROUP BY doc
+"""
+
+#: The same for rows that reach the aggregate out of order: each group is sorted by itself, at three times the cost.
+DECODE_SORTED_SQL = """
 SELECT doc, unhex(string_agg(hex, '' ORDER BY pos)) AS decoded FROM ids_in LEFT JOIN vocabulary USING (id) GROUP BY doc
 """
 
@@ -63,6 +73,14 @@ def unicode_pattern(pattern: str) -> str:
     return pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
 
 
+class Numbers(dict):
+    """Words by number: a word that is looked up for the first time gets the next one."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        return n
+
+
 class Codec:
     """Encoder and decoder of one vocabulary, with a DuckDB connection and the words met so far."""
 
@@ -88,28 +106,36 @@ class Codec:
 
     def rest(self) -> None:
         """Between partitions: the worker may serve other stages, so most known words go, and free memory goes back."""
-        if len(self.known) > self.limit:
-            self._forget()
+        self._thin()
         give_back()
 
     def _forget(self) -> None:
-        """Known words have numbers; word k's ids are ``flat[start[k] : start[k] + size[k]]``."""
-        self.known: dict[str, int] = {}
-        self.flat = self.start = self.size = np.empty(0, np.int32)
+        """Known words have numbers; word k was met ``uses[k]`` times, its ids are ``flat[start[k] : start[k] + size[k]]``."""
+        self.known = Numbers()
+        self.flat = self.start = self.size = self.uses = np.empty(0, np.int32)
+
+    def _thin(self) -> None:
+        """Beyond the limit, only words met again stay: half the limit of them, those met most often."""
+        if len(self.known) != len(self.size):  # a failed task left words without ids
+            self._forget()
+        if len(self.known) <= self.limit:
+            return
+        again = np.flatnonzero(self.uses > 1)
+        kept = np.sort(again[np.argsort(-self.uses[again], kind="stable")[: self.limit // 2]])
+        names = np.array(list(self.known), object)[kept].tolist()
+        self.known = Numbers(zip(names, range(len(names)), strict=True))
+        self.flat = self.flat[_ranges(self.start[kept], self.size[kept])]
+        self.size, self.uses = self.size[kept], self.uses[kept] // 2
+        self.start = np.cumsum(self.size) - self.size
 
     def _contract(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Number of ids of each word, and the ids of all words in turn, by the recursive query."""
-        sizes = np.array([len(w) for w in words], dtype=np.int64)
         flat = np.frombuffer(b"".join(words), dtype=np.uint8)
-        starts = np.repeat(np.cumsum(sizes) - sizes, sizes)
-        rows = pa.table({"word": np.repeat(np.arange(len(words), dtype=np.int32), sizes), "pos": (np.arange(len(flat)) - starts).astype(np.int32), "id": self.byte_ids[flat]})
-        self.db.register("bytes_in", rows)
-        got = self.db.sql(ENCODE_SQL).to_arrow_table().combine_chunks()
+        numbers = np.repeat(np.arange(len(words), dtype=np.int32), np.fromiter(map(len, words), np.int64, len(words)))
+        self.db.register("bytes_in", pa.table({"word": numbers, "pos": np.arange(len(flat), dtype=np.int32), "id": self.byte_ids[flat]}))
+        got = self.db.sql(ENCODE_SQL).to_arrow_table()
         self.db.unregister("bytes_in")
-        lists = got["ids"].combine_chunks()
-        order = np.argsort(got["word"].to_numpy())
-        ends = lists.offsets.to_numpy()
-        return np.diff(ends)[order], lists.values.to_numpy()[_ranges(ends[:-1][order], np.diff(ends)[order])]
+        return np.bincount(got["word"].to_numpy(), minlength=len(words)), got["id"].to_numpy()
 
     def _contract_long(self, word: bytes) -> np.ndarray:
         """The same contraction from a heap of (rank, position), in time n log n."""
@@ -136,53 +162,53 @@ class Codec:
                     heapq.heappush(heap, p)
         return np.array([self.ranks[p] for p in parts if p is not None], dtype=np.int32)
 
-    def _learn(self, words: Iterable[str]) -> None:
-        """Adds words to the known ones."""
-        names: list[str] = []
-        sizes: list[np.ndarray] = []
-        flats: list[np.ndarray] = []
-        some: list[tuple[str, bytes]] = []
+    def _learn(self, words: Sequence[str]) -> None:
+        """Adds the ids of words whose numbers follow those of the words before."""
+        encoded = [w.encode("utf-8", "surrogatepass") for w in words]
+        ranks = np.fromiter((self.ranks.get(w, -1) for w in encoded), np.int32, len(encoded))
+        whole = np.flatnonzero(ranks >= 0)
+        numbers, sizes, flats = [whole], [np.ones(len(whole), np.int64)], [ranks[whole]]
+        some: list[int] = []
         rows = 0
 
         def flush() -> None:
             nonlocal rows
             if some:
-                size, flat = self._contract([w for _, w in some])
-                names.extend(n for n, _ in some)
+                size, flat = self._contract([encoded[k] for k in some])
+                numbers.append(np.array(some))
                 sizes.append(size)
                 flats.append(flat)
             some.clear()
             rows = 0
 
-        for name in words:
-            word = name.encode("utf-8", "surrogatepass")
-            whole = self.ranks.get(word)
-            if whole is not None or len(word) > LONGEST_WORD:
-                ids = self._contract_long(word) if whole is None else np.array([whole], np.int32)
-                names.append(name)
+        for k in np.flatnonzero(ranks < 0).tolist():
+            n = len(encoded[k])
+            if n > LONGEST_WORD:
+                ids = self._contract_long(encoded[k])
+                numbers.append(np.array([k]))
                 sizes.append(np.array([len(ids)]))
                 flats.append(ids)
                 continue
-            if rows + len(word) > ROWS_PER_QUERY:
+            if rows + n > ROWS_PER_QUERY:
                 flush()
-            some.append((name, word))
-            rows += len(word)
+            some.append(k)
+            rows += n
         flush()
-        if names:
-            size = np.concatenate(sizes).astype(np.int64)
-            start = len(self.flat) + np.cumsum(size) - size
-            self.known.update(zip(names, range(len(self.size), len(self.size) + len(names)), strict=True))
-            self.start, self.size = np.concatenate([self.start, start]), np.concatenate([self.size, size])
-            self.flat = np.concatenate([self.flat, *flats]).astype(np.int32)
+        size, order = np.concatenate(sizes), np.argsort(np.concatenate(numbers))
+        start = len(self.flat) + np.cumsum(size) - size
+        self.flat = np.concatenate([self.flat, *flats]).astype(np.int32)
+        self.start, self.size = np.concatenate([self.start, start[order]]), np.concatenate([self.size, size[order]])
+        self.uses = np.concatenate([self.uses, np.zeros(len(words), np.int32)])
 
     def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
         """Ids of each text, without special tokens."""
         split = [self.words.findall(t) for t in texts]
-        if len(self.known) > self.limit:
-            self._forget()
-        known = self.known
-        self._learn(set(chain.from_iterable(split)).difference(known))
-        numbers = np.fromiter(map(known.__getitem__, chain.from_iterable(split)), np.int64, sum(map(len, split)))
+        self._thin()
+        before = len(self.known)
+        numbers = np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), np.int64, sum(map(len, split)))
+        if len(self.known) > before:
+            self._learn(list(islice(self.known, before, None)))
+        self.uses = self.uses + np.bincount(numbers, minlength=len(self.known))
         sizes = self.size[numbers].astype(np.int64)
         flat = self.flat[_ranges(self.start[numbers], sizes)]
         ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum([0, *map(len, split)])]
@@ -194,11 +220,23 @@ class Codec:
         flat = np.concatenate([*ids, np.empty(0, np.int32)]).astype(np.int32)
         if not np.isin(flat, self.ids).all():
             raise ValueError("an id is not in the vocabulary")
-        rows = pa.table({"doc": np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), "pos": np.arange(len(flat), dtype=np.int32), "id": flat})
-        self.db.register("ids_in", rows)
-        got = dict(self.db.sql(DECODE_SQL).fetchall())
+        docs = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        pieces: list[list[bytes]] = [[] for _ in sizes]
+        for at in range(0, len(flat), TOKENS_PER_QUERY):  # a longer text comes in pieces
+            for doc, piece in self._join(docs[at : at + TOKENS_PER_QUERY], flat[at : at + TOKENS_PER_QUERY]):
+                pieces[doc].append(piece)
+        return [b"".join(x) for x in pieces]
+
+    def _join(self, docs: np.ndarray, ids: np.ndarray) -> Iterator[tuple[int, bytes]]:
+        """The bytes of the ids of each document, whose rows stand together."""
+        self.db.register("ids_in", pa.table({"doc": docs, "pos": np.arange(len(ids), dtype=np.int32), "id": ids}))
+        got = self.db.sql(DECODE_SQL).to_arrow_table().combine_chunks()
+        size = np.bincount(docs)
+        first, found = np.cumsum(size) - size, got["doc"].to_numpy()
+        if not np.array_equal(got["places"].combine_chunks().flatten().to_numpy(), _ranges(first[found], size[found])):
+            got = self.db.sql(DECODE_SORTED_SQL).to_arrow_table()
         self.db.unregister("ids_in")
-        return [got.get(i, b"") for i in range(len(sizes))]
+        return zip(got["doc"].to_pylist(), got["decoded"].to_pylist(), strict=True)
 
 
 def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:

@@ -90,6 +90,60 @@ def test_bpe_rejects_unknown_ids():
         bpe.codec(*bpe.default_vocabulary()).decode([np.array([10**6])])
 
 
+def test_bpe_contracts_neighbouring_words_apart(tokens):
+    rng = random.Random(11)
+    words = {"".join(rng.choice(letters) for _ in range(rng.randint(1, 30))) for letters in ("a", "ab", "aé", "the", "0 z", "漢a") for _ in range(400)}
+    c = bpe.Codec(*bpe.default_vocabulary())
+    size, flat = c._contract([w.encode() for w in words])
+    assert [flat[e - n : e].tolist() for n, e in zip(size.tolist(), np.cumsum(size).tolist(), strict=True)] == [tokens._encode_single_piece(w) for w in words]
+
+
+def test_bpe_words_met_again_are_not_contracted_again(tokens):
+    c = bpe.Codec(*bpe.default_vocabulary())
+    c.limit = 100
+    met, contract = Counter(), c._contract
+    c._contract = lambda words: met.update(words) or contract(words)
+    often = [f" zq{x}xj{y}" for x in "abcdef" for y in "abcdef"]
+    for i in range(5):
+        texts = ["".join(often) * 2, "".join(f" kw{''.join(chr(97 + int(d)) for d in str(1000 * i + j))}vq" for j in range(200))]
+        assert [x.tolist() for x in c.encode(texts)] == [tokens.encode_ordinary(t) for t in texts]
+        c.rest()
+        assert len(c.known) <= 100
+    assert {met[w.encode()] for w in often} == {1}
+
+
+def test_bpe_learns_again_what_a_failed_task_left(tokens):
+    c = bpe.Codec(*bpe.default_vocabulary())
+    text, contract = " zqxj kwvq the zqxj", c._contract
+
+    def fail(words):
+        raise MemoryError
+
+    c._contract = fail
+    with pytest.raises(MemoryError):
+        c.encode([text])
+    c._contract = contract
+    assert c.encode([text])[0].tolist() == tokens.encode_ordinary(text)
+
+
+def test_bpe_decodes_in_order_whatever_order_rows_arrive_in(monkeypatch, tokens, corpus):
+    c = bpe.Codec(*bpe.default_vocabulary())
+    texts = ["", *(t or "" for _, t in corpus[:40]), ""]
+    ids = [np.array(tokens.encode_ordinary(t), np.int32) for t in texts]
+    monkeypatch.setattr(bpe, "TOKENS_PER_QUERY", 7)
+    assert c.decode(ids) == [t.encode() for t in texts]
+    monkeypatch.setattr(bpe, "TOKENS_PER_QUERY", 1000)
+    assert bpe.DECODE_SQL.count("ORDER BY pos)") == 1
+    monkeypatch.setattr(bpe, "DECODE_SQL", bpe.DECODE_SQL.replace("ORDER BY pos)", "ORDER BY hash(pos))"))
+    assert c.decode(ids) == [t.encode() for t in texts]
+
+
+def test_bpe_decodes_a_text_beyond_the_memory_of_one_query(tokens):
+    some = np.array(tokens.encode_ordinary(" orenor thederst the end."), np.int32)
+    n = 6_000_000 // len(some)
+    assert bpe.Codec(*bpe.default_vocabulary()).decode([np.tile(some, n), some]) == [b" orenor thederst the end." * n, b" orenor thederst the end."]
+
+
 # Operator 2
 
 
