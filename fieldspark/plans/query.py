@@ -66,8 +66,7 @@ def query_observations(spark: SparkSession, records: DataFrame, request: Request
         records = records.filter(F.col("source").isin(*request.sources))
     accepted, _ = normalise(records, request)
     obs = accepted.withColumn("observation_id", F.col("record_id")).withColumn("event_at", F.when(F.col("time_precision") == "TIMESTAMP", F.col("sighting_at"))).withColumn("rank", request.policy.rank(F.col("source")))
-    edges = entity.match_edges(obs, distance_m=distance_m, minutes=minutes, policy=request.policy)
-    groups = entity.complete_link(obs, edges, ["sighting_date", "sighting_at", "rank", "observation_id"], "string")
+    groups = entity.complete_link_near(obs, ["sighting_date", "sighting_at", "rank", "observation_id"], "string", distance_m=distance_m, minutes=minutes, policy=request.policy)
     first = groups.join(obs, "observation_id").groupBy("group_id")
     order = F.struct(F.col("uncertainty_m").isNull(), F.col("uncertainty_m"), F.col("rank"), F.col("observation_id"))
     return first.agg(

@@ -351,3 +351,29 @@ def test_acceptance_tries_quantiles_and_all_regimes(spark):
     got = {r["id"]: r for r in imputation.decide(new, scored.transform(imputation.acceptance_rules, ("A", "B"), target=0.05), ("A", "B")).collect()}
     assert got[1]["accepted"] and not got[2]["accepted"]
     assert {r["status"] for r in imputation.acceptance_rules(scored.filter("regime = 'few'"), ("A", "B")).collect()} == {"CLASS_TOO_FEW"}
+
+
+def test_groups_without_stored_matches_equal_those_of_the_edges(spark):
+    rng = random.Random(12)
+    labels = ["UNKNOWN", "SRKW", "TRANSIENT", None]
+    rows = []
+    for i in range(700):
+        spot = (rng.uniform(47, 47.5), rng.uniform(-123, -122.5)) if i % 3 else (rng.uniform(-1, 1), rng.choice([179.9, -179.9]) + rng.uniform(-0.09, 0.09))
+        at = datetime(2024, 1, rng.randint(1, 2), rng.randint(0, 23), rng.randint(0, 59)) if i % 13 else None
+        rows.append((i * 7919 % 1009, rng.randint(0, 4) if i % 17 else None, rng.choice(labels), *spot, date(2024, 1, at.day if at else 1), at))
+    obs = spark.createDataFrame(rows, "observation_id long, source int, detail string, lat double, lon double, sighting_date date, event_at timestamp")
+    near = {"distance_m": 15000, "minutes": 90}
+    edges = entity.match_edges(obs, **near)
+    assert edges.count() > 500
+    order = ["sighting_date", "event_at", "observation_id"]
+    same = lambda a, b: sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    assert same(entity.complete_link_near(obs, order, **near), entity.complete_link(obs, edges, order))
+    assert same(entity.encounters_near(obs, **near), entity.encounters(obs, edges))
+
+
+def test_busy_groups_store_no_matches(spark, monkeypatch):
+    monkeypatch.setattr(entity, "match_edges", lambda *a, **k: pytest.fail("a table of all matches grows with the square of a day"))
+    from fieldspark.plans import registry
+
+    for name in ("e_01_complete_link_groups", "e_02_encounters"):
+        assert registry.queries()[name](spark, "/root/testdata/sf0.001").count() > 0
