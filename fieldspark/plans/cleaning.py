@@ -209,7 +209,7 @@ def _feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def priority_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = readers.priority_feed(_feed(spark, sf_dir), "feed")
-    return rows.select("record_id", "observed_at_raw", "species", "description", F.when(F.col("latitude_raw") == "48.5", "48.5").otherwise("own").alias("latitude_of"), "label_raw")
+    return rows.select("record_id", "observed_at_raw", "species", "description", F.when(F.col("latitude_raw") == F.get_json_object("payload", "$.latitude"), "own").otherwise(F.col("latitude_raw")).alias("latitude_of"), "label_raw")
 
 
 @bind("c_06_mirrored_feed", "SELECT 'MIRROR:' || event_id AS record_id, CASE WHEN event_id % 2 = 0 THEN event_type ELSE 'Orcinus orca | ' || event_type END AS species, event_type AS label_raw FROM events WHERE event_id % 7 <> 0 AND event_id % 11 <> 0")

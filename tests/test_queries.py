@@ -51,3 +51,10 @@ def test_no_cartesian_in_spatial_joins(spark, small):
     for name in ("j_11_match_edges", "j_12_radius_lag_join", "j_14_purged_rows", "j_15_nearest_match"):
         plan = registry.queries()[name](spark, small)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan, name
+
+
+def test_a_value_like_the_fallback_is_still_the_feeds_own(spark, duck, small, tmp_path):
+    duck.execute(f"COPY (SELECT * REPLACE (48.5 AS value) FROM '{small}/events.parquet') TO '{tmp_path}/events.parquet'")
+    want = duck.sql(registry.oracle_sql()["c_05_priority_feed"].replace("FROM events", f"FROM '{tmp_path}/events.parquet'"))
+    got = registry.queries()["c_05_priority_feed"](spark, str(tmp_path))
+    assert rows_of(got.columns, got.collect()) == rows_of(want.columns, want.fetchall())
