@@ -19,24 +19,42 @@ def archive_date(raw: Column, year: Column) -> Column:
     A year of three digits is the archive's, a missing one too; two digits pivot at 69. The flags tell repairs, a year
     other than the archive's, and text that no format fits.
     """
-    plain = F.replace(date_text(raw), F.lit(" "), F.lit(""))
-    short = plain.rlike(r"[-/]\d{3}$")
-    fixed = F.when(short, F.concat(F.regexp_replace(plain, r"\d{3}$", ""), year.cast("string"))).otherwise(plain)
-    missing = ~fixed.rlike(r"[-/]\d{2,4}$") | fixed.rlike(r"^\d{1,2}[-/]\d{1,2}$")
-    full = F.when(missing, F.concat(fixed, F.lit("-"), year.cast("string"))).otherwise(fixed)
-    # Two-digit years: 69 to 99 are of the last century.
-    tail = F.regexp_extract(full, r"[-/](\d{2})$", 1)
-    wide = F.when(tail != "", F.concat(F.regexp_replace(full, r"\d{2}$", ""), F.when(tail.try_cast("int") >= 69, F.lit("19")).otherwise(F.lit("20")), tail)).otherwise(full)
-    day = F.coalesce(*[F.try_to_date(wide, f) for f in ("d-MMM-yyyy", "d-MMMM-yyyy", "d/M/yyyy", "d-M-yyyy")])
-    flags = F.array_compact(
-        F.array(
-            F.when(raw.isNull() | (F.trim(raw) == ""), F.lit("MISSING_DATE")),
-            F.when(short, F.lit("YEAR_REPAIRED")),
-            F.when(F.year(day) != year, F.lit("YEAR_MISMATCH")),
-            F.when(day.isNull() & (F.trim(raw) != ""), F.lit("UNPARSED_DATE")),
+    # Each step is bound to a name and evaluated once; a format is tried only on text of its shape, as a failure is slow.
+    let = lambda x, f: F.get(F.transform(F.array(x), f), F.lit(0))
+    own = year.cast("string")
+
+    def widened(full: Column) -> Column:
+        """Two-digit years: 69 to 99 are of the last century."""
+        tail = F.regexp_extract(full, r"[-/](\d{2})$", 1)
+        return let(tail, lambda t: F.when(t != "", F.concat(F.regexp_replace(full, r"\d{2}$", ""), F.when(t.try_cast("int") >= 69, F.lit("19")).otherwise(F.lit("20")), t)).otherwise(full))
+
+    def dated(wide: Column) -> Column:
+        shapes = ((r"^\d+-[A-Za-z]{3}-", "d-MMM-yyyy"), (r"^\d+-[A-Za-z]{4,}-", "d-MMMM-yyyy"), (r"^\d+/\d+/", "d/M/yyyy"), (r"^\d+-\d+-", "d-M-yyyy"))
+        out = F.lit(None).cast("date")
+        for shape, form in reversed(shapes):
+            out = F.when(wide.rlike(shape), F.try_to_date(wide, form)).otherwise(out)
+        return out
+
+    def parsed(plain: Column) -> Column:
+        short = plain.rlike(r"[-/]\d{3}$")
+        fixed = F.when(short, F.concat(F.regexp_replace(plain, r"\d{3}$", ""), own)).otherwise(plain)
+        missing = lambda x: ~x.rlike(r"[-/]\d{2,4}$") | x.rlike(r"^\d{1,2}[-/]\d{1,2}$")
+        full = let(fixed, lambda x: F.when(missing(x), F.concat(x, F.lit("-"), own)).otherwise(x))
+        return F.struct(short.alias("short"), let(let(full, widened), dated).alias("day"))
+
+    def told(p: Column) -> Column:
+        empty = F.trim(raw) == ""
+        flags = F.array_compact(
+            F.array(
+                F.when(raw.isNull() | empty, F.lit("MISSING_DATE")),
+                F.when(p["short"], F.lit("YEAR_REPAIRED")),
+                F.when(F.year(p["day"]) != year, F.lit("YEAR_MISMATCH")),
+                F.when(p["day"].isNull() & ~empty, F.lit("UNPARSED_DATE")),
+            )
         )
-    )
-    return F.struct(day.alias("day"), flags.alias("flags"))
+        return F.struct(p["day"].alias("day"), flags.alias("flags"))
+
+    return let(let(F.replace(date_text(raw), F.lit(" "), F.lit("")), parsed), told)
 
 
 def encounter_start(start: Column, end: Column) -> Column:
