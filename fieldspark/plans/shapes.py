@@ -32,9 +32,14 @@ def rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @bind("a_37_approximate_aggregates", with_sightings("SELECT detail, count(DISTINCT user_id) AS users, true AS near, true AS middle FROM s GROUP BY 1"))
 def approximate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sketches beside exact values: within 5 %, and a median between the exact ones around it."""
-    close = F.abs(F.approx_count_distinct("user_id", 0.01) - F.countDistinct("user_id")) <= 0.05 * F.countDistinct("user_id")
-    middle = F.percentile_approx("value", 0.5, 10000).between(F.percentile("value", F.lit(0.45)), F.percentile("value", F.lit(0.55)))
-    return sightings(spark, sf_dir).groupBy("detail").agg(F.countDistinct("user_id").alias("users"), close.alias("near"), middle.alias("middle"))
+    obs = sightings(spark, sf_dir)
+    # Apart, as beside a distinct count a sketch would be made for each user; the exact parts first count equal values.
+    sketches = obs.groupBy("detail").agg(F.approx_count_distinct("user_id", 0.01).alias("n"), F.percentile_approx("value", 0.5, 10000).alias("m"))
+    users = obs.select("detail", "user_id").distinct().groupBy("detail").agg(F.count("user_id").alias("users"))
+    values = obs.groupBy("detail", "value").agg(F.count(F.lit(1)).alias("k")).groupBy("detail").agg(*[F.percentile("value", F.lit(q), F.col("k")).alias(x) for x, q in (("low", 0.45), ("high", 0.55))])
+    on = lambda a, b: a.join(b.withColumnRenamed("detail", "d"), F.col("detail").eqNullSafe(F.col("d"))).drop("d")
+    close = F.abs(F.col("n") - F.col("users")) <= 0.05 * F.col("users")
+    return on(on(sketches, users), values).select("detail", "users", close.alias("near"), F.col("m").between(F.col("low"), F.col("high")).alias("middle"))
 
 
 @bind(
