@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,27 +68,48 @@ def within(edges: DataFrame, origins: DataFrame, bound: float) -> DataFrame:
         best = cut(best.unionByName(front).groupBy("origin", "node").agg(F.min("distance").alias("distance")))
 
 
+#: Links of a task: they are dealt by number, as adaptive execution would go by bytes, of which packed ids have few. Targets
+#: with more than this share of as many are looked up by broadcast, the heaviest first and no more than its inverse.
+TASK_ROWS, HEAVY = 200_000, 0.01
+
+
 def resolve_chains(links: DataFrame) -> DataFrame:
     """End of the chain of each ``alias -> target`` link, by doubling; a cycle is an error.
 
-    A chain has no more steps than there are links, so one that still moves after as many doublings is a cycle.
+    A chain has no more steps than there are links, so one that still moves after as many doublings is a cycle. Links
+    that have come to an end are set aside, as many end at one target; heavy targets of the others are told apart, so
+    that no task gets all links of one.
     """
-    now = cut(links.select("alias", "target").distinct())
-    rounds = now.count().bit_length() + 1
-    if not now.groupBy("alias").count().filter("count > 1").isEmpty():
+    size = links.count()
+    tasks = size // TASK_ROWS + 1
+    first = cut(links.select("alias", "target").repartition(tasks, "alias").distinct())
+    if not first.groupBy("alias").count().filter("count > 1").isEmpty():
         raise ValueError("an alias has two targets")
-    for _ in range(rounds):
-        on = now.select(F.col("alias").alias("target"), F.col("target").alias("beyond"))
-        step = now.join(on, "target", "left")
+    known = first.select(F.col("alias").alias("target"), F.lit(True).alias("open"))
+    now = cut(_looked_up(first, known, tasks).select("alias", "target", F.coalesce("open", F.lit(False)).alias("open")))
+    ended = []
+    for _ in range(size.bit_length() + 1):
+        ended.append(now.filter("not open"))
+        moving = now.filter("open")
+        if moving.isEmpty():
+            return reduce(DataFrame.unionByName, ended).select("alias", "target")
+        on = reduce(DataFrame.unionByName, [*ended, moving]).select(F.col("alias").alias("target"), F.col("target").alias("beyond"), F.col("open").alias("on"))
+        step = cut(_looked_up(moving.select("alias", "target"), on, tasks))
         if not step.filter("beyond = alias or alias = target").isEmpty():
             raise ValueError("aliases form a cycle")
-        after = cut(step.select("alias", F.coalesce("beyond", "target").alias("target"), F.col("beyond").isNotNull().alias("moved")))
-        now = after.select("alias", "target")
-        if after.filter("moved").isEmpty():
-            return now
+        now = step.select("alias", F.col("beyond").alias("target"), F.col("on").alias("open"))
     raise ValueError("aliases form a cycle")
 
 
+def _looked_up(rows: DataFrame, by: DataFrame, tasks: int) -> DataFrame:
+    """Left join on ``target``, distinct in ``by``; what heavy targets of ``rows`` give is broadcast."""
+    most = rows.groupBy("target").count().orderBy(F.desc("count")).limit(int(1 / HEAVY)).collect()
+    heavy = [r["target"] for r in most if r["count"] > TASK_ROWS * HEAVY and r["target"] is not None]
+    hot = F.coalesce(F.col("target").isin(heavy), F.lit(False))
+    dealt = rows.filter(~hot).repartition(tasks, "target").join(by.repartition(tasks, "target"), "target", "left")
+    return dealt.unionByName(rows.filter(hot).join(F.broadcast(by.filter(hot)), "target", "left")) if heavy else dealt
+
+
 def intensity(grid: DataFrame, reach: DataFrame, weight: Column) -> DataFrame:
     """Adds ``intensity`` to a grid of ``cell, period_start, mature_expected_count``.
 

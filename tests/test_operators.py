@@ -421,3 +421,21 @@ def test_surroundings_are_gathered_by_place_and_not_by_row(spark):
     right = spark.range(300).selectExpr("id r_id", "47.0D r_lat", "-123.0D + (id % 3) / 100 r_lon", "date'2024-01-02' r_day", "id % 5 r_unit")
     got = gather(left, right, ["r_unit"], {"n": F.count("r_id"), "km": F.min("km")}, radius_km=5, lag_days=1).collect()
     assert len(got) == 2 * 5 and {(r["lag"], r["n"]) for r in got} == {(1, 60)}
+
+
+def test_chains_with_heavy_targets_are_dealt_by_number_of_links(spark, monkeypatch):
+    monkeypatch.setattr(graph, "TASK_ROWS", 300)
+    links = spark.range(1, 2000).selectExpr("id alias", "id div 3 target").unionByName(spark.range(5000, 5400).selectExpr("id alias", "7 target"))
+    seen = []
+    cut = graph.cut
+    monkeypatch.setattr(graph, "cut", lambda df: seen.append(cut(df)) or seen[-1])
+    got = graph.resolve_chains(links).collect()
+    assert len(got) == 2399 and {r["target"] for r in got} == {0}
+    assert min(df.rdd.getNumPartitions() for df in seen) >= 8
+
+
+def test_labels_of_facts_are_found_in_one_pass(spark):
+    facts = spark.createDataFrame([("a", "X", "ECOTYPE", "SRKW", 2), ("a", "X", "ECOTYPE", "TRANSIENT", 1), ("b", "G", "ECOTYPE", "SRKW", 1), ("b", "G", "ECOTYPE", "NRKW", 3), ("c", "X", "ECOTYPE", "SRKW", 1), ("c", "Y", "ECOTYPE", "NRKW", 1)], "record_id string, source string, kind string, value string, priority int")
+    got = entity.classify(facts, "G")
+    assert {r["record_id"]: r["detail"] for r in got.collect()} == {"a": "TRANSIENT", "b": "MIXED", "c": "MIXED"}
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()

@@ -81,3 +81,27 @@ def test_blends_prefer_the_smaller_weight_of_equal_ones(spark):
     rows = spark.createDataFrame([("a", 0.5, 0.5, 1, 1.0), ("b", 0.9, 0.1, 0, 1.0)], "k string, p double, q double, y int, w double")
     got = {r["k"]: r["weight"] for r in research.best_blend(rows, ["k"]).collect()}
     assert got == {"a": 0.0, "b": 1.0}
+
+
+def test_wide_joins_are_narrowed_where_the_result_allows_it(spark, small, monkeypatch):
+    from fieldspark.plans import registry, spatial, stages
+
+    plan = lambda name: registry.queries()[name](spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    asked, join = [], stages.band_join
+    monkeypatch.setattr(stages, "band_join", lambda *a, **k: asked.append(k) or join(*a, **k))
+    plan("j_13_same_day_radius")
+    assert all(k["radius_km"] == 3 or k["equal"] == ("user",) for k in asked) and all(k["minutes"] == 360 for k in asked)
+    monkeypatch.setattr(spatial, "band_join", lambda *a, **k: pytest.fail("rows are paired"))
+    plan("j_15_nearest_match")
+    plan("a_15_window_support")
+    assert "count(distinct" not in plan("a_37_approximate_aggregates")
+    assert plan("c_22_archive_dates").count("gettimestamp") <= 4
+
+
+def test_movement_pairs_places_and_not_rows(spark, small, monkeypatch):
+    from fieldspark.plans import registry, stages
+
+    asked, join = [], stages.band_join
+    monkeypatch.setattr(stages, "band_join", lambda *a, **k: asked.append(a) or join(*a, **k))
+    registry.queries()["a_16_movement_speeds"](spark, small)
+    assert all("l_id" not in a.columns and "r_id" not in b.columns for a, b in asked) and asked
